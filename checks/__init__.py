@@ -1,0 +1,5 @@
+"""Queries over the supplied tables, one per operator, with DuckDB oracles."""
+
+import importlib
+
+MODULES = [importlib.import_module(f"checks.{m}") for m in ("expressions", "relations")]

@@ -65,7 +65,26 @@ def review_key(position: Column) -> Column:
 
 
 def two_decimals(c: Column | str) -> Column:
-    return F.format_string("%.2f", col(c))
+    """Two decimals, rounding the exact binary value half to even.
+
+    `format_string` rounds the shortest decimal form half up, which differs for values
+    such as 0.125 and 2.675. The rounding error of the product with 100 is recovered by
+    splitting the factor into two halves of its digits.
+    """
+    x = F.abs(col(c))
+    product = x * F.lit(100.0)
+    spread = x * F.lit(134217729.0)
+    high = spread - (spread - x)
+    error = (high * F.lit(100.0) - product) + (x - high) * F.lit(100.0)
+    whole = F.floor(product)
+    part = product - whole
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    cents = whole + up.cast("bigint")
+    sign = F.when(col(c) < 0, "-").otherwise("")
+    return F.concat(
+        sign, ((cents - cents % 100) / 100).cast("bigint").cast("string"), F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"),
+    )
 
 
 def keyword_list(category: Column, configured: Column, explicit: Column | None = None) -> Column:

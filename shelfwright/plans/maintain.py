@@ -106,12 +106,16 @@ def removed_links(mapping: DataFrame, url_status: DataFrame) -> DataFrame:
 
 
 def sync_listing(listing: DataFrame, existing: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """Dataset rows of the listed resources; known file names stay, unlisted rows go."""
+    """Dataset rows of the listed resources by public id; unlisted rows go.
+
+    Known file names stay. The order of equal ids is that of the listing, which also
+    lets the sort split an id that is listed very often.
+    """
     scope = scope or []
     known = last_wins(existing, [*scope, "public_id"], keep=["filename"])
-    named = listing.filter(present("public_id")).withColumn("_row", F.monotonically_increasing_id())
-    rows = lookup(named, known, [(c, c) for c in [*scope, "public_id"]], F.lit(True), "_row", "_known")
-    return rows.select(
+    named = listing.filter(present("public_id"))
+    rows = lookup(named, known, [(c, c) for c in [*scope, "public_id"]], F.lit(True), "ord", "_known")
+    return rows.orderBy(*scope, "public_id", "ord").select(
         *scope,
         listed_filename(F.col("_known.filename"), F.col("public_id"), F.col("format")).alias("filename"),
         filled("secure_url").alias("secure_url"), "public_id",
