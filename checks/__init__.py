@@ -2,4 +2,4 @@
 
 import importlib
 
-MODULES = [importlib.import_module(f"checks.{m}") for m in ("expressions", "relations")]
+MODULES = [importlib.import_module(f"checks.{m}") for m in ("expressions", "relations", "pages", "files")]

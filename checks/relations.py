@@ -41,7 +41,7 @@ def i6(v: Inputs):
 PLAN_SQL = f"""
 WITH named AS (
   SELECT f.*, row_number() OVER (ORDER BY f.ord) - 1 AS pos, trim(original_image_url) AS image,
-    coalesce(nullif(final_category, ''), nullif(category, ''), 'unknown') AS folder FROM feed f),
+    coalesce(nullif(final_category, ''), nullif(category, ''), 'unknown') AS folder FROM clean f),
 files AS (
   SELECT *, CASE WHEN filename <> '' AND NOT (source = 'asos' AND regexp_matches(filename, '^[0-9]+[.]jpg$')) THEN filename
     WHEN source = 'asos' THEN 'asos_' || id || '.jpg' ELSE CAST(10000 + pos AS STRING) || '.jpg' END AS new_name FROM named),
@@ -69,7 +69,7 @@ SELECT ord, action, new_name AS filename, folder, expected_id,
 FROM planned
 """)
 def i4(v: Inputs):
-    return publish.publish_plan(v.feed, v.mapping, RUN_TS).select(
+    return publish.publish_plan(v.clean, v.mapping, RUN_TS).select(
         "ord", "action", "filename", "folder", "expected_id", "legacy_mapping_ignored", "outside_folder",
         "cloudinary_url", "cloudinary_public_id",
     )
@@ -77,7 +77,7 @@ def i4(v: Inputs):
 
 @register("d2_plan_mapping", PLAN_SQL + "SELECT ord, coalesce(m_id, '') AS public_id, coalesce(m_url, '') AS secure_url FROM planned WHERE image <> ''")
 def d2(v: Inputs):
-    plan = publish.publish_plan(v.feed, v.mapping, RUN_TS)
+    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
     rows = plan.select("ord", "filename", "expected_id", "image_url").filter(F.col("image_url") != "")
     found = publish.with_mapping(rows, v.mapping)
     return found.select(
@@ -106,7 +106,7 @@ SELECT ord, id, name, price, brand, source, source_url, CASE WHEN mapped THEN im
   CASE WHEN mapped THEN new_name ELSE filename END AS filename FROM settled
 """)
 def i5_clean(v: Inputs):
-    plan = publish.publish_plan(v.feed, v.mapping, RUN_TS)
+    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
     return publish.apply_upload_results(plan, v.results, RUN_TS)[0]
 
 
@@ -114,13 +114,13 @@ def i5_clean(v: Inputs):
 SELECT ord, new_name AS filename, out_url AS secure_url, out_id AS public_id, image AS original_image_url FROM settled WHERE mapped
 """)
 def i5_mapping(v: Inputs):
-    plan = publish.publish_plan(v.feed, v.mapping, RUN_TS)
+    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
     return publish.apply_upload_results(plan, v.results, RUN_TS)[1]
 
 
 @register("f13_action_counts", PLAN_SQL + "SELECT action, count(*) AS n FROM planned GROUP BY action")
 def f13(v: Inputs):
-    return publish.action_counts(publish.publish_plan(v.feed, v.mapping, RUN_TS))
+    return publish.action_counts(publish.publish_plan(v.clean, v.mapping, RUN_TS))
 
 
 RENUMBER_SQL = """
@@ -415,10 +415,10 @@ def e4(v: Inputs):
 
 
 @register("e5_target_limit", """
-SELECT category, ord FROM (SELECT category, ord, row_number() OVER (PARTITION BY category ORDER BY ord) AS rn FROM feed) t WHERE rn <= 300
+SELECT category, ord FROM (SELECT category, ord, row_number() OVER (PARTITION BY category ORDER BY ord) AS rn FROM feed) t WHERE rn <= 100
 """)
 def e5(v: Inputs):
-    return ranking.first_rows(v.feed.select("category", "ord"), 300, scope=["category"])
+    return ranking.first_rows(v.feed.select("category", "ord"), 100, scope=["category"])
 
 
 @register("e6_until_empty_page", """

@@ -42,6 +42,18 @@ SELECT id, (ord % 6 = 0) AS reject,
 FROM {feed} WHERE ord % 10 <> 9
 """
 
+# Clean rows with every publishing case: own images at the expected place, images of the
+# host that is fetched locally, and the feed's other rows.
+CLEAN = """
+SELECT ord, id, name, price, brand, source, source_url,
+  CASE WHEN ord % 9 = 2 THEN 'https://images.asos-media.com/products/' || CAST(ord AS STRING) ELSE original_image_url END AS original_image_url,
+  category, final_category, filename,
+  CASE WHEN ord % 13 = 1 THEN 'https://cdn.example/own/' || CAST(ord AS STRING) ELSE cloudinary_url END AS cloudinary_url,
+  CASE WHEN ord % 13 = 1 THEN CASE WHEN final_category <> '' THEN final_category ELSE category END || '/' || CAST(10000 + ord AS STRING)
+    ELSE cloudinary_public_id END AS cloudinary_public_id
+FROM {feed}
+"""
+
 # Earlier reviews of every third row, so that decisions replace some and add others.
 REVIEWED = """
 SELECT ord, id, name, price, brand, source, source_url, original_image_url, category,
@@ -186,14 +198,15 @@ FROM (SELECT ord div 40 AS b, sort_array(collect_list(struct(ord, name, price, s
       FROM {feed} GROUP BY ord div 40)
 """
 LAZADA_LISTED_ORACLE = """
-SELECT ord, 'c' || CAST((ord // 40) % 4 AS STRING) AS category, (ord // 40) // 4 + 1 AS page, trim(name) AS name,
+SELECT ord, 'c' || CAST((ord // 40) % 4 AS STRING) AS category, (ord // 40) // 4 + 1 AS page,
+  CASE WHEN name = '' THEN 'shown' ELSE trim(name) END AS name,
   CASE WHEN (ord // 40) % 3 = 0 THEN '' ELSE price END AS price, source_url,
   regexp_replace(original_image_url, '_200x200q80.jpg$', '') AS image_url
-FROM feed WHERE (ord // 40) % 11 <> 7 AND name <> '' AND original_image_url <> ''
+FROM feed WHERE (ord // 40) % 11 <> 7 AND (name <> '' OR (ord // 40) % 3 <> 0) AND original_image_url <> ''
 """
 
 ORACLE_VIEWS = {
-    "feed": FEED, "mapping": MAPPING, "decisions": DECISIONS, "reviewed": REVIEWED, "url_status": URL_STATUS,
+    "feed": FEED, "clean": CLEAN, "mapping": MAPPING, "decisions": DECISIONS, "reviewed": REVIEWED, "url_status": URL_STATUS,
     "target": TARGET, "import_rows": IMPORT, "listing": LISTING, "results": RESULTS, "failures": FAILURES,
     "feature_base": FEATURE_BASE, "features": FEATURES_ORACLE, "hashes": HASHES_ORACLE,
     "event_pages": EVENT_PAGES, "page_log": PAGE_LOG_ORACLE, "lazada_listed": LAZADA_LISTED_ORACLE,
@@ -243,6 +256,10 @@ class Inputs:
     def feed(self):
         return self.sql(FEED, part=self.part)
 
+    @cached_property
+    def clean(self):
+        return self.sql(CLEAN, feed=self.feed)
+
     @cached_property
     def mapping(self):
         return self.sql(MAPPING, feed=self.feed)

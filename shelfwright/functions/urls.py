@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from shelfwright.functions.fields import col, filled, first_present, none_if_blank, stripped
+from shelfwright.functions.fields import col, filled, none_if_blank, stripped
 
 # Addresses and query parts that must match the marketplaces'.
 LAZADA_DOMAIN = "https://www.lazada.vn"
@@ -71,13 +71,16 @@ def srcset_choice(c: Column | str) -> Column:
     return F.when(F.size(parts) > 0, last).otherwise(value)
 
 
-def card_image_url(src, data_src, lazy, srcset) -> Column:
-    """Image of a listing card by attribute precedence, normalised."""
-    choice = F.coalesce(
+def card_image_choice(src, data_src, lazy, srcset) -> Column:
+    """Image address of a listing card by attribute precedence."""
+    return F.coalesce(
         none_if_blank(src), none_if_blank(data_src), none_if_blank(lazy),
         F.when(filled(srcset) != "", srcset_choice(srcset)), F.lit(""),
     )
-    return lazada_image_url(choice)
+
+
+def card_image_url(src, data_src, lazy, srcset) -> Column:
+    return lazada_image_url(card_image_choice(src, data_src, lazy, srcset))
 
 
 def percent_encoded(c: Column | str) -> Column:

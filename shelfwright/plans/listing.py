@@ -12,6 +12,7 @@ from shelfwright.operators.paging import (
 )
 from shelfwright.operators.ranking import with_position
 from shelfwright.schemas import MAX_PAGES, RAW, TARGET_PER_CATEGORY
+from shelfwright.session import materialise
 from shelfwright.sources.captures import FIRST_PAGE, PAGES, has_name_and_image
 
 # `ord` packs keyword, page and place on the page, 22 bits for the place.
@@ -40,12 +41,16 @@ def check_limits(target: int | None, max_pages: int, skip_pages: int = 0) -> Non
 def visited_pages(
     captures: DataFrame, source: str, max_pages: int = MAX_PAGES, skip_pages: int = 0
 ) -> DataFrame:
-    """Parsed pages that a run looks at: in range and before the end of results."""
+    """Parsed pages that a run looks at: in range and before the end of results.
+
+    Payloads are parsed once; the products found are kept in a written table, because
+    the end of results and the duplicate scan read them again.
+    """
     if source not in PAGES:
         raise ValueError(f"unknown source: {source}; choose one of {', '.join(sorted(PAGES))}")
     skip = skip_pages if source == "lazada" else 0
     ranged = page_range(captures.filter(F.col("source") == source), skip, max_pages, FIRST_PAGE[source])
-    pages = PAGES[source](ranged)
+    pages = materialise(PAGES[source](ranged), "pages")
     keys = ["category", "keyword_idx"]
     return until_empty_streak(pages, keys) if source == "lazada" else until_empty_page(pages, keys)
 

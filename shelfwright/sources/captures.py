@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.fields import filled, present, stripped
+from shelfwright.functions.fields import filled, first_present, present, stripped
 from shelfwright.functions.urls import (
-    absolute_url, asos_image_url, asos_product_url, card_image_url, lazada_image_url,
+    absolute_url, asos_image_url, asos_product_url, card_image_choice, lazada_image_url,
     tiki_image_url, tiki_product_url,
 )
 from shelfwright.schemas import ASOS_PAYLOAD, TIKI_PAYLOAD
@@ -28,6 +28,8 @@ LAZADA_PATTERNS = {
     "price": r'(?is)class="[^"]*\booOxS\b[^"]*"[^>]*>(.*?)</',
     "image": r"(?is)<img\b([^>]*)>",
 }
+# Image attributes of a card, in order of preference.
+IMAGE_ATTRIBUTES = ["src", "data-src", "data-ks-lazyload", "srcset"]
 JSON_LD = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 
 
@@ -122,24 +124,50 @@ def _usable(products: Column) -> Column:
 
 
 def card_products(html: Column, patterns: dict[str, str] = LAZADA_PATTERNS) -> Column:
-    """Products from the card blocks of a page; cards without name or image are dropped."""
-    blocks = F.filter(F.split(html, patterns["card"]), lambda _, at: at > 0)
+    """Products from the card blocks of a page; cards without name or image are dropped.
 
-    def product(block: Column) -> Column:
-        link = F.regexp_extract(block, patterns["link"], 1)
-        text = plain_text(F.regexp_extract(block, patterns["link"], 2))
-        img = F.regexp_extract(block, patterns["image"], 1)
-        title = attribute(link, "title")
-        linked = stripped(F.when(title != "", title).otherwise(text))
-        name = F.when(linked != "", linked).otherwise(stripped(attribute(img, "alt")))
-        image = card_image_url(
-            attribute(img, "src"), attribute(img, "data-src"),
-            attribute(img, "data-ks-lazyload"), attribute(img, "srcset"),
+    Each step is a transform of its own, so that a value used several times in the next
+    step is computed once.
+    """
+    blocks = F.filter(F.split(html, patterns["card"]), lambda _, at: at > 0)
+    parts = F.transform(
+        blocks,
+        lambda b: F.struct(
+            F.regexp_extract(b, patterns["link"], 1).alias("link"),
+            plain_text(F.regexp_extract(b, patterns["link"], 2)).alias("text"),
+            plain_text(F.regexp_extract(b, patterns["price"], 1)).alias("price"),
+            F.regexp_extract(b, patterns["image"], 1).alias("img"),
+        ),
+    )
+    fields = F.transform(
+        parts,
+        lambda p: F.struct(
+            stripped(attribute(p["link"], "title")).alias("title"),
+            p["text"].alias("text"), p["price"].alias("price"),
+            attribute(p["link"], "href").alias("href"),
+            stripped(attribute(p["img"], "alt")).alias("alt"),
+            *[attribute(p["img"], a).alias(a.replace("-", "_")) for a in IMAGE_ATTRIBUTES],
+        ),
+    )
+    chosen = F.transform(
+        fields,
+        lambda f: F.struct(
+            first_present(f["title"], f["text"], f["alt"]).alias("name"),
+            f["price"].alias("price"), absolute_url(f["href"]).alias("url"),
+            card_image_choice(*[f[a.replace("-", "_")] for a in IMAGE_ATTRIBUTES]).alias("image"),
+        ),
+    )
+    located = F.transform(
+        chosen,
+        lambda c: F.struct(c["name"].alias("name"), c["price"].alias("price"), c["url"].alias("url"),
+                           lazada_image_url(c["image"]).alias("image")),
+    )
+    return _usable(
+        F.transform(
+            located,
+            lambda p: _product(p["name"], p["price"], F.lit("Lazada"), p["url"], p["image"], p["image"], F.lit(0)),
         )
-        price = plain_text(F.regexp_extract(block, patterns["price"], 1))
-        return _product(name, price, F.lit("Lazada"), absolute_url(attribute(link, "href")), image, image, F.lit(0))
-
-    return _usable(F.transform(blocks, product))
+    )
 
 
 def json_ld_products(html: Column) -> Column:
@@ -155,16 +183,23 @@ def json_ld_products(html: Column) -> Column:
         )
     )
 
-    def product(element: Column) -> Column:
-        def text(field: str) -> Column:
-            return filled(F.try_variant_get(element, f"$.item.{field}", "string"))
+    def text(element: Column, field: str) -> Column:
+        return filled(F.try_variant_get(element, f"$.item.{field}", "string")).alias(field)
 
-        image = lazada_image_url(text("image"))
-        return _product(
-            stripped(text("name")), F.lit(""), F.lit("Lazada"), absolute_url(text("url")), image, image, F.lit(0)
+    fields = F.transform(elements, lambda e: F.struct(text(e, "name"), text(e, "image"), text(e, "url")))
+    located = F.transform(
+        fields,
+        lambda f: F.struct(
+            stripped(f["name"]).alias("name"), lazada_image_url(f["image"]).alias("image"),
+            absolute_url(f["url"]).alias("url"),
+        ),
+    )
+    return _usable(
+        F.transform(
+            located,
+            lambda p: _product(p["name"], F.lit(""), F.lit("Lazada"), p["url"], p["image"], p["image"], F.lit(0)),
         )
-
-    return _usable(F.transform(elements, product))
+    )
 
 
 def lazada_pages(captures: DataFrame, patterns: dict[str, str] = LAZADA_PATTERNS) -> DataFrame:

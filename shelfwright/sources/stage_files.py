@@ -70,7 +70,7 @@ def read_tolerant(spark: SparkSession, path: str, columns: list[str]) -> DataFra
 
     The first row of a file is a header if it names the columns in order, ignoring case
     and spaces; a cell that is not spelled exactly like its column hides that column.
-    All-blank rows are dropped.
+    All-blank rows are dropped; `ord` ascends but skips the rows left out.
     """
     width = len(columns)
     try:
@@ -190,11 +190,19 @@ def snapshot(df: DataFrame, folder: str, run_ts: str) -> DataFrame:
 
 
 def discover_categories(spark: SparkSession, folder: str) -> DataFrame:
-    """Categories that have a CSV file in a folder, from the file listing alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-    name = F.substring_index("path", "/", -1)
+    """Categories that have a CSV file below a folder, from the file listing alone.
+
+    A file's category is its `category=` folder, or else its own name.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .options(pathGlobFilter="*.csv", recursiveFileLookup=True)
+        .load(folder).select(F.url_decode("path").alias("path"))
+    )
+    foldered = F.regexp_extract("path", "/category=([^/]+)/", 1)
+    name = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
     return (
-        files.select(F.regexp_replace(F.url_decode(name), r"\.csv$", "").alias("category"))
+        files.select(F.when(foldered != "", foldered).otherwise(name).alias("category"))
         .distinct().orderBy("category")
     )
 
