@@ -5,6 +5,7 @@ Pixels go in and two numbers come out, so image bytes are never shuffled.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import Iterator
 
 import numpy as np
@@ -46,6 +47,7 @@ def sharpness(bgr: np.ndarray) -> float:
     return (n * squares - total * total) / (n * n)
 
 
+@lru_cache(maxsize=256)
 def _lanczos_rows(size: int, wanted: int) -> np.ndarray:
     """Weights (wanted x size) of a Lanczos reduction, in 22-bit fixed point."""
     scale = size / wanted
@@ -72,6 +74,7 @@ def _reduced(grey: np.ndarray, side: int) -> np.ndarray:
     return settle(_lanczos_rows(grey.shape[0], side) @ across)
 
 
+@lru_cache
 def _cosines(side: int) -> np.ndarray:
     k, n = np.arange(side)[:, None], np.arange(side)[None, :]
     return 2 * np.cos(np.pi * k * (2 * n + 1) / (2 * side))

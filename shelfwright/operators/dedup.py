@@ -24,7 +24,7 @@ from shelfwright.session import materialise
 # A remainder of at most this many rows, counted first, is scanned in order; long
 # chains of conflicts would otherwise take one round per row.
 TAIL_ROWS = 5000
-ROUNDS_BEFORE_TAIL = 3
+ROUNDS_BEFORE_TAIL = 1
 # With hashes, rows enter by position: the first FIRST_STEP of each scope, then STEP_GROWTH
 # times as many. Later rows meet only survivors, so dense clusters are thinned out early.
 FIRST_STEP = 4096
@@ -69,14 +69,11 @@ def _scan_tail(keys: list[str], near: str | None, max_distance: int):
 
 
 def _rounds(
-    nodes: DataFrame, scope: list[str], keys: list[str], carry: list[str],
-    near: str | None, max_distance: int, tail_rows: int,
+    left: DataFrame, scope: list[str], keys: list[str], near: str | None, max_distance: int, tail_rows: int
 ) -> list[DataFrame]:
-    """Kept nodes, as the written tables of the single rounds."""
-    spark = nodes.sparkSession
-    columns = [*scope, "ord", *keys, *carry]
+    """Kept nodes of a written table `left`, as the written tables of the single rounds."""
+    columns = [*scope, "ord", *keys]
     edges = None
-    left = materialise(nodes.select(*columns), "undecided")
     if near:
         hashes = left.select(*scope, F.col(near).alias("h")).distinct()
         edges = materialise(near_pairs(hashes, None, scope, max_distance), "near")
@@ -89,24 +86,17 @@ def _rounds(
             grouped = left.groupBy(*(scope or [F.lit(0)]))
             kept.append(materialise(grouped.applyInPandas(scan, left.schema), "kept"))
             break
+        # The first row under each key; a row is kept if it is first under all its keys.
         firsts = {
-            k: left.filter(F.col(k).isNotNull()).groupBy(*scope, F.col(k).alias("_key"))
-            .agg(F.min(F.struct("ord", *keys, *carry)).alias("_row"))
-            for k in keys
+            k: left.filter(F.col(k).isNotNull()).groupBy(*scope, k).agg(F.min("ord").alias("ord")) for k in keys
         }
-        wins = reduce(DataFrame.unionByName, [f.select(*scope, "_row.*") for f in firsts.values()])
-        winners = (
-            wins.groupBy(*scope, "ord")
-            .agg(F.first(F.struct(*keys, *carry)).alias("_row"), F.count(F.lit(1)).alias("_wins"))
-            .select(*scope, "ord", "_row.*", "_wins")
-            .filter(F.col("_wins") == key_count).drop("_wins")
-        )
+        wins = reduce(DataFrame.unionByName, [f.select(*scope, "ord") for f in firsts.values()])
+        wins = wins.groupBy(*scope, "ord").agg(F.count(F.lit(1)).alias("_wins"))
+        winners = left.join(wins, [*scope, "ord"]).filter(F.col("_wins") == key_count).select(*columns)
         if edges is not None:
+            other_first = firsts[near].select(*scope, F.col(near).alias("other"), F.col("ord").alias("_o"))
             around = (
-                edges.join(
-                    firsts[near].select(*scope, F.col("_key").alias("other"), F.col("_row.ord").alias("_o")),
-                    [*scope, "other"],
-                )
+                edges.join(other_first, [*scope, "other"])
                 .groupBy(*scope, "h").agg(F.min("_o").alias("_around"))
                 .withColumnRenamed("h", near)
             )
@@ -115,23 +105,48 @@ def _rounds(
                 .filter(F.col("_around").isNull() | (F.col("_around") > F.col("ord")))
                 .select(*columns)
             )
+        winners = materialise(winners, "kept")
+        kept.append(winners)
         rest = left
         for k in keys:
             taken = winners.filter(F.col(k).isNotNull()).select(*scope, k)
-            if edges is not None and k == near:
+            if k == near:
                 reached = edges.join(taken.withColumnRenamed(near, "h"), [*scope, "h"], "left_semi")
                 taken = taken.unionByName(reached.select(*scope, F.col("other").alias(near)))
             rest = rest.join(taken, [*scope, k], "left_anti")
-        state = materialise(
-            winners.select(*columns, F.lit(True).alias("_kept")).unionByName(
-                rest.select(*columns, F.lit(False).alias("_kept"))
-            ),
-            "round",
-        )
-        kept.append(state.filter("_kept").drop("_kept"))
-        left = state.filter("NOT _kept").drop("_kept")
+        left = materialise(rest.select(*columns), "undecided")
         n_left, done = left.count(), done + 1
-    return kept or [spark.createDataFrame([], nodes.select(*columns).schema)]
+    return kept
+
+
+def _steps(
+    nodes: DataFrame, scope: list[str], keys: list[str], near: str, max_distance: int, tail_rows: int,
+    first_step: int, shifts: tuple[int, ...],
+) -> list[DataFrame]:
+    """Kept nodes when hashes are compared: by growing ranges of positions."""
+    sizes = nodes.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    largest = sizes[0] or 0
+    if largest <= first_step:
+        return _rounds(nodes, scope, keys, near, max_distance, tail_rows)
+    columns = [*scope, "ord", *keys]
+    placed = materialise(with_position(nodes, "ord", scope, position="_pos", shifts=shifts), "nodes")
+    kept: list[DataFrame] = []
+    low, high = 0, first_step
+    while low < largest:
+        step = placed.filter((F.col("_pos") > low) & (F.col("_pos") <= high)).select(*columns)
+        if kept:
+            so_far = reduce(DataFrame.unionByName, kept)
+            for k in keys:
+                step = step.join(so_far.filter(F.col(k).isNotNull()).select(*scope, k), [*scope, k], "left_anti")
+            step = materialise(step, "step")
+            reached = near_pairs(
+                step.select(*scope, F.col(near).alias("h")).distinct(),
+                so_far.select(*scope, F.col(near).alias("h")), scope, max_distance,
+            )
+            step = step.join(reached.select(*scope, F.col("h").alias(near)), [*scope, near], "left_anti")
+        kept += _rounds(materialise(step, "undecided"), scope, keys, near, max_distance, tail_rows)
+        low, high = high, high * STEP_GROWTH
+    return kept
 
 
 def keep_greedy(
@@ -139,51 +154,32 @@ def keep_greedy(
     keys: list[str],
     scope: list[str] | None = None,
     order: str = "ord",
-    carry: list[str] | None = None,
     near: str | None = None,
     max_distance: int = HASH_DISTANCE,
     tail_rows: int = TAIL_ROWS,
     first_step: int = FIRST_STEP,
     shifts: tuple[int, ...] = DENSE_CHUNKS,
 ) -> DataFrame:
-    """Kept nodes (scope, ord, keys, carry) of the ordered scan.
+    """Kept nodes (scope, ord, keys) of the ordered scan.
 
     A null key never matches; callers turn blanks into nulls where blanks must not
     match. Rows with equal keys are collapsed to their first, which cannot change the
     outcome. `near` names a 64-bit hash column, never null, whose values conflict within
     `max_distance`.
     """
-    scope, carry = scope or [], carry or []
+    scope = scope or []
     if near and near not in keys:
         keys = [*keys, near]
-    free = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys]))
-    free = free.select(*scope, F.col(order).alias("ord"), *keys, *carry)
-    nodes = (
-        df.filter(~reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys]))
-        .groupBy(*scope, *keys).agg(F.min(F.struct(F.col(order).alias("ord"), *carry)).alias("_row"))
-        .select(*scope, *keys, "_row.*")
+    no_key = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
+    nodes = materialise(
+        df.filter(~no_key).groupBy(*scope, *keys).agg(F.min(order).alias("ord")).select(*scope, "ord", *keys),
+        "nodes",
     )
-    if not near:
-        kept = _rounds(nodes, scope, keys, carry, None, max_distance, tail_rows)
-        return reduce(DataFrame.unionByName, [*kept, free])
-    placed = materialise(with_position(nodes, "ord", scope, position="_pos", shifts=shifts), "nodes")
-    largest = placed.agg(F.max("_pos")).first()[0] or 0
-    kept: list[DataFrame] = []
-    low, high = 0, first_step
-    while low < largest:
-        step = placed.filter((F.col("_pos") > low) & (F.col("_pos") <= high)).drop("_pos")
-        if kept:
-            so_far = reduce(DataFrame.unionByName, kept)
-            for k in keys:
-                step = step.join(so_far.select(*scope, k).filter(F.col(k).isNotNull()), [*scope, k], "left_anti")
-            step = materialise(step, "step")
-            reached = near_pairs(
-                step.select(*scope, F.col(near).alias("h")).distinct(),
-                so_far.select(*scope, F.col(near).alias("h")), scope, max_distance,
-            )
-            step = step.join(reached.select(*scope, F.col("h").alias(near)), [*scope, near], "left_anti")
-        kept += _rounds(step, scope, keys, carry, near, max_distance, tail_rows)
-        low, high = high, high * STEP_GROWTH
+    if near:
+        kept = _steps(nodes, scope, keys, near, max_distance, tail_rows, first_step, shifts)
+    else:
+        kept = _rounds(nodes, scope, keys, None, max_distance, tail_rows)
+    free = df.filter(no_key).select(*scope, F.col(order).alias("ord"), *keys)
     return reduce(DataFrame.unionByName, [*kept, free])
 
 

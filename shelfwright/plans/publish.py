@@ -49,15 +49,14 @@ def publish_plan(
     rows = rows.withColumns({c: F.lit("") for c in absent}) if absent else rows
     placed = with_position(rows, "ord", scope, position="_pos")
     folder_category = final_category(first_present(F.lit(category), F.lit("unknown")))
-    named = (
-        placed.withColumn("old_filename", filled("filename"))
-        .withColumn("old_image_url", filled("original_image_url"))
-        .withColumn("filename", output_filename(F.col("_pos") - 1, first_number))
-        .withColumn("image_url", image_url("original_image_url", "image_url" if "image_url" in rows.columns else None))
-        .withColumn("folder", publish_folder(folder_category, prefix))
-        .withColumn("expected_id", public_id(folder_category, "filename", prefix))
-        .drop("_pos")
-    )
+    named = placed.withColumns({
+        "old_filename": filled("filename"),
+        "old_image_url": filled("original_image_url"),
+        "filename": output_filename(F.col("_pos") - 1, first_number),
+        "image_url": image_url("original_image_url", "image_url" if "image_url" in rows.columns else None),
+        "folder": publish_folder(folder_category, prefix),
+    }).drop("_pos")
+    named = named.withColumn("expected_id", public_id(folder_category, "filename", prefix))
     found = with_mapping(named, mapping)
     published = present("cloudinary_url") & present("cloudinary_public_id")
     keeps = published & (F.col("cloudinary_public_id") == F.col("expected_id"))
@@ -75,22 +74,14 @@ def publish_plan(
     )
     uploads = F.col("action").startswith("upload")
     reused = F.col("action") == "reuse_mapping"
-    return (
-        found.withColumn("action", action)
-        .withColumn("legacy_mapping_ignored", uploads & F.col("matched").isNotNull() & (mapped_image == ""))
-        .withColumn("outside_folder", uploads & published)
-        .withColumn("cloudinary_url", F.when(reused, F.col("matched.secure_url")).otherwise(filled("cloudinary_url")))
-        .withColumn(
-            "cloudinary_public_id",
-            F.when(reused, F.col("matched.public_id")).otherwise(filled("cloudinary_public_id")),
-        )
-        .withColumn(
-            "uploaded_at",
-            F.when(reused, first_present("uploaded_at", F.lit(run_ts))).otherwise(filled("uploaded_at")),
-        )
-        .withColumn("request", F.when(uploads, upload_request(F.col("folder"), F.col("filename"))))
-        .drop("matched")
-    )
+    return found.withColumn("action", action).withColumns({
+        "legacy_mapping_ignored": uploads & F.col("matched").isNotNull() & (mapped_image == ""),
+        "outside_folder": uploads & published,
+        "cloudinary_url": F.when(reused, F.col("matched.secure_url")).otherwise(filled("cloudinary_url")),
+        "cloudinary_public_id": F.when(reused, F.col("matched.public_id")).otherwise(filled("cloudinary_public_id")),
+        "uploaded_at": F.when(reused, first_present("uploaded_at", F.lit(run_ts))).otherwise(filled("uploaded_at")),
+        "request": F.when(uploads, upload_request(F.col("folder"), F.col("filename"))),
+    }).drop("matched")
 
 
 def apply_upload_results(plan: DataFrame, results: DataFrame, run_ts: str) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +100,7 @@ def apply_upload_results(plan: DataFrame, results: DataFrame, run_ts: str) -> tu
     def when_done(new: Column, otherwise: Column) -> Column:
         return F.when(F.col("_done"), new).otherwise(otherwise)
 
-    settled = rows.withColumn("_done", done).withColumn("_mapped", done | stands)
+    settled = rows.withColumns({"_done": done, "_mapped": done | stands})
     settled = settled.withColumns({
         "cloudinary_url": when_done(filled("_u.secure_url"), F.col("cloudinary_url")),
         "cloudinary_public_id": when_done(

@@ -11,6 +11,7 @@ from shelfwright.operators.joins import lookup
 from shelfwright.schemas import (
     BLUR_THRESHOLD, HASH_DISTANCE, MIN_HEIGHT, MIN_WIDTH, REQUIRED_FIELDS, VALIDATED,
 )
+from shelfwright.session import materialise
 
 
 def missing_reason(image: Column | None = None) -> Column:
@@ -53,7 +54,6 @@ def gate(
     compare only with earlier rows that pass everything, within `scope`.
     """
     scope = ["category"] if scope is None else scope
-    # The names of the columns added here must not meet those of the input.
     added = ["width", "height", "blur_score", "image_hash"]
     base = (
         rows.drop(*added)
@@ -70,15 +70,17 @@ def gate(
             F.when(checkable, image_reason(F.col("width"), F.col("height"), F.col("blur_score"))),
         )
     )
-    eligible = measured.filter(checkable & F.col("_refused").isNull()).select(
-        *scope, F.col(order).alias("ord"), "source_url", "_image", "image_hash"
+    columns = [*scope, F.col(order).alias("ord"), "source_url", "_image", "image_hash"]
+    eligible = materialise(
+        measured.filter(checkable & F.col("_refused").isNull()).select(*columns), "eligible"
     )
     kept = keep_greedy(
-        eligible, ["source_url"], scope, carry=["_image"], near="image_hash", max_distance=max_distance, **kw
-    )
+        eligible, ["source_url"], scope, near="image_hash", max_distance=max_distance, **kw
+    ).select(*scope, "ord")
+    accepted = eligible.join(kept, [*scope, "ord"], "left_semi")
     on_scope = [(c, c) for c in scope]
-    by_source = kept.select(*scope, "source_url", F.col("ord").alias("kept_ord"))
-    by_image = kept.select(*scope, "_image", F.col("ord").alias("kept_ord"))
+    by_source = accepted.select(*scope, "source_url", F.col("ord").alias("kept_ord"))
+    by_image = accepted.select(*scope, "_image", F.col("ord").alias("kept_ord"))
     compared = lookup(measured, by_source, [*on_scope, ("source_url", "source_url")], checkable, order, "_s")
     compared = lookup(compared, by_image, [*on_scope, ("_image", "_image")], checkable, order, "_i")
     at = F.col(order)
