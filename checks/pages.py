@@ -176,7 +176,7 @@ def stored(v: Inputs):
 
 
 @register("i1_lazada_listings", kept_sql(LAZADA_STORED + "," + LAZADA_URLS.format(fresh=FRESH), f"""
-SELECT format('{{:06d}}', (SELECT max(n) FROM stored s WHERE s.category = l.category) + row_number() OVER (PARTITION BY l.category ORDER BY l.ord)) AS id,
+SELECT format('{{:06d}}', coalesce((SELECT max(n) FROM stored s WHERE s.category = l.category), 0) + row_number() OVER (PARTITION BY l.category ORDER BY l.ord)) AS id,
   name, price, 'Lazada' AS brand, 'lazada' AS source, source_url, image_url AS original_image_url, image_url, l.category,
   l.category AS final_category, '0' AS image_index, 'raw' AS crawl_status, '{RUN_TS}' AS crawled_at
 FROM steps st JOIN listed l ON st.ord = l.ord WHERE kept
