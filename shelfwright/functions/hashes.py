@@ -20,14 +20,14 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def byte_at(h: Column, index: int) -> Column:
-    return F.shiftright(h, 8 * index).bitwiseAND(F.lit(255).cast("bigint"))
+def unit_at(h: Column, index: int, width: int) -> Column:
+    return F.shiftright(h, width * index).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
 
 
-def equal_bytes(a: Column, b: Column) -> Column:
-    """Bit mask of the byte positions at which two hashes agree."""
+def equal_units(a: Column, b: Column, width: int, count: int) -> Column:
+    """Bit mask of the `width`-bit units at which two values agree."""
     x = a.bitwiseXOR(b)
     mask = F.lit(0)
-    for i in range(8):
-        mask = mask + F.when(byte_at(x, i) == 0, 1 << i).otherwise(0)
+    for i in range(count):
+        mask = mask + F.when(unit_at(x, i, width) == 0, 1 << i).otherwise(0)
     return mask

@@ -92,16 +92,16 @@ def _rounds(
         }
         wins = reduce(DataFrame.unionByName, [f.select(*scope, "ord") for f in firsts.values()])
         wins = wins.groupBy(*scope, "ord").agg(F.count(F.lit(1)).alias("_wins"))
-        winners = left.join(wins, [*scope, "ord"]).filter(F.col("_wins") == key_count).select(*columns)
+        winners = left.join(wins, ["ord", *scope]).filter(F.col("_wins") == key_count).select(*columns)
         if edges is not None:
             other_first = firsts[near].select(*scope, F.col(near).alias("other"), F.col("ord").alias("_o"))
             around = (
-                edges.join(other_first, [*scope, "other"])
+                edges.join(other_first, ["other", *scope])
                 .groupBy(*scope, "h").agg(F.min("_o").alias("_around"))
                 .withColumnRenamed("h", near)
             )
             winners = (
-                winners.join(around, [*scope, near], "left")
+                winners.join(around, [near, *scope], "left")
                 .filter(F.col("_around").isNull() | (F.col("_around") > F.col("ord")))
                 .select(*columns)
             )
@@ -111,9 +111,9 @@ def _rounds(
         for k in keys:
             taken = winners.filter(F.col(k).isNotNull()).select(*scope, k)
             if k == near:
-                reached = edges.join(taken.withColumnRenamed(near, "h"), [*scope, "h"], "left_semi")
+                reached = edges.join(taken.withColumnRenamed(near, "h"), ["h", *scope], "left_semi")
                 taken = taken.unionByName(reached.select(*scope, F.col("other").alias(near)))
-            rest = rest.join(taken, [*scope, k], "left_anti")
+            rest = rest.join(taken, [k, *scope], "left_anti")
         left = materialise(rest.select(*columns), "undecided")
         n_left, done = left.count(), done + 1
     return kept
@@ -137,13 +137,13 @@ def _steps(
         if kept:
             so_far = reduce(DataFrame.unionByName, kept)
             for k in keys:
-                step = step.join(so_far.filter(F.col(k).isNotNull()).select(*scope, k), [*scope, k], "left_anti")
+                step = step.join(so_far.filter(F.col(k).isNotNull()).select(*scope, k), [k, *scope], "left_anti")
             step = materialise(step, "step")
             reached = near_pairs(
                 step.select(*scope, F.col(near).alias("h")).distinct(),
                 so_far.select(*scope, F.col(near).alias("h")), scope, max_distance,
             )
-            step = step.join(reached.select(*scope, F.col("h").alias(near)), [*scope, near], "left_anti")
+            step = step.join(reached.select(*scope, F.col("h").alias(near)), [near, *scope], "left_anti")
         kept += _rounds(materialise(step, "undecided"), scope, keys, near, max_distance, tail_rows)
         low, high = high, high * STEP_GROWTH
     return kept
@@ -193,4 +193,4 @@ def keep_rows(
     values = [F.coalesce(F.col(k), F.lit("")) if blank_is_key else F.nullif(F.col(k), F.lit("")) for k in keys]
     nodes = df.select(*scope, F.col(order).alias("ord"), *[v.alias(n) for v, n in zip(values, names)])
     kept = keep_greedy(nodes, names, scope, **kw).select(*scope, F.col("ord").alias(order))
-    return df.join(kept, [*scope, order], "left_semi")
+    return df.join(kept, [order, *scope], "left_semi")

@@ -20,26 +20,44 @@ def last_wins(df: DataFrame, keys: list[str], ord_col: str = "ord", keep: list[s
     return picked.select(*keys, "_last.*")
 
 
+def _together(key: str) -> Column:
+    """-1, computed from the key so that it stays a join key.
+
+    As a constant it would be folded away; the join would then reuse the partitioning of
+    an aggregation by the other keys, and a hot key could not be split at run time.
+    """
+    return F.least(F.length(F.col(key).cast("string")), F.lit(-1)).cast("bigint")
+
+
+def _apart(alone: Column, ord_col: str) -> Column:
+    """Second join key of the left rows: their own order for rows that match nothing."""
+    return F.when(alone, F.col(ord_col)).otherwise(F.lit(-1).cast("bigint"))
+
+
+def _keys_equal(on: list[tuple[str, str]]) -> Column:
+    condition = F.col("_apart") == F.col("_together")
+    for i, (l, _) in enumerate(on):
+        condition = condition & (F.col(l) == F.col(f"_k{i}"))
+    return condition
+
+
 def lookup(
     left: DataFrame, right: DataFrame, on: list[tuple[str, str]], needed: Column, ord_col: str, name: str
 ) -> DataFrame:
     """Left join to a table that has one row per key, as a struct column `name`.
 
-    Rows that need no lookup (blank key, value already known) carry their own order
-    as a second join key. They match nothing, and they spread over all tasks instead
-    of meeting in the task of the blank key.
+    Rows that need no lookup (blank key, value already known) carry their own order,
+    which is not negative, as a second join key. They match nothing, and they spread
+    over all tasks instead of meeting in the task of the blank key.
     """
-    keyed = left.withColumn("_apart", F.when(needed, F.lit(-1).cast("bigint")).otherwise(F.col(ord_col)))
+    keyed = left.withColumn("_apart", _apart(~needed, ord_col))
     side = right.select(
         *[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)],
-        F.lit(-1).cast("bigint").alias("_apart_r"),
+        _together(on[-1][1]).alias("_together"),
         F.struct(*right.columns).alias(name),
     )
-    condition = F.col("_apart") == F.col("_apart_r")
-    for i, (l, _) in enumerate(on):
-        condition = condition & (F.col(l) == F.col(f"_k{i}"))
-    joined = keyed.join(side, condition, "left")
-    return joined.drop("_apart", "_apart_r", *[f"_k{i}" for i in range(len(on))])
+    joined = keyed.join(side, _keys_equal(on), "left")
+    return joined.drop("_apart", "_together", *[f"_k{i}" for i in range(len(on))])
 
 
 def without(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str = "ord") -> DataFrame:
@@ -47,10 +65,6 @@ def without(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_co
     blank = F.lit(False)
     for l, _ in on:
         blank = blank | ~present(l)
-    keyed = left.withColumn("_apart", F.when(blank, F.col(ord_col)).otherwise(F.lit(-1).cast("bigint")))
     side = right.select(*[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)]).distinct()
-    side = side.withColumn("_apart_r", F.lit(-1).cast("bigint"))
-    condition = F.col("_apart") == F.col("_apart_r")
-    for i, (l, _) in enumerate(on):
-        condition = condition & (F.col(l) == F.col(f"_k{i}"))
-    return keyed.join(side, condition, "left_anti").drop("_apart")
+    side = side.withColumn("_together", _together(f"_k{len(on) - 1}"))
+    return left.withColumn("_apart", _apart(blank, ord_col)).join(side, _keys_equal(on), "left_anti").drop("_apart")

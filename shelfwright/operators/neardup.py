@@ -2,57 +2,102 @@
 
 Two 64-bit hashes at distance <= 5 agree in at least three of their eight bytes. A
 bucket is therefore a byte position and its value; buckets that hold too many hashes
-are split by a second and, where still too large, a third agreeing byte. Every pair is
-met in exactly one bucket: the one of its lowest agreeing bytes.
+are split by a second and, where still too large, a third agreeing byte. What remains
+of a hash are then 40 bits, and two such remainders agree in at least five of their ten
+half bytes: buckets that are too large even now are split by up to five of these. Every
+pair is met in exactly one bucket: the one of its lowest agreeing units.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.hashes import byte_at, distance, equal_bytes
+from shelfwright.functions.hashes import distance, equal_units
 from shelfwright.schemas import HASH_DISTANCE
+from shelfwright.session import materialise
 
 LARGEST_DISTANCE = 5
-BUCKET_ROWS = 4096
+# Larger buckets are split: comparing a hash with this many others costs about as much
+# as moving it once more for each byte that could agree next.
+BUCKET_ROWS = 1024
 LEFT, RIGHT = 1, 2
 
 
-def _split(items: DataFrame, scope: list[str], level: int) -> DataFrame:
-    """Move items one byte further: to each later byte that can be the next agreeing one."""
-    h = F.col("h")
-    options = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("last"),
-                F.col("path").bitwiseOR(F.lit(1 << i)).alias("path"),
-                (F.col("value") * 256 + byte_at(h, i)).alias("value"),
-            )
-            for i in range(6 + level)
-        ]
+BYTE, HALF = 8, 4
+# Units that must agree when five bits differ: 3 of 8 bytes, then 5 of 10 half bytes.
+BYTE_LEVELS, HALF_LEVELS = 3, 5
+
+
+def _bit(i: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), i)
+
+
+def _split(items: DataFrame, scope: list[str], level: int, width: int) -> DataFrame:
+    """Move items one unit of `bits` further: to each later unit that can agree next.
+
+    `path` has a bit per agreeing unit, `mask` all bits up to the last of them, and
+    `value` the units themselves.
+    """
+    at = F.col("at")
+    unit = F.call_function("shiftright", F.col("bits"), at * width).bitwiseAND(
+        F.lit((1 << width) - 1).cast("bigint")
+    )
+    return (
+        items.select("*", F.explode(F.sequence(F.col("last") + 1, F.lit(5 + level))).alias("at"))
+        .select(
+            *scope, "h", "side", "bits", "bytes", "byte_mask", "byte_value", at.alias("last"),
+            F.col("path").bitwiseOR(_bit(at)).alias("path"), (_bit(at + 1) - 1).alias("mask"),
+            (F.col("value") * (1 << width) + unit).alias("value"),
+        )
     )
-    later = F.filter(options, lambda o: o["last"] > F.col("last"))
-    return items.select(*scope, "h", "side", F.explode(later).alias("_o")).select(*scope, "h", "side", "_o.*")
 
 
-def _buckets(items: DataFrame, scope: list[str], bucket_rows: int) -> DataFrame:
-    start = items.select(
-        *scope, "h", "side", F.lit(-1).alias("last"), F.lit(0).alias("path"), F.lit(0).cast("bigint").alias("value")
+def _fresh(items: DataFrame, scope: list[str], bits: Column, keep_bytes: bool) -> DataFrame:
+    """Items at the root of the splits over `bits`."""
+    found = ("path", "mask", "value") if keep_bytes else (F.lit(0), F.lit(0), F.lit(0).cast("bigint"))
+    found = [F.col(c) if isinstance(c, str) else c for c in found]
+    return items.select(
+        *scope, "h", "side", bits.alias("bits"),
+        *[c.alias(n) for c, n in zip(found, ("bytes", "byte_mask", "byte_value"))],
+        F.lit(-1).alias("last"), F.lit(0).alias("path"), F.lit(0).alias("mask"),
+        F.lit(0).cast("bigint").alias("value"),
     )
-    current = _split(start, scope, 0)
+
+
+def _rest() -> Column:
+    """The five bytes of a hash that are not in its path, as one number."""
+    def grow(acc: Column, i: Column) -> Column:
+        byte = F.call_function("shiftright", F.col("h"), i * BYTE).bitwiseAND(F.lit(255).cast("bigint"))
+        free = F.col("path").bitwiseAND(_bit(i)) == 0
+        return F.when(free, acc * 256 + byte).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0).cast("bigint"), grow)
+
+
+def _buckets(items: DataFrame, scope: list[str], bucket_rows: int) -> DataFrame:
+    """Items in buckets of at most `bucket_rows`, as far as splitting can get."""
+    current = _split(_fresh(items, scope, F.col("h"), False), scope, 0, BYTE)
     if items.limit(bucket_rows + 1).count() <= bucket_rows:
         return current
-    done = []
-    for level in (1, 2):
-        keys = [*scope, "path", "value"]
-        large = (
+    keys = ["value", "path", "byte_value", "bytes", *scope]
+    done, width, level = [], BYTE, 1
+    while True:
+        current = materialise(current, "buckets")
+        large = materialise(
             current.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > bucket_rows).select(*keys)
+            .filter(F.col("_n") > bucket_rows).select(*keys),
+            "large",
         )
+        if large.isEmpty() or (width == HALF and level == HALF_LEVELS):
+            break
         done.append(current.join(large, keys, "left_anti"))
-        current = _split(current.join(large, keys, "left_semi"), scope, level)
+        hot = current.join(large, keys, "left_semi")
+        if width == BYTE and level == BYTE_LEVELS:
+            hot, width, level = _fresh(hot, scope, _rest(), True), HALF, 0
+        current = _split(hot, scope, level, width)
+        level += 1
     return reduce(DataFrame.unionByName, [*done, current])
 
 
@@ -66,32 +111,42 @@ def near_pairs(
     """(scope, h, other) for each hash of `left` and a different, near hash of `right`.
 
     Both sides hold distinct (scope, h); copies are to be collapsed first. Without
-    `right` the hashes of `left` are compared among themselves, in both directions.
+    `right` the hashes of `left` are compared among themselves and pairs come in both
+    directions. Hashes and buckets are spread over all shuffle partitions by number, since
+    this work costs far more than its few bytes suggest.
     """
     if not 0 <= max_distance <= LARGEST_DISTANCE:
         raise ValueError(f"distance must be between 0 and {LARGEST_DISTANCE}")
     scope = scope or []
-    if right is None:
-        items = left.select(*scope, "h", F.lit(LEFT | RIGHT).alias("side"))
-    else:
-        items = left.select(*scope, "h", F.lit(LEFT).alias("side")).unionByName(
-            right.select(*scope, "h", F.lit(RIGHT).alias("side"))
-        )
-    bucketed = _buckets(items, scope, bucket_rows)
-    a = bucketed.filter(F.col("side").bitwiseAND(F.lit(LEFT)) != 0).drop("side")
-    b = (
-        bucketed.filter(F.col("side").bitwiseAND(F.lit(RIGHT)) != 0)
-        .drop("side", "last").withColumnRenamed("h", "other")
-    )
-    apart = distance(F.col("h"), F.col("other"))
-    lowest = equal_bytes(F.col("h"), F.col("other")).bitwiseAND(
-        F.call_function("shiftleft", F.lit(2), F.col("last")) - F.lit(1)
-    )
-    return (
-        a.join(b, [*scope, "path", "value"])
-        .filter(apart.between(1, max_distance) & (lowest == F.col("path")))
+    alone = right is None
+    items = left.select(*scope, "h", F.lit(LEFT).alias("side"))
+    if not alone:
+        items = items.unionByName(right.select(*scope, "h", F.lit(RIGHT).alias("side")))
+    # The most varied key first: sorts then rarely compare whole rows.
+    keys = ["value", "path", "mask", "byte_value", "bytes", "byte_mask", *scope]
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = _buckets(items.repartition(partitions, "h"), scope, bucket_rows).select(*keys, "h", "side", "bits")
+    a = placed if alone else placed.filter(F.col("side") == LEFT)
+    b = placed if alone else placed.filter(F.col("side") == RIGHT)
+    a = a.drop("side").repartition(partitions, *keys)
+    b = b.drop("side").repartition(partitions, *keys).withColumnsRenamed({"h": "other", "bits": "other_bits"})
+    h, other = F.col("h"), F.col("other")
+    different = h < other if alone else h != other
+    # Below the last agreeing unit no other unit may agree, on either level.
+    half = F.col("bytes") != 0
+    bytes_path = F.when(half, F.col("bytes")).otherwise(F.col("path"))
+    bytes_mask = F.when(half, F.col("byte_mask")).otherwise(F.col("mask"))
+    first_bytes = equal_units(h, other, BYTE, 8).bitwiseAND(bytes_mask) == bytes_path
+    halves = equal_units(F.col("bits"), F.col("other_bits"), HALF, 10).bitwiseAND(F.col("mask"))
+    pairs = (
+        a.join(b, keys)
+        .filter(different & (distance(h, other) <= max_distance) & first_bytes & (~half | (halves == F.col("path"))))
         .select(*scope, "h", "other")
     )
+    if not alone:
+        return pairs
+    ways = F.array(F.struct("h", "other"), F.struct(F.col("other").alias("h"), F.col("h").alias("other")))
+    return pairs.select(*scope, F.explode(ways).alias("_w")).select(*scope, "_w.*")
 
 
 def first_near(
@@ -108,11 +163,11 @@ def first_near(
     pairs = near_pairs(firsts, None, scope, max_distance, bucket_rows)
     others = firsts.withColumnsRenamed({"h": "other", "_first": "_other_first"})
     around = (
-        pairs.join(others, [*scope, "other"])
+        pairs.join(others, ["other", *scope])
         .groupBy(*scope, "h").agg(F.min("_other_first").alias("_around"))
     )
     best = (
-        firsts.join(around, [*scope, "h"], "left")
+        firsts.join(around, ["h", *scope], "left")
         .select(*scope, F.col("h").alias(h), F.least("_first", "_around").alias("near_ord"))
     )
-    return df.join(best, [*scope, h]).filter(F.col("near_ord") < F.col(order))
+    return df.join(best, [h, *scope]).filter(F.col("near_ord") < F.col(order))

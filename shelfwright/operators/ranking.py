@@ -32,11 +32,11 @@ def _before(counts: DataFrame, scope: list[str], shifts: tuple[int, ...]) -> Dat
     upper = _before(coarse, scope, tuple(s - shifts[0] for s in shifts[1:])).withColumnsRenamed(
         {"_chunk": "_wide", "_ahead": "_base"}
     )
-    inner = Window.partitionBy(*scope, "_wide").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("_wide", *scope).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("_n").over(inner), F.lit(0))
     return (
         wide.withColumn("_within", ahead)
-        .join(upper, [*scope, "_wide"])
+        .join(upper, ["_wide", *scope])
         .select(*scope, "_chunk", (F.col("_base") + F.col("_within")).alias("_ahead"), "_all")
     )
 
@@ -62,8 +62,8 @@ def with_position(
     ahead = _before(counts, scope, tuple(s - shifts[0] for s in shifts[1:]))
     if limit is not None:
         ahead = ahead.filter(F.col("_ahead") < limit)
-    w = Window.partitionBy(*scope, "_chunk").orderBy(order, *(ties or []))
-    out = chunked.join(ahead, [*scope, "_chunk"]).withColumn(
+    w = Window.partitionBy("_chunk", *scope).orderBy(order, *(ties or []))
+    out = chunked.join(ahead, ["_chunk", *scope]).withColumn(
         position, F.col("_ahead") + F.row_number().over(w).cast("bigint")
     )
     if total:

@@ -77,7 +77,7 @@ def gate(
     kept = keep_greedy(
         eligible, ["source_url"], scope, near="image_hash", max_distance=max_distance, **kw
     ).select(*scope, "ord")
-    accepted = eligible.join(kept, [*scope, "ord"], "left_semi")
+    accepted = eligible.join(kept, ["ord", *scope], "left_semi")
     on_scope = [(c, c) for c in scope]
     by_source = accepted.select(*scope, "source_url", F.col("ord").alias("kept_ord"))
     by_image = accepted.select(*scope, "_image", F.col("ord").alias("kept_ord"))

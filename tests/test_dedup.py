@@ -170,3 +170,16 @@ def test_split_counts(spark, n, wanted):
 def test_last_page_is_short(spark):
     df = spark.range(51).withColumnRenamed("id", "ord")
     assert kept_ords(ranking.page_of(df, 3, 25)) == [50]
+
+
+def test_near_pairs_where_five_bytes_are_constant(spark):
+    """A third of the hashes differ only in three bytes: half bytes must split them."""
+    rng = random.Random(21)
+    hashes = set()
+    while len(hashes) < 300:
+        h = rng.getrandbits(24) << 20 if len(hashes) % 3 == 0 else rng.getrandbits(63)
+        hashes |= {h, h ^ (1 << rng.randrange(20, 44))}
+    hashes = sorted(hashes)
+    df = spark.createDataFrame([(h,) for h in hashes], "h long")
+    got = sorted((r.h, r.other) for r in neardup.near_pairs(df, bucket_rows=4).collect())
+    assert got == sorted((a, b) for a in hashes for b in hashes if a != b and apart(a, b) <= 5)
