@@ -60,11 +60,20 @@ def lookup(
     return joined.drop("_apart", "_together", *[f"_k{i}" for i in range(len(on))])
 
 
-def without(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str = "ord") -> DataFrame:
-    """Rows of `left` whose non-blank key does not occur in `right`."""
+def _filtered(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str, how: str) -> DataFrame:
     blank = F.lit(False)
     for l, _ in on:
         blank = blank | ~present(l)
     side = right.select(*[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)]).distinct()
     side = side.withColumn("_together", _together(f"_k{len(on) - 1}"))
-    return left.withColumn("_apart", _apart(blank, ord_col)).join(side, _keys_equal(on), "left_anti").drop("_apart")
+    return left.withColumn("_apart", _apart(blank, ord_col)).join(side, _keys_equal(on), how).drop("_apart")
+
+
+def without(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str = "ord") -> DataFrame:
+    """Rows of `left` whose key is blank or does not occur in `right`."""
+    return _filtered(left, right, on, ord_col, "left_anti")
+
+
+def within(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str = "ord") -> DataFrame:
+    """Rows of `left` whose non-blank key occurs in `right`."""
+    return _filtered(left, right, on, ord_col, "left_semi")

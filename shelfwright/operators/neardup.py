@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.functions.hashes import distance, equal_units
+from shelfwright.operators.joins import lookup
 from shelfwright.schemas import HASH_DISTANCE
 from shelfwright.session import materialise
 
@@ -170,4 +171,5 @@ def first_near(
         firsts.join(around, ["h", *scope], "left")
         .select(*scope, F.col("h").alias(h), F.least("_first", "_around").alias("near_ord"))
     )
-    return df.join(best, [h, *scope]).filter(F.col("near_ord") < F.col(order))
+    found = lookup(df, best, [*[(c, c) for c in scope], (h, h)], F.lit(True), order, "_best")
+    return found.withColumn("near_ord", F.col("_best.near_ord")).drop("_best").filter(F.col("near_ord") < F.col(order))

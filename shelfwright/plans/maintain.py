@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.functions.fields import filled, padded_id, present
 from shelfwright.functions.naming import listed_filename
-from shelfwright.operators.joins import last_wins, lookup
+from shelfwright.operators.joins import last_wins, lookup, within
 from shelfwright.operators.ranking import shuffled, split_sets, with_position
 from shelfwright.schemas import CLEAN, DATASET_MAPPING, MAPPING, PUBLISHED_EXTRA
 from shelfwright.sources.stage_files import merged_columns
@@ -84,8 +84,8 @@ def split_report(split: DataFrame, scope: list[str] | None = None) -> DataFrame:
 
 def live_links(mapping: DataFrame, url_status: DataFrame) -> DataFrame:
     """Rows whose URL last answered 200."""
-    alive = url_status.filter(F.col("status") == 200).select("secure_url").distinct()
-    return mapping.join(alive, "secure_url", "left_semi").select(*mapping.columns)
+    alive = url_status.filter(F.col("status") == 200)
+    return within(mapping, alive, [("secure_url", "secure_url")])
 
 
 def clean_links(

@@ -123,11 +123,14 @@ def write_stage(
 ) -> None:
     """Write the fixed columns in row order; parquet keeps `ord`, CSV keeps it as file order.
 
-    `path` must not be one that `df` reads; see `snapshot`.
+    By category, each task writes a range of one or few categories: a large category is
+    split over tasks, and small ones do not leave a file per task. `path` must not be one
+    that `df` reads; see `snapshot`.
     """
     out = projected(df, columns)
     if "ord" in out.columns:
-        out = out.repartitionByRange("ord").sortWithinPartitions("ord")
+        place = ["category", "ord"] if by_category else ["ord"]
+        out = out.repartitionByRange(*place).sortWithinPartitions(*place)
     writer_frame = out.drop("ord") if fmt == "csv" else out
     writer = writer_frame.write.mode(mode)
     if by_category:
