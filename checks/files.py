@@ -122,9 +122,10 @@ def a13(v: Inputs):
     return everything.select("cloudinaryPublicId").filter(F.col("cloudinaryPublicId") != "")
 
 
-@register("a14_mapping_preference", "SELECT filename, secure_url, public_id, original_image_url FROM mapping WHERE ord % 2 = 0")
+@register("a14_mapping_preference", "SELECT 'curated-' || filename AS filename, secure_url, public_id, original_image_url FROM mapping")
 def a14(v: Inputs):
     preferred, fallback = scratch_path(v.spark, "curated"), scratch_path(v.spark, "stage")
-    files.write_stage(v.mapping.filter(F.col("ord") % 2 == 0), preferred, MAPPING)
+    curated = v.mapping.withColumn("filename", F.concat(F.lit("curated-"), "filename"))
+    files.write_stage(curated, preferred, MAPPING)
     files.write_stage(v.mapping, fallback, MAPPING)
     return files.read_mapping(v.spark, preferred, fallback, MAPPING).drop("ord")

@@ -157,10 +157,12 @@ listed AS (SELECT * FROM lazada_listed),
 urls AS (SELECT ord, category, nullif(source_url, '') AS s, nullif(image_url, '') AS i,
   row_number() OVER (PARTITION BY category ORDER BY ord) AS rn FROM listed WHERE {fresh})
 """
-# Stored before the run: every 97th row of the feed, under its crawl category.
+# Stored before the run: the feed under its crawl categories, most rows with URLs that
+# have changed since.
 LAZADA_STORED = """
-stored AS (SELECT 'c' || CAST((ord // 40) % 4 AS STRING) AS category, source_url, regexp_replace(original_image_url, '_200x200q80.jpg$', '') AS image_url,
-  ord AS n FROM feed WHERE ord % 97 = 3)
+stored AS (SELECT 'c' || CAST((ord // 40) % 4 AS STRING) AS category, source_url || was AS source_url,
+  regexp_replace(original_image_url, '_200x200q80.jpg$', '') || was AS image_url, ord AS n
+  FROM (SELECT *, CASE WHEN ord % 97 = 3 THEN '' ELSE '?was' END AS was FROM feed) f)
 """
 FRESH = """NOT EXISTS (SELECT 1 FROM stored s WHERE s.category = listed.category AND s.source_url <> '' AND s.source_url = listed.source_url)
   AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.category = listed.category AND s.image_url <> '' AND s.image_url = listed.image_url)"""
@@ -169,9 +171,10 @@ FRESH = """NOT EXISTS (SELECT 1 FROM stored s WHERE s.category = listed.category
 def stored(v: Inputs):
     block = F.floor(F.col("ord") / 40)
     image = F.regexp_replace("original_image_url", "_200x200q80.jpg$", "")
-    return v.feed.filter(F.col("ord") % 97 == 3).select(
-        "id", F.concat(F.lit("c"), (block % 4).cast("string")).alias("category"), "source_url",
-        image.alias("original_image_url"), F.lit("").alias("image_url"),
+    was = F.when(F.col("ord") % 97 == 3, "").otherwise("?was")
+    return v.feed.select(
+        "id", F.concat(F.lit("c"), (block % 4).cast("string")).alias("category"), F.concat("source_url", was).alias("source_url"),
+        F.concat(image, was).alias("original_image_url"), F.lit("").alias("image_url"),
     )
 
 

@@ -140,12 +140,18 @@ def i8_products(v: Inputs):
     return maintain.renumber(v.feed, v.mapping)[0]
 
 
-@register("d3_positional_mapping", RENUMBER_SQL + """
-SELECT m.ord, m.filename, m.secure_url, m.public_id, CASE WHEN p.pos IS NULL THEN m.original_image_url ELSE p.original_image_url END AS original_image_url
-FROM m LEFT JOIN (SELECT row_number() OVER (ORDER BY ord) AS pos, original_image_url FROM feed WHERE ord % 2 = 0) p ON p.pos = m.pos
+# Twice the mapping, so that it is longer than the products.
+@register("d3_positional_mapping", """
+WITH p AS (SELECT *, row_number() OVER (ORDER BY ord) AS pos FROM feed),
+twice AS (SELECT * FROM mapping UNION ALL SELECT * REPLACE (ord + 4000000000000 AS ord) FROM mapping),
+m AS (SELECT *, row_number() OVER (ORDER BY ord) AS pos FROM twice)
+SELECT m.ord, m.filename, m.secure_url, m.public_id,
+  CASE WHEN p.pos IS NULL THEN m.original_image_url ELSE p.original_image_url END AS original_image_url
+FROM m LEFT JOIN p ON p.pos = m.pos
 """)
 def d3(v: Inputs):
-    return maintain.renumber(v.feed.filter(F.col("ord") % 2 == 0), v.mapping)[1]
+    twice = v.mapping.unionByName(v.mapping.withColumn("ord", F.col("ord") + 4000000000000))
+    return maintain.renumber(v.feed, twice)[1]
 
 
 @register("f8_renumber_counts", """
@@ -184,17 +190,22 @@ def f9(v: Inputs):
     return maintain.category_totals(synced.withColumn("category", F.substring_index("public_id", "/", 1)))
 
 
+# History: every row of the feed, most of them with URLs that have changed since.
 SEEN_SQL = """
-SELECT f.ord FROM feed f WHERE NOT EXISTS (SELECT 1 FROM feed e WHERE e.ord % 7 = 3 AND e.category = f.category
-    AND f.source_url <> '' AND e.source_url = f.source_url)
-  AND NOT EXISTS (SELECT 1 FROM feed e WHERE e.ord % 7 = 3 AND e.category = f.category
-    AND f.original_image_url <> '' AND e.original_image_url = f.original_image_url)
+WITH old AS (SELECT category, source_url || CASE WHEN ord % 7 = 3 THEN '' ELSE '?was' END AS s,
+  original_image_url || CASE WHEN ord % 7 = 3 THEN '' ELSE '?was' END AS i FROM feed)
+SELECT f.ord FROM feed f WHERE NOT EXISTS (SELECT 1 FROM old e WHERE e.category = f.category AND f.source_url <> '' AND e.s = f.source_url)
+  AND NOT EXISTS (SELECT 1 FROM old e WHERE e.category = f.category AND f.original_image_url <> '' AND e.i = f.original_image_url)
 """
 
 
 @register("d6_resume_unseen", SEEN_SQL)
 def d6(v: Inputs):
-    history = v.feed.filter(F.col("ord") % 7 == 3).withColumn("image_url", F.lit(""))
+    changed = F.when(F.col("ord") % 7 == 3, "").otherwise("?was")
+    history = v.feed.select(
+        "category", F.concat("source_url", changed).alias("source_url"),
+        F.concat("original_image_url", changed).alias("original_image_url"), F.lit("").alias("image_url"),
+    )
     products = v.feed.withColumn("image_url", F.col("original_image_url"))
     return listing.unseen(products, history, "lazada").select("ord")
 
@@ -509,13 +520,11 @@ def e15(v: Inputs):
 
 
 @register("g1_g2_seen_urls", """
-SELECT DISTINCT category, source_url FROM feed
+SELECT category, source_url FROM feed UNION SELECT 'cat' || CAST(ord % 8 AS STRING), secure_url FROM mapping
 """)
 def g12(v: Inputs):
-    history, new = v.feed.filter(F.col("ord") % 2 == 0), v.feed.filter(F.col("ord") % 3 == 0)
-    rest = v.feed.filter((F.col("ord") % 2 != 0) & (F.col("ord") % 3 != 0))
-    both = history.unionByName(new).unionByName(rest)
-    return both.select("category", "source_url").distinct()
+    new = v.mapping.select(F.concat(F.lit("cat"), (F.col("ord") % 8).cast("string")).alias("category"), F.col("secure_url").alias("source_url"))
+    return v.feed.select("category", "source_url").unionByName(new).distinct()
 
 
 @register("i13_f3_summary", "SELECT category AS label_vi, count(*) AS rows, category || '.csv' AS file FROM feed GROUP BY category")
