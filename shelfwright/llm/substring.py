@@ -8,9 +8,9 @@ as bytes; the earliest keeps its place and the others are marked.
 
 Super-k-mers that occur again within a batch stay there: only the first travels, the others are
 marked at once. A first pass counts minimisers; windows of those with more than HOT_SHARE of all
-super-k-mers travel one by one, spread by their own hash, so a phrase that is very common in
-different surroundings does not gather in one bucket. At most 2 / HOT_SHARE such hashes exist, which bounds
-what the driver passes on. Buckets hold about BUCKET_BYTES of text whatever the size of the corpus.
+super-k-mers (and more than HOT_ROWS of them) travel one by one, spread by their own hash, so a phrase
+that is very common in different surroundings does not gather in one bucket. At most 2 / HOT_SHARE such
+hashes exist, which bounds what the driver passes on. Buckets hold about BUCKET_BYTES of text whatever the size of the corpus.
 
 Documents are ordered by id, null last; rows that repeat an id by a hash of their text. Rows equal in id and
 text are one document: they get the same result and do not repeat each other. A null or blank text has
@@ -86,40 +86,55 @@ def _text_batches(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarra
         yield number[rows], mark[rows], WordBuffer.of([[] if t is None else t.encode().split() for t in texts])
 
 
-def _count(width: int, seed: int):
+def _count(width: int, seed: int, tasks: int):
+    """Per task: the number and size of its super-k-mers, and its frequent minimisers.
+
+    What all tasks leave out of a minimiser's count is less than half of what makes it hot.
+    """
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, rows, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0
         for batch in batches:
             for _, _, words in _text_batches(batch):
                 first, last, key = super_kmers(words, width, seed, np.zeros(0, np.uint64))
                 if len(first) == 0:
                     continue
                 found, n = np.unique(key, return_counts=True)
-                # What a batch leaves out is less than half of what makes a minimiser hot.
-                often = n > len(first) * HOT_SHARE / 2
-                size = int((words.ends[last] - words.starts[first] + 1).sum())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(([0], found[often].view(np.int64)))),
-                        pa.array(np.concatenate(([size], np.zeros(int(often.sum()), np.int64)))),
-                        pa.array(np.concatenate(([len(first)], n[often]))),
-                        pa.array(np.concatenate(([True], np.zeros(int(often.sum()), bool)))),
-                    ],
-                    names=["key", "bytes", "n", "total"],
-                )
+                keys, place = np.unique(np.concatenate((keys, found)), return_inverse=True)
+                counts = np.bincount(place, np.concatenate((counts, n))).astype(np.int64)
+                rows += len(first)
+                size += int((words.ends[last] - words.starts[first] + 1).sum())
+        if rows:
+            often = counts > max(rows * HOT_SHARE, HOT_ROWS / tasks) / 4
+            none = np.zeros(int(often.sum()), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(([0], keys[often].view(np.int64)))), pa.array(np.concatenate(([size], none))),
+                    pa.array(np.concatenate(([rows], counts[often]))), pa.array(np.concatenate(([True], none.astype(bool)))),
+                ],
+                names=["key", "bytes", "n", "total"],
+            )
 
     return count
 
 
+# Columns of a packed row: document, text hash, first word, words (or word after the last).
+PACKED = ("<i8", "<i4", "<i4", "<i4")
+
+
 def _pack(arrays: list[np.ndarray], text: bytes) -> bytes:
-    head = np.array([len(arrays[0]) if arrays else 0], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.astype(np.int64).tobytes() for a in arrays) + text)
+    head = np.array([len(arrays[0])], "<i8").tobytes()
+    columns = [a.astype(kind).tobytes() for a, kind in zip(arrays, PACKED, strict=True)]
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(columns) + text)
 
 
-def _unpack(data: bytes, columns: int) -> tuple[list[np.ndarray], bytes]:
+def _unpack(data: bytes) -> tuple[list[np.ndarray], bytes]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    arrays = [np.frombuffer(raw, np.int64, n, 8 + 8 * n * i) for i in range(columns)]
-    return arrays, raw[8 + 8 * n * columns :]
+    n, at, arrays = int(np.frombuffer(raw, "<i8", 1)[0]), 8, []
+    for kind in PACKED:
+        arrays.append(np.frombuffer(raw, kind, n, at).astype(np.int64))
+        at += n * np.dtype(kind).itemsize
+    return arrays, raw[at:]
 
 
 def _send(width: int, seed: int, hot: np.ndarray, buckets: int):
@@ -213,7 +228,7 @@ def _find(width: int):
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (number, mark, begin, end)], names=["number", "mark", "begin", "end"])
 
     def solve(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [_unpack(b, 4) for b in blobs]
+        parts = [_unpack(b) for b in blobs]
         number, mark, first, size = (np.concatenate([p[0][c] for p in parts]) for c in range(4))
         words = WordBuffer(b"".join(p[1] for p in parts), size)
         owner, offset = repeated_windows(words, [number, mark, first], width)
@@ -234,7 +249,7 @@ def _find(width: int):
                 current, blobs = bucket, []
             for kind, blob in zip(piece.column(1).to_pylist(), piece.column(2), strict=True):
                 if kind:
-                    yield spans(*_unpack(blob.as_py(), 4)[0])
+                    yield spans(*_unpack(blob.as_py())[0])
                 else:
                     blobs.append(blob.as_py())
         if blobs:
@@ -246,13 +261,13 @@ def _find(width: int):
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """Word spans covered by repeated windows: number, mark (see `_keys`), begin, end (excluded); spans may overlap."""
     source = docs.select(*_keys(docs, id_col, text_col), F.col(text_col).alias("text"), F.octet_length(text_col).cast("long").alias("size"))
-    counted = source.mapInArrow(_count(width, seed), "key long, bytes long, n long, total boolean")
+    counted = source.mapInArrow(_count(width, seed, source.rdd.getNumPartitions()), "key long, bytes long, n long, total boolean")
     counts = materialise(counted.groupBy("total", "key").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "minimisers")
     total = counts.filter("total").first()
     if total is None:  # no document has a window
         empty = "CAST(0 AS BIGINT) AS number", "CAST(0 AS BIGINT) AS mark", "CAST(0 AS BIGINT) AS begin", "CAST(0 AS BIGINT) AS end"
         return docs.filter("false").selectExpr(*empty)
-    often = counts.filter(~F.col("total") & (F.col("n") > max(HOT_ROWS, total["n"] * HOT_SHARE / 2)))
+    often = counts.filter(~F.col("total") & (F.col("n") > max(HOT_ROWS, total["n"] * HOT_SHARE) / 2))
     hot = np.array([r["key"] for r in often.select("key").collect()], np.int64).view(np.uint64)
     buckets = max(1, math.ceil(total["bytes"] / BUCKET_BYTES))
     sent = source.mapInArrow(_send(width, seed, hot, buckets), "bucket long, kind int, blob binary")
@@ -263,7 +278,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> list:
     """A document's place in the order: its id, null last, then a hash of its text."""
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("number"), F.xxhash64(text_col).alias("mark")]
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("number"), F.hash(text_col).cast("long").alias("mark")]
 
 
 def remove_repeats(
