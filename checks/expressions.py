@@ -123,7 +123,7 @@ SELECT ord, 'https://www.lazada.vn/tag/' || replace(url_encode(replace(lower(tri
     || CASE WHEN page > 1 THEN '&page=' || CAST(page AS STRING) ELSE '' END AS lazada,
   'https://www.asos.com/api/product/search/v2/?offset=' || CAST(page * 72 AS STRING) || '&q=' || k
     || '&store=ROW&lang=en-GB&currency=USD&limit=72&country=VN' AS asos,
-  'https://tiki.vn/api/v2/products?limit=40&include=advertisement&is_mweb=1&aggregations=2&version=&_v=within_promotions&trackity_id=70be08b3-8fa5-ca27-69c5-bb2c444a49d2&q='
+  'https://tiki.vn/api/v2/products?limit=40&include=advertisement&is_mweb=1&aggregations=2&version=&_v=within_promotions&trackity_id=session-1&q='
     || replace(url_encode(k), '%20', '+') || '&page=' || CAST(page AS STRING) AS tiki
 FROM (SELECT ord, name || ' áo/~*' AS k, ord % 4 + 1 AS page FROM feed) t
 """)
@@ -131,7 +131,7 @@ def b10(v: Inputs):
     k, page = F.concat("name", F.lit(" áo/~*")), F.col("ord") % 4 + 1
     return v.feed.select(
         "ord", urls.lazada_request(k, page).alias("lazada"), urls.asos_request(k, page).alias("asos"),
-        urls.tiki_request(k, page).alias("tiki"),
+        urls.tiki_request(k, page, "session-1").alias("tiki"),
     )
 
 

@@ -78,11 +78,14 @@ def i1_asos(v: Inputs):
 
 @register("j1_incremental_ingest", ASOS_KEPT)
 def j1(v: Inputs):
-    pages = scratch_path(v.spark, "captures")
-    v.asos_captures.write.parquet(pages)
+    """Captures in several batches, in the order of their pages."""
     table = scratch_path(v.spark, "raw")
-    stream = ingest.captured_stream(v.spark, pages)
-    ingest.ingest(stream, "asos", table, scratch_path(v.spark, "progress"), RUN_TS, max_pages=ALL_PAGES).awaitTermination()
+    pages, progress = scratch_path(v.spark, "captures"), scratch_path(v.spark, "progress")
+    captures = v.asos_captures.withColumn("part", F.least(F.col("page") / 20, F.lit(3)).cast("int"))
+    for part in range(4):
+        captures.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(pages)
+        stream = ingest.captured_stream(v.spark, pages)
+        ingest.ingest(stream, "asos", table, progress, RUN_TS).awaitTermination()
     return ingest.stored_rows(v.spark, table).drop("ord")
 
 

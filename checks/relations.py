@@ -13,8 +13,12 @@ RUN_TS = "2024-03-03T00:00:00"
 
 LAST_BY_NAME = """(SELECT filename, max_by(secure_url, ord) AS secure_url, max_by(public_id, ord) AS public_id,
   max_by(original_image_url, ord) AS image FROM mapping WHERE filename <> '' GROUP BY filename)"""
-LAST_BY_ID = """(SELECT public_id, max_by(secure_url, ord) AS secure_url, max_by(filename, ord) AS filename,
-  max_by(original_image_url, ord) AS image FROM mapping WHERE public_id <> '' GROUP BY public_id)"""
+# The same within each category.
+SHELF_BY_NAME = """(SELECT category, filename, max_by(secure_url, ord) AS secure_url, max_by(public_id, ord) AS public_id,
+  max_by(original_image_url, ord) AS image FROM shelf_mapping WHERE filename <> '' GROUP BY category, filename)"""
+SHELF_BY_ID = """(SELECT category, public_id, max_by(secure_url, ord) AS secure_url, max_by(filename, ord) AS filename,
+  max_by(original_image_url, ord) AS image FROM shelf_mapping WHERE public_id <> '' GROUP BY category, public_id)"""
+
 
 
 @register("f11_last_wins", f"SELECT filename, secure_url, public_id, image AS original_image_url FROM {LAST_BY_NAME} m")
@@ -27,7 +31,7 @@ SELECT f.ord, coalesce(nullif(f.final_category, ''), f.category) AS category, f.
   f.source_url AS "sourceUrl", trim(f.original_image_url) AS "originalImageUrl",
   coalesce(nullif(f.cloudinary_url, ''), m.secure_url, '') AS "cloudinaryUrl",
   coalesce(nullif(f.cloudinary_public_id, ''), m.public_id, '') AS "cloudinaryPublicId", '' AS "createdAt"
-FROM feed f LEFT JOIN {LAST_BY_NAME} m ON f.filename = m.filename
+FROM shelf f LEFT JOIN {SHELF_BY_NAME} m ON f.category = m.category AND f.filename = m.filename
 WHERE coalesce(nullif(f.cloudinary_url, ''), m.secure_url, '') <> ''
   AND coalesce(nullif(f.cloudinary_public_id, ''), m.public_id, '') <> ''
 """
@@ -35,12 +39,12 @@ WHERE coalesce(nullif(f.cloudinary_url, ''), m.secure_url, '') <> ''
 
 @register("i6_build_final", FINAL_SQL)
 def i6(v: Inputs):
-    return final.build_final(v.feed, v.mapping)
+    return final.build_final(v.shelf, v.shelf_mapping)
 
 
 PLAN_SQL = f"""
 WITH named AS (
-  SELECT f.*, row_number() OVER (ORDER BY f.ord) - 1 AS pos, trim(original_image_url) AS image,
+  SELECT f.*, row_number() OVER (PARTITION BY f.category ORDER BY f.ord) - 1 AS pos, trim(original_image_url) AS image,
     coalesce(nullif(final_category, ''), nullif(category, ''), 'unknown') AS folder FROM clean f),
 files AS (
   SELECT *, CASE WHEN filename <> '' AND NOT (source = 'asos' AND regexp_matches(filename, '^[0-9]+[.]jpg$')) THEN filename
@@ -51,7 +55,8 @@ found AS (
     CASE WHEN a.public_id IS NOT NULL THEN a.secure_url ELSE b.secure_url END AS m_url,
     CASE WHEN a.public_id IS NOT NULL THEN a.image ELSE b.image END AS m_image,
     a.public_id IS NOT NULL OR b.filename IS NOT NULL AS m_found
-  FROM ids i LEFT JOIN {LAST_BY_ID} a ON i.expected_id = a.public_id LEFT JOIN {LAST_BY_NAME} b ON i.new_name = b.filename),
+  FROM ids i LEFT JOIN {SHELF_BY_ID} a ON i.category = a.category AND i.expected_id = a.public_id
+    LEFT JOIN {SHELF_BY_NAME} b ON i.category = b.category AND i.new_name = b.filename),
 planned AS (
   SELECT *, CASE WHEN image = '' THEN 'missing_image'
     WHEN cloudinary_url <> '' AND cloudinary_public_id <> '' AND cloudinary_public_id = expected_id THEN 'keep_existing'
@@ -61,7 +66,7 @@ planned AS (
 
 
 @register("i4_publish_plan", PLAN_SQL + """
-SELECT ord, action, new_name AS filename, folder, expected_id,
+SELECT ord, category, action, new_name AS filename, folder, expected_id,
   action LIKE 'upload%' AND m_found AND m_image = '' AS legacy_mapping_ignored,
   action LIKE 'upload%' AND cloudinary_url <> '' AND cloudinary_public_id <> '' AS outside_folder,
   CASE WHEN action = 'reuse_mapping' THEN m_url ELSE cloudinary_url END AS cloudinary_url,
@@ -69,19 +74,19 @@ SELECT ord, action, new_name AS filename, folder, expected_id,
 FROM planned
 """)
 def i4(v: Inputs):
-    return publish.publish_plan(v.clean, v.mapping, RUN_TS).select(
-        "ord", "action", "filename", "folder", "expected_id", "legacy_mapping_ignored", "outside_folder",
+    return publish.publish_plan(v.clean, v.shelf_mapping, RUN_TS).select(
+        "ord", "category", "action", "filename", "folder", "expected_id", "legacy_mapping_ignored", "outside_folder",
         "cloudinary_url", "cloudinary_public_id",
     )
 
 
-@register("d2_plan_mapping", PLAN_SQL + "SELECT ord, coalesce(m_id, '') AS public_id, coalesce(m_url, '') AS secure_url FROM planned WHERE image <> ''")
+@register("d2_plan_mapping", PLAN_SQL + "SELECT ord, category, coalesce(m_id, '') AS public_id, coalesce(m_url, '') AS secure_url FROM planned WHERE image <> ''")
 def d2(v: Inputs):
-    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
-    rows = plan.select("ord", "filename", "expected_id", "image_url").filter(F.col("image_url") != "")
-    found = publish.with_mapping(rows, v.mapping)
+    plan = publish.publish_plan(v.clean, v.shelf_mapping, RUN_TS)
+    rows = plan.select("ord", "category", "filename", "expected_id", "image_url").filter(F.col("image_url") != "")
+    found = publish.with_mapping(rows, v.shelf_mapping)
     return found.select(
-        "ord", F.coalesce("matched.public_id", F.lit("")).alias("public_id"),
+        "ord", "category", F.coalesce("matched.public_id", F.lit("")).alias("public_id"),
         F.coalesce("matched.secure_url", F.lit("")).alias("secure_url"),
     )
 
@@ -89,7 +94,8 @@ def d2(v: Inputs):
 OUTCOME_SQL = PLAN_SQL + f""",
 outcome AS (
   SELECT p.*, r.secure_url AS r_url, r.public_id AS r_id, action LIKE 'upload%' AND r.ord IS NOT NULL AND NOT r.failed AS done
-  FROM planned p LEFT JOIN results r ON p.ord = r.ord),
+  FROM planned p LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category, ord ORDER BY attempt DESC) AS n FROM results) WHERE n = 1) r
+    ON p.category = r.category AND p.ord = r.ord),
 settled AS (
   SELECT *, done OR action IN ('keep_existing', 'reuse_mapping') AS mapped,
     CASE WHEN done THEN r_url WHEN action = 'reuse_mapping' THEN m_url ELSE cloudinary_url END AS out_url,
@@ -106,21 +112,21 @@ SELECT ord, id, name, price, brand, source, source_url, CASE WHEN mapped THEN im
   CASE WHEN mapped THEN new_name ELSE filename END AS filename FROM settled
 """)
 def i5_clean(v: Inputs):
-    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
+    plan = publish.publish_plan(v.clean, v.shelf_mapping, RUN_TS)
     return publish.apply_upload_results(plan, v.results, RUN_TS)[0]
 
 
 @register("i5_published_mapping", OUTCOME_SQL + """
-SELECT ord, new_name AS filename, out_url AS secure_url, out_id AS public_id, image AS original_image_url FROM settled WHERE mapped
+SELECT ord, category, new_name AS filename, out_url AS secure_url, out_id AS public_id, image AS original_image_url FROM settled WHERE mapped
 """)
 def i5_mapping(v: Inputs):
-    plan = publish.publish_plan(v.clean, v.mapping, RUN_TS)
+    plan = publish.publish_plan(v.clean, v.shelf_mapping, RUN_TS)
     return publish.apply_upload_results(plan, v.results, RUN_TS)[1]
 
 
 @register("f13_action_counts", PLAN_SQL + "SELECT action, count(*) AS n FROM planned GROUP BY action")
 def f13(v: Inputs):
-    return publish.action_counts(publish.publish_plan(v.clean, v.mapping, RUN_TS))
+    return publish.action_counts(publish.publish_plan(v.clean, v.shelf_mapping, RUN_TS))
 
 
 RENUMBER_SQL = """
@@ -260,19 +266,20 @@ new AS (
     coalesce(nullif(d.final_category, ''), nullif(o.final_category, ''), nullif(f.final_category, ''), f.category) AS final_category,
     '' AS width, '' AS height, '' AS blur_score, '' AS image_hash, '' AS auto_status, '' AS auto_reason,
     CASE WHEN d.reject THEN 'rejected' ELSE 'approved' END AS human_status, '' AS human_reason, '{RUN_TS}' AS reviewed_at
-  FROM feed f JOIN decisions d ON f.id = d.id LEFT JOIN old o ON f.id = o.id),
+  FROM shelf f JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category, id ORDER BY reviewed_at DESC) AS n FROM decisions) WHERE n = 1) d
+    ON f.category = d.category AND f.id = d.id LEFT JOIN old o ON f.category = o.category AND f.id = o.id),
 merged AS (
   SELECT n.* REPLACE (CASE WHEN o.ord IS NOT NULL THEN o.ord ELSE n.ord + (SELECT max(ord) + 1 FROM old) END AS ord)
-  FROM new n LEFT JOIN old o ON n.id = o.id
+  FROM new n LEFT JOIN old o ON n.category = o.category AND n.id = o.id
   UNION ALL SELECT o.* FROM (SELECT ord, id, name, price, brand, source, source_url, original_image_url, category, final_category,
     width, height, blur_score, image_hash, auto_status, auto_reason, human_status, human_reason, reviewed_at FROM old) o
-  WHERE id NOT IN (SELECT id FROM new))
+  WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.category = o.category AND n.id = o.id))
 """
 
 
 @register("d9_review_upsert", UPSERT_SQL + "SELECT * FROM merged")
 def d9(v: Inputs):
-    return review.apply_reviews(v.feed, v.reviewed, v.decisions, RUN_TS)[0]
+    return review.apply_reviews(v.shelf, v.reviewed, v.decisions, RUN_TS)[0]
 
 
 @register("i3_c6_approved", UPSERT_SQL + """
@@ -280,32 +287,36 @@ SELECT ord, id, name, price, brand, source, source_url, original_image_url, cate
 FROM merged WHERE human_status = 'approved'
 """)
 def c6(v: Inputs):
-    return review.apply_reviews(v.feed, v.reviewed, v.decisions, RUN_TS)[1]
+    return review.apply_reviews(v.shelf, v.reviewed, v.decisions, RUN_TS)[1]
 
 
-PENDING_SQL = "SELECT f.* FROM feed f WHERE NOT EXISTS (SELECT 1 FROM reviewed r WHERE r.id = f.id AND r.human_status <> '')"
+PENDING_SQL = """SELECT f.* FROM shelf f
+WHERE NOT EXISTS (SELECT 1 FROM reviewed r WHERE r.category = f.category AND r.id = f.id AND r.human_status <> '')"""
 
 
-@register("c7_d5_pending", f"SELECT ord FROM ({PENDING_SQL}) p")
+@register("c7_d5_pending", f"SELECT category, ord FROM ({PENDING_SQL}) p")
 def c7(v: Inputs):
-    return review.pending(v.feed, v.reviewed).select("ord")
+    return review.pending(v.shelf, v.reviewed).select("category", "ord")
 
 
 @register("f2_review_progress", f"""
-SELECT (SELECT count(*) FROM feed) AS total, (SELECT count(DISTINCT id) FROM reviewed WHERE id <> '') AS reviewed,
+SELECT (SELECT count(*) FROM shelf) AS total, (SELECT count(*) FROM (SELECT DISTINCT category, id FROM reviewed WHERE id <> '')) AS reviewed,
   (SELECT count(*) FROM ({PENDING_SQL}) p) AS pending
 """)
 def f2(v: Inputs):
-    return review.progress(v.feed, v.reviewed)
+    return review.progress(v.shelf, v.reviewed)
 
 
-@register("e13_review_page", f"SELECT ord FROM ({PENDING_SQL}) p ORDER BY ord LIMIT 25 OFFSET 50")
+@register("e13_review_page", f"""
+SELECT category, ord FROM (SELECT category, ord, row_number() OVER (PARTITION BY category ORDER BY ord) AS n FROM ({PENDING_SQL}) p) q
+WHERE n BETWEEN 11 AND 15
+""")
 def e13(v: Inputs):
-    return review.review_page(v.feed, v.reviewed, page=3, size=25).select("ord")
+    return review.review_page(v.shelf, v.reviewed, page=3, size=5).select("category", "ord")
 
 
 @register("c13_d10_live_links", """
-SELECT m.* FROM mapping m WHERE EXISTS (SELECT 1 FROM url_status s WHERE s.secure_url = m.secure_url AND s.status = 200)
+SELECT m.* FROM mapping m WHERE m.secure_url IN (SELECT secure_url FROM url_status GROUP BY secure_url HAVING max_by(status, checked_at) = 200)
 """)
 def c13(v: Inputs):
     return maintain.live_links(v.mapping, v.url_status)
@@ -313,7 +324,7 @@ def c13(v: Inputs):
 
 @register("i10_clean_links", """
 SELECT filename, secure_url, public_id, ord FROM mapping m
-WHERE EXISTS (SELECT 1 FROM url_status s WHERE s.secure_url = m.secure_url AND s.status = 200)
+WHERE m.secure_url IN (SELECT secure_url FROM url_status GROUP BY secure_url HAVING max_by(status, checked_at) = 200)
 """)
 def i10(v: Inputs):
     return maintain.clean_links(v.mapping, v.url_status)
@@ -321,7 +332,7 @@ def i10(v: Inputs):
 
 @register("f10_removed_links", """
 SELECT count(*) AS total, count(*) FILTER (WHERE live) AS kept, count(*) FILTER (WHERE NOT live) AS removed
-FROM (SELECT EXISTS (SELECT 1 FROM url_status s WHERE s.secure_url = m.secure_url AND s.status = 200) AS live FROM mapping m) t
+FROM (SELECT m.secure_url IN (SELECT secure_url FROM url_status GROUP BY secure_url HAVING max_by(status, checked_at) = 200) AS live FROM mapping m) t
 """)
 def f10(v: Inputs):
     return maintain.removed_links(v.mapping, v.url_status)
@@ -443,8 +454,8 @@ def e6(v: Inputs):
 
 STREAK_SQL = """
 WITH flagged AS (SELECT *, sum(CASE WHEN status = 'ok' THEN 0 ELSE 1 END) OVER
-    (PARTITION BY category, keyword ORDER BY page ROWS 2 PRECEDING) AS n FROM page_log),
-kept AS (SELECT f.* EXCLUDE (n) FROM flagged f LEFT JOIN (SELECT category, keyword, min(page) AS e FROM flagged WHERE n = 3 GROUP BY ALL) x
+    (PARTITION BY category, keyword ORDER BY page ROWS 2 PRECEDING) AS n FROM (SELECT DISTINCT * FROM page_log) p),
+kept AS (SELECT f.* FROM page_log f LEFT JOIN (SELECT category, keyword, min(page) AS e FROM flagged WHERE n = 3 GROUP BY ALL) x
   USING (category, keyword) WHERE e IS NULL OR f.page <= e)
 """
 
@@ -455,21 +466,32 @@ def e7(v: Inputs):
 
 
 @register("f6_trailing_empty_pages", STREAK_SQL + """
-SELECT category, keyword, max(page) - coalesce(max(page) FILTER (WHERE status = 'ok'), min(page) - 1) AS empty_streak FROM kept GROUP BY ALL
+SELECT category, keyword, count(DISTINCT page) FILTER (WHERE page > last) AS empty_streak
+FROM (SELECT *, coalesce(max(CASE WHEN status = 'ok' THEN page END) OVER (PARTITION BY category, keyword), 0) AS last FROM kept) k GROUP BY ALL
 """)
 def f6_streak(v: Inputs):
     return paging.trailing_empty_pages(paging.until_empty_streak(v.page_log, ["category", "keyword"]), ["category", "keyword"])
 
 
 @register("e8_frontier", """
-SELECT c.category, c.source, k.i AS keyword_idx, CASE k.i WHEN 0 THEN c.brand ELSE c.brand || ' áo' END AS keyword, g.p + CASE c.source WHEN 'lazada' THEN 3 WHEN 'asos' THEN 0 ELSE 1 END AS page
-FROM (SELECT DISTINCT category, source, brand FROM feed) c, (SELECT unnest([0, 1]) AS i) k, (SELECT unnest(range(4)) AS p) g
+SELECT category, source, keyword_idx, keyword, page, CASE source
+  WHEN 'lazada' THEN 'https://www.lazada.vn/tag/' || replace(url_encode(replace(lower(trim(keyword)), ' ', '-')), '%2F', '/')
+    || '/?spm=a2o4n.homepage.search.d_go&q=' || replace(url_encode(keyword), '%2F', '/') || '&catalog_redirect_tag=true'
+    || CASE WHEN page > 1 THEN '&page=' || CAST(page AS STRING) ELSE '' END
+  WHEN 'asos' THEN 'https://www.asos.com/api/product/search/v2/?offset=' || CAST(page * 72 AS STRING) || '&q=' || keyword
+    || '&store=ROW&lang=en-GB&currency=USD&limit=72&country=VN'
+  ELSE 'https://tiki.vn/api/v2/products?limit=40&include=advertisement&is_mweb=1&aggregations=2&version=&_v=within_promotions&trackity_id=session-1&q='
+    || replace(url_encode(keyword), '%20', '+') || '&page=' || CAST(page AS STRING) END AS url
+FROM (
+  SELECT c.category, c.source, k.i AS keyword_idx, CASE k.i WHEN 0 THEN c.brand ELSE c.brand || ' áo' END AS keyword,
+    g.p + CASE c.source WHEN 'lazada' THEN 3 WHEN 'asos' THEN 0 ELSE 1 END AS page
+  FROM (SELECT DISTINCT category, source, brand FROM feed) c, (SELECT unnest([0, 1]) AS i) k, (SELECT unnest(range(4)) AS p) g) q
 """)
 def e8(v: Inputs):
     words = v.feed.select("category", "source", "brand").distinct().select(
         "category", "source", F.array("brand", F.concat("brand", F.lit(" áo"))).alias("keywords")
     )
-    return paging.frontier(words, 2, 4, F.col("source")).drop("url")
+    return paging.frontier(words, 2, 4, F.col("source"), "session-1")
 
 
 @register("e10_renumbered", """
@@ -512,11 +534,12 @@ def e12(v: Inputs):
 
 
 @register("e15_restored_order", f"""
-SELECT ord, row_number() OVER (ORDER BY ord) AS pos FROM (SELECT ord FROM ({FINAL_SQL}) q) t
+SELECT category, ord, row_number() OVER (PARTITION BY category ORDER BY ord) AS pos FROM (SELECT split_part("cloudinaryPublicId", '/', 1) AS category, ord FROM ({FINAL_SQL}) q) t
 """)
 def e15(v: Inputs):
-    unordered = final.build_final(v.feed, v.mapping).repartition(5, "name")
-    return ranking.with_position(unordered, "ord").select("ord", "pos")
+    unordered = final.build_final(v.shelf, v.shelf_mapping).repartition(5, "name")
+    rows = unordered.select(F.substring_index("cloudinaryPublicId", "/", 1).alias("category"), "ord")
+    return ranking.with_position(rows, "ord", ["category"]).select("category", "ord", "pos")
 
 
 @register("g1_g2_seen_urls", """

@@ -27,19 +27,43 @@ SELECT p_partkey AS ord,
 FROM {part}
 """
 
+# All rows of the feed; every fourth under a name and id that nothing else has.
 MAPPING = """
-SELECT ord, filename, 'https://cdn.example/v1/' || filename AS secure_url,
-  category || '/' || CAST(10000 + ord AS STRING) AS public_id, original_image_url
-FROM {feed} WHERE ord % 4 <> 0
+SELECT ord, CASE WHEN ord % 4 = 0 THEN 'gone-' ELSE '' END || filename AS filename, 'https://cdn.example/v1/' || filename AS secure_url,
+  CASE WHEN ord % 4 = 0 THEN 'gone-' ELSE '' END || category || '/' || CAST(10000 + ord AS STRING) AS public_id, original_image_url
+FROM {feed}
 UNION ALL
 SELECT ord + 1000000000000, filename, 'https://cdn.example/v2/' || filename,
   category || '/' || CAST(10000 + ord AS STRING), '' FROM {feed} WHERE ord % 29 = 0
 """
 
+# The feed as the engine makes it: `ord`, ids and file names start anew in every category.
+SHELF = """
+SELECT CAST(floor(ord / 8) AS BIGINT) AS ord, lpad(CAST(CAST(floor(ord / 8) AS BIGINT) AS STRING), 6, '0') AS id, name, price, brand, source,
+  source_url, original_image_url, 'cat' || CAST(ord % 8 AS STRING) AS category, final_category,
+  CASE WHEN filename = '' THEN '' ELSE CAST(10000 + CAST(floor(ord / 8) AS BIGINT) AS STRING) || '.jpg' END AS filename,
+  cloudinary_url, cloudinary_public_id
+FROM {feed}
+"""
+
+SHELF_MAPPING = """
+SELECT ord, category, CASE WHEN ord % 4 = 0 THEN 'gone-' ELSE '' END || filename AS filename,
+  'https://cdn.example/v1/' || category || '/' || filename AS secure_url,
+  category || CASE WHEN ord % 4 = 0 THEN '/gone-' ELSE '/' END || CAST(10000 + ord AS STRING) AS public_id, original_image_url
+FROM {shelf}
+UNION ALL
+SELECT ord + 1000000000000, category, filename, 'https://cdn.example/v2/' || category || '/' || filename,
+  category || '/' || CAST(10000 + ord AS STRING), '' FROM {shelf} WHERE ord % 29 = 0
+"""
+
+# Decisions on all rows; some are taken again later, some ids are unknown.
 DECISIONS = """
-SELECT id, (ord % 6 = 0) AS reject,
-  CASE WHEN ord % 31 = 0 THEN 'cat1' ELSE '' END AS final_category
-FROM {feed} WHERE ord % 10 <> 9
+SELECT category, CASE WHEN ord % 10 = 9 THEN 'x' ELSE '' END || id AS id, (ord % 6 = 0) AS reject,
+  CASE WHEN ord % 31 = 0 THEN 'cat1' ELSE '' END AS final_category, '2024-02-01T00:00:00' AS reviewed_at
+FROM {shelf}
+UNION ALL
+SELECT category, id, (ord % 6 <> 0), 'cat3', CASE WHEN ord % 2 = 0 THEN '2024-01-15T00:00:00' ELSE '2024-02-15T00:00:00' END
+FROM {shelf} WHERE ord % 7 = 0
 """
 
 # Clean rows with every publishing case: own images at the expected place, images of the
@@ -51,29 +75,34 @@ SELECT ord, id, name, price, brand, source, source_url,
   CASE WHEN ord % 13 = 1 THEN 'https://cdn.example/own/' || CAST(ord AS STRING) ELSE cloudinary_url END AS cloudinary_url,
   CASE WHEN ord % 13 = 1 THEN CASE WHEN final_category <> '' THEN final_category ELSE category END || '/' || CAST(10000 + ord AS STRING)
     ELSE cloudinary_public_id END AS cloudinary_public_id
-FROM {feed}
+FROM {shelf}
 """
 
-# Earlier reviews of every third row, so that decisions replace some and add others.
+# Earlier reviews: every third under the row's id, the others under ids that only the review table knows.
 REVIEWED = """
-SELECT ord, id, name, price, brand, source, source_url, original_image_url, category,
+SELECT ord, CASE WHEN ord % 3 = 0 THEN '' ELSE 'old' END || id AS id, name, price, brand, source, source_url, original_image_url, category,
   CASE WHEN ord % 7 = 0 THEN 'cat2' ELSE category END AS final_category,
   '' AS width, '' AS height, '' AS blur_score, '' AS image_hash, 'pass' AS auto_status, '' AS auto_reason,
   CASE WHEN ord % 12 = 0 THEN '' WHEN ord % 9 = 0 THEN 'rejected' ELSE 'approved' END AS human_status,
   '' AS human_reason, '2024-01-01T00:00:00' AS reviewed_at
-FROM {feed} WHERE ord % 3 = 0
+FROM {shelf}
 """
 
+# Links checked once or, every fifth, a second time with another outcome.
 URL_STATUS = """
-SELECT DISTINCT secure_url, CASE WHEN ord % 13 = 0 THEN 404 ELSE 200 END AS status FROM {mapping}
+SELECT DISTINCT secure_url, CASE WHEN ord % 13 = 0 THEN 404 ELSE 200 END AS status, '2024-01-01T00:00:00' AS checked_at
+FROM {mapping} WHERE filename NOT IN ('', 'gone-')
+UNION ALL
+SELECT DISTINCT secure_url, CASE WHEN ord % 13 = 0 THEN 200 ELSE 404 END, '2024-01-02T00:00:00'
+FROM {mapping} WHERE filename NOT IN ('', 'gone-') AND ord % 5 = 1
 """
 
-# Documents that are already in the target: a tenth by published id, some by source URL.
+# Documents that are already in the target: a tenth with the keys of the feed, the others with keys of their own.
 TARGET = """
-SELECT category, name, price, brand, source, source_url AS "sourceUrl", original_image_url AS "originalImageUrl",
+SELECT category, name, price, brand, source, was || source_url AS "sourceUrl", was || original_image_url AS "originalImageUrl",
   'https://cdn.example/old/' || CAST(ord AS STRING) AS "cloudinaryUrl",
-  category || '/' || CAST(10000 + ord AS STRING) AS "cloudinaryPublicId", '2024-01-01T00:00:00' AS "createdAt"
-FROM {feed} WHERE ord % 10 = 3
+  was || category || '/' || CAST(10000 + ord AS STRING) AS "cloudinaryPublicId", '2024-01-01T00:00:00' AS "createdAt"
+FROM (SELECT *, CASE WHEN ord % 10 = 3 THEN '' ELSE 'was-' END AS was FROM {feed}) f
 """
 
 # Import candidates: some without published id, some without any key.
@@ -88,17 +117,21 @@ FROM {feed}
 """
 
 LISTING = """
-SELECT ord, CASE WHEN ord % 17 = 0 THEN '' ELSE category || '/' || CAST(10000 + ord AS STRING) END AS public_id,
+SELECT ord, CASE WHEN ord % 17 = 0 THEN '' ELSE category || CASE WHEN ord % 6 = 1 THEN '/new-' ELSE '/' END || CAST(10000 + ord AS STRING) END AS public_id,
   'https://cdn.example/v3/' || CAST(ord AS STRING) AS secure_url,
   CASE ord % 3 WHEN 0 THEN 'jpg' WHEN 1 THEN 'webp' ELSE '' END AS format
-FROM {feed} WHERE ord % 6 <> 1
+FROM {feed}
 """
 
+# Results for all rows, some under an `ord` of no row; some uploads are tried a second time.
 RESULTS = """
-SELECT ord, 'https://cdn.example/new/' || CAST(ord AS STRING) AS secure_url,
+SELECT category, CASE WHEN ord % 25 = 7 THEN ord + 1000000000000 ELSE ord END AS ord,
+  'https://cdn.example/new/' || category || '/' || CAST(ord AS STRING) AS secure_url,
   CASE WHEN ord % 14 = 0 THEN 'renamed/' || CAST(ord AS STRING) END AS public_id,
-  (ord % 9 = 4) AS failed
-FROM {feed} WHERE ord % 25 <> 7
+  (ord % 9 = 4) AS failed, 1 AS attempt
+FROM {shelf}
+UNION ALL
+SELECT category, ord, 'https://cdn.example/again/' || CAST(ord AS STRING), NULL, (ord % 4 = 0), 2 FROM {shelf} WHERE ord % 9 = 4 OR ord % 50 = 3
 """
 
 FAILURES = """
@@ -151,32 +184,43 @@ SELECT 'cat' || CAST(user_id % 4 AS STRING) AS category, event_type AS keyword,
 FROM {events}
 """
 PAGE_LOG_ORACLE = """
-SELECT category, keyword, row_number() OVER (PARTITION BY category, keyword ORDER BY event_id) AS page, status
-FROM event_pages
+WITH log AS (SELECT category, keyword, row_number() OVER (PARTITION BY category, keyword ORDER BY event_id) AS page, status FROM event_pages)
+SELECT * FROM log UNION ALL SELECT * FROM log WHERE page % 6 = 0
 """
 
+# Pages fetched twice, the later fetch counting, and payloads that are no object between them.
 TIKI_PAGES = """
 SELECT 'vay' AS category, 'mini dress' AS keyword, 0 AS keyword_idx, 'tiki' AS source,
-  CAST(p_partkey div 40 + 1 AS INT) AS page,
+  CAST(2 * (p_partkey div 40) + 1 AS INT) AS page,
   to_json(named_struct('data', sort_array(collect_list(named_struct(
     'pos', p_partkey, 'name', p_name, 'price', CAST(p_retailprice AS STRING), 'brand_name', p_brand,
     'url_path', 'p' || CAST(p_partkey % 401 AS STRING) || '.html',
     'thumbnail_url', 'https://salt.tikicdn.com/cache/280x280/ts/' || CAST(p_partkey % 577 AS STRING) || '.jpg'))))) AS payload,
-  '' AS fetched_at
-FROM {part} GROUP BY p_partkey div 40 + 1
+  '2024-01-02' AS fetched_at
+FROM {part} GROUP BY 2 * (p_partkey div 40) + 1
+UNION ALL
+SELECT DISTINCT 'vay', 'mini dress', 0, 'tiki', CAST(2 * (p_partkey div 40) + 2 AS INT),
+  CASE (p_partkey div 40) % 4 WHEN 0 THEN '[]' WHEN 1 THEN 'null' WHEN 2 THEN '5' ELSE '"x"' END, '2024-01-02' FROM {part}
+UNION ALL
+SELECT DISTINCT 'vay', 'mini dress', 0, 'tiki', CAST(2 * (p_partkey div 40) + 1 AS INT), '{{"data":[]}}', '2024-01-01' FROM {part}
 """
 
 ASOS_PAGES = """
 SELECT 'vay' AS category, 'mini dress' AS keyword, 0 AS keyword_idx, 'asos' AS source,
-  CAST(p_partkey div 72 AS INT) AS page,
+  CAST(2 * (p_partkey div 72) AS INT) AS page,
   to_json(named_struct('products', sort_array(collect_list(named_struct(
     'pos', p_partkey, 'name', p_name, 'brandName', p_brand, 'url', 'prd/' || CAST(p_partkey AS STRING),
     'price', named_struct('current', named_struct('value', CAST(p_retailprice AS STRING))),
     'imageUrl', 'images.example/' || CAST(p_partkey AS STRING) || '-p',
     'additionalImageUrls', transform(slice(sequence(1, 6), 1, CAST(p_partkey % 7 AS INT)),
        i -> 'images.example/' || CAST(p_partkey % 577 AS STRING) || '-' || CAST(i AS STRING))))))) AS payload,
-  '' AS fetched_at
-FROM {part} GROUP BY p_partkey div 72
+  '2024-01-02' AS fetched_at
+FROM {part} GROUP BY 2 * (p_partkey div 72)
+UNION ALL
+SELECT DISTINCT 'vay', 'mini dress', 0, 'asos', CAST(2 * (p_partkey div 72) + 1 AS INT),
+  CASE (p_partkey div 72) % 4 WHEN 0 THEN '[]' WHEN 1 THEN 'null' WHEN 2 THEN '5' ELSE '"x"' END, '2024-01-02' FROM {part}
+UNION ALL
+SELECT DISTINCT 'vay', 'mini dress', 0, 'asos', CAST(2 * (p_partkey div 72) AS INT), '{{"products":[]}}', '2024-01-01' FROM {part}
 """
 
 # Listing pages of 40 products in four categories: cards, every third page only JSON-LD,
@@ -206,12 +250,12 @@ FROM feed WHERE (ord // 40) % 11 <> 7 AND (name <> '' OR (ord // 40) % 3 <> 0) A
 """
 
 ORACLE_VIEWS = {
-    "feed": FEED, "clean": CLEAN, "mapping": MAPPING, "decisions": DECISIONS, "reviewed": REVIEWED, "url_status": URL_STATUS,
+    "feed": FEED, "shelf": SHELF, "clean": CLEAN, "mapping": MAPPING, "shelf_mapping": SHELF_MAPPING, "decisions": DECISIONS, "reviewed": REVIEWED, "url_status": URL_STATUS,
     "target": TARGET, "import_rows": IMPORT, "listing": LISTING, "results": RESULTS, "failures": FAILURES,
     "feature_base": FEATURE_BASE, "features": FEATURES_ORACLE, "hashes": HASHES_ORACLE,
     "event_pages": EVENT_PAGES, "page_log": PAGE_LOG_ORACLE, "lazada_listed": LAZADA_LISTED_ORACLE,
 }
-NAMES = {n: n for n in ("part", "events", "embeddings", "feed", "mapping", "feature_base")}
+NAMES = {n: n for n in ("part", "events", "embeddings", "feed", "shelf", "mapping", "feature_base")}
 
 
 def oracle(body: str) -> str:
@@ -256,9 +300,17 @@ class Inputs:
     def feed(self):
         return self.sql(FEED, part=self.part)
 
+    @cached_property
+    def shelf(self):
+        return self.sql(SHELF, feed=self.feed)
+
+    @cached_property
+    def shelf_mapping(self):
+        return self.sql(SHELF_MAPPING, shelf=self.shelf)
+
     @cached_property
     def clean(self):
-        return self.sql(CLEAN, feed=self.feed)
+        return self.sql(CLEAN, shelf=self.shelf)
 
     @cached_property
     def mapping(self):
@@ -266,11 +318,11 @@ class Inputs:
 
     @cached_property
     def decisions(self):
-        return self.sql(DECISIONS, feed=self.feed)
+        return self.sql(DECISIONS, shelf=self.shelf)
 
     @cached_property
     def reviewed(self):
-        return self.sql(REVIEWED, feed=self.feed)
+        return self.sql(REVIEWED, shelf=self.shelf)
 
     @cached_property
     def url_status(self):
@@ -290,7 +342,7 @@ class Inputs:
 
     @cached_property
     def results(self):
-        return self.sql(RESULTS, feed=self.feed)
+        return self.sql(RESULTS, shelf=self.shelf)
 
     @cached_property
     def failures(self):
@@ -308,7 +360,8 @@ class Inputs:
     @cached_property
     def page_log(self):
         pages = self.sql(EVENT_PAGES, events=self.table("events"))
-        return with_position(pages, "event_id", ["category", "keyword"], position="page").drop("event_id")
+        log = with_position(pages, "event_id", ["category", "keyword"], position="page").drop("event_id")
+        return log.unionByName(log.filter("page % 6 = 0"))
 
     @cached_property
     def tiki_captures(self):

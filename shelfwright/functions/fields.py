@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Every character that counts as white space when a field is trimmed.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -26,6 +26,14 @@ def none_if_blank(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+def scoped(df: DataFrame, scope: list[str]) -> DataFrame:
+    """`df` with its scope columns filled, so that rows without a category share the blank one."""
+    lacking = [c for c in scope if c not in df.columns]
+    if lacking:
+        raise ValueError(f"no column {', '.join(lacking)}: tables of several categories are kept apart by it")
+    return df.withColumns({c: filled(F.col(c).cast("string")) for c in scope}) if scope else df
+
+
 def first_present(*columns: Column | str) -> Column:
     return F.coalesce(*[none_if_blank(c) for c in columns], F.lit(""))
 

@@ -17,7 +17,6 @@ TIKI_SEARCH = "https://tiki.vn/api/v2/products"
 TIKI_CACHE_PATH = "salt.tikicdn.com/cache/280x280/"
 TIKI_HOST_PATH = "salt.tikicdn.com/"
 TIKI_PAGE_SIZE = 40
-TIKI_TRACKITY_ID = "70be08b3-8fa5-ca27-69c5-bb2c444a49d2"
 RESIZE_SUFFIX = r"(\.(?:jpg|jpeg|png|webp))_\d+x\d+q\d+\.(?:jpg|jpeg|png|webp)$"
 
 
@@ -121,7 +120,8 @@ def asos_request(keyword: Column, page: Column) -> Column:
     )
 
 
-def tiki_request(keyword: Column, page: Column, trackity_id: str = TIKI_TRACKITY_ID) -> Column:
+def tiki_request(keyword: Column, page: Column, trackity_id: str) -> Column:
+    """`trackity_id` names the caller's session; it belongs to no code."""
     return F.concat(
         F.lit(
             f"{TIKI_SEARCH}?limit={TIKI_PAGE_SIZE}&include=advertisement&is_mweb=1&aggregations=2"
@@ -131,9 +131,9 @@ def tiki_request(keyword: Column, page: Column, trackity_id: str = TIKI_TRACKITY
     )
 
 
-def request_url(source: Column, keyword: Column, page: Column) -> Column:
+def request_url(source: Column, keyword: Column, page: Column, trackity_id: str) -> Column:
     return (
         F.when(source == "lazada", lazada_request(keyword, page))
         .when(source == "asos", asos_request(keyword, page))
-        .when(source == "tiki", tiki_request(keyword, page))
+        .when(source == "tiki", tiki_request(keyword, page, trackity_id))
     )

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwright.functions.fields import present
+from shelfwright.functions.fields import present, scoped
 from shelfwright.operators.neardup import near_pairs
 from shelfwright.operators.ranking import DENSE_CHUNKS, with_position
 from shelfwright.schemas import HASH_DISTANCE
@@ -189,6 +189,7 @@ def keep_rows(
 ) -> DataFrame:
     """Rows of `df` that the ordered scan over its URL columns keeps."""
     scope = scope or []
+    df = scoped(df, scope)
     names = [f"key{i}" for i in range(len(keys))]
     values = [F.coalesce(F.col(k), F.lit("")) if blank_is_key else F.nullif(F.col(k), F.lit("")) for k in keys]
     nodes = df.select(*scope, F.col(order).alias("ord"), *[v.alias(n) for v, n in zip(values, names)])

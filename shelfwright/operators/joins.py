@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.fields import present
+from shelfwright.functions.fields import col, present, scoped
 
 
-def last_wins(df: DataFrame, keys: list[str], ord_col: str = "ord", keep: list[str] | None = None) -> DataFrame:
-    """One row per non-blank key: the one with the greatest order.
+def last_wins(
+    df: DataFrame, keys: list[str], ord_col: str | Column = "ord", keep: list[str] | None = None,
+    scope: list[str] | None = None,
+) -> DataFrame:
+    """One row per scope and non-blank key: the one with the greatest order.
 
     An aggregate rather than a window, so a key holding a large share of the rows
-    is reduced before the shuffle.
+    is reduced before the shuffle. Scope columns may be blank.
     """
-    columns = keep or [c for c in df.columns if c not in keys]
+    scope = scope or []
+    columns = keep or [c for c in df.columns if c not in [*scope, *keys]]
+    df = scoped(df, scope)
     for key in keys:
         df = df.filter(present(key))
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.col(ord_col)).alias("_last"))
-    return picked.select(*keys, "_last.*")
+    picked = df.groupBy(*scope, *keys).agg(F.max_by(F.struct(*columns), col(ord_col)).alias("_last"))
+    return picked.select(*scope, *keys, "_last.*")
 
 
 def _together(key: str) -> Column:
@@ -46,6 +51,8 @@ def lookup(
 ) -> DataFrame:
     """Left join to a table that has one row per key, as a struct column `name`.
 
+    Pairs before the last one in `on` are scope columns, filled on both sides.
+
     Rows that need no lookup (blank key, value already known) carry their own order,
     which is not negative, as a second join key. They match nothing, and they spread
     over all tasks instead of meeting in the task of the blank key.
@@ -61,9 +68,8 @@ def lookup(
 
 
 def _filtered(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], ord_col: str, how: str) -> DataFrame:
-    blank = F.lit(False)
-    for l, _ in on:
-        blank = blank | ~present(l)
+    # The last pair is the key; those before it are scope columns, where blank is a value.
+    blank = ~present(on[-1][0])
     side = right.select(*[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)]).distinct()
     side = side.withColumn("_together", _together(f"_k{len(on) - 1}"))
     return left.withColumn("_apart", _apart(blank, ord_col)).join(side, _keys_equal(on), how).drop("_apart")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwright.functions.fields import padded_id
+from shelfwright.functions.fields import padded_id, scoped
 
 # Order values are unique integers within a scope, so a chunk of 2**18 of them holds
 # at most that many rows; the second width bounds the chunks counted in one window.
@@ -53,11 +53,11 @@ def with_position(
 ) -> DataFrame:
     """Add the 1-based position of each row in its scope, without a one-task sort.
 
-    `scope` columns must not be null (blank is ''). With `limit` only the first rows
-    of each scope are kept; chunks that lie beyond it are dropped before the sort.
+    Scope columns come out filled: rows without a value share the blank one. With `limit` only
+    the first rows of each scope are kept; chunks that lie beyond it are dropped before the sort.
     """
     scope = scope or []
-    chunked = df.withColumn("_chunk", F.shiftright(F.col(order).cast("bigint"), shifts[0]))
+    chunked = scoped(df, scope).withColumn("_chunk", F.shiftright(F.col(order).cast("bigint"), shifts[0]))
     counts = chunked.groupBy(*scope, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     ahead = _before(counts, scope, tuple(s - shifts[0] for s in shifts[1:]))
     if limit is not None:
@@ -79,11 +79,11 @@ def first_rows(df: DataFrame, n: int, order: str = "ord", scope: list[str] | Non
     return with_position(df, order, scope, limit=n, position="_pos", **kw).drop("_pos")
 
 
-def page_of(df: DataFrame, page: int, size: int, order: str = "ord") -> DataFrame:
-    """Rows of a 1-based page; no offset scan through one task."""
+def page_of(df: DataFrame, page: int, size: int, order: str = "ord", scope: list[str] | None = None) -> DataFrame:
+    """Rows of a 1-based page of each scope; no offset scan through one task."""
     last = page * size
     return (
-        with_position(df, order, position="_pos", limit=last)
+        with_position(df, order, scope, position="_pos", limit=last)
         .filter(F.col("_pos") > last - size)
         .drop("_pos")
     )

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.fields import filled, first_present, image_url, present
-from shelfwright.operators.joins import last_wins, lookup, without
+from shelfwright.functions.fields import filled, first_present, image_url, present, scoped
+from shelfwright.operators.joins import last_wins, lookup
+from shelfwright.plans.review import SCOPE
 from shelfwright.schemas import FINAL
+from shelfwright.session import materialise
 
 # Document field, and the stage column it may come from instead.
 DOCUMENT_FIELDS = {
@@ -19,12 +23,16 @@ DOCUMENT_FIELDS = {
 KEY_FIELDS = ["cloudinaryPublicId", "sourceUrl", "originalImageUrl"]
 
 
-def build_final(clean: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Documents of the rows that have a published URL and id, their own or the mapping's."""
+def build_final(clean: DataFrame, mapping: DataFrame, scope: list[str] = SCOPE) -> DataFrame:
+    """Documents of the rows that have a published URL and id, their own or the mapping's.
+
+    File names repeat from category to category, so the mapping carries the scope columns too.
+    """
     known = set(clean.columns)
-    published = last_wins(mapping, ["filename"], keep=["secure_url", "public_id"])
+    published = last_wins(mapping, ["filename"], keep=["secure_url", "public_id"], scope=scope)
     incomplete = ~present("cloudinary_url") | ~present("cloudinary_public_id")
-    rows = lookup(clean, published, [("filename", "filename")], present("filename") & incomplete, "ord", "_m")
+    on = [(c, c) for c in [*scope, "filename"]]
+    rows = lookup(scoped(clean, scope), published, on, present("filename") & incomplete, "ord", "_m")
     values = {
         "category": first_present("final_category", "category"),
         "originalImageUrl": image_url("original_image_url", "image_url" if "image_url" in known else None),
@@ -60,31 +68,26 @@ def inserted_documents(records: DataFrame, target: DataFrame) -> DataFrame:
     """Records that an insert-if-absent run adds to `target`.
 
     Kinds are settled from the most specific on: a record is also held back by one of
-    an earlier kind that precedes it in the batch and carries its key value.
+    an earlier kind that precedes it in the batch, is added, and carries its key value.
+
+    The first record of each (kind, key) is a candidate. The values that the target and candidates
+    hold in the key fields are looked up by (field, value) in one join; which candidates of
+    earlier kinds are added themselves is settled by one more pass per kind over candidates only.
     """
-    batch = keyed(records)
-    added: list[DataFrame] = []
-    for field in KEY_FIELDS:
-        firsts = (
-            batch.filter(F.col("key_kind") == field)
-            .groupBy("key").agg(F.min_by(F.struct(*FINAL, "ord"), F.col("ord")).alias("_row"))
-            .select("key", "_row.*")
+    batch = keyed(records).filter(F.col("key_kind").isNotNull())
+    firsts = batch.groupBy("key_kind", "key").agg(F.min_by(F.struct(*FINAL, "ord"), F.col("ord")).alias("_row"))
+    held = target.select(F.explode(F.array(*[F.struct(F.lit(f).alias("key_kind"), F.col(f).alias("key")) for f in KEY_FIELDS])).alias("_k"))
+    stored = held.select("_k.*").filter(present("key")).distinct()
+    fresh = materialise(firsts.join(stored, ["key_kind", "key"], "left_anti").select("key_kind", "key", "_row.*"), "candidates")
+    added = [fresh.filter(F.col("key_kind") == KEY_FIELDS[0])]
+    for kind, field in enumerate(KEY_FIELDS[1:], 1):
+        values = reduce(DataFrame.unionByName, [d.select(F.col(field).alias("key"), "ord") for d in added[:kind]])
+        blocking = values.filter(present("key")).groupBy("key").agg(F.min("ord").alias("_at"))
+        own = fresh.filter(F.col("key_kind") == field)
+        added.append(
+            own.join(blocking, "key", "left").filter(F.col("_at").isNull() | (F.col("_at") > F.col("ord"))).select(*fresh.columns)
         )
-        fresh = without(firsts, target.select(field), [("key", field)])
-        for earlier in added:
-            values = earlier.filter(present(field)).groupBy(F.col(field).alias("_value")).agg(
-                F.min("ord").alias("_at")
-            )
-            fresh = (
-                fresh.join(values, fresh["key"] == values["_value"], "left")
-                .filter(F.col("_at").isNull() | (F.col("_at") > F.col("ord")))
-                .drop("_value", "_at")
-            )
-        added.append(fresh.select(*FINAL, "ord"))
-    out = added[0]
-    for more in added[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, added).select(*FINAL, "ord")
 
 
 def import_counts(records: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def import_counts(records: DataFrame, inserted: DataFrame) -> DataFrame:
 
 
 def import_documents(final: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records to append to the target, one row of counts)."""
+    """(records to append to the target, one row of counts of the written records)."""
     records = documents(final)
-    new = inserted_documents(records, target)
+    new = materialise(inserted_documents(records, target), "inserted")
     return new, import_counts(records, new)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.fields import first_present, padded_id, parse_id, stripped
+from shelfwright.functions.fields import filled, first_present, padded_id, parse_id, scoped, stripped
 from shelfwright.operators.dedup import keep_first_by, keep_rows
 from shelfwright.operators.joins import without
 from shelfwright.operators.paging import (
     page_range, trailing_empty_pages, until_empty_page, until_empty_streak,
 )
 from shelfwright.operators.ranking import with_position
-from shelfwright.schemas import MAX_PAGES, RAW, TARGET_PER_CATEGORY
+from shelfwright.schemas import RAW
 from shelfwright.session import materialise
 from shelfwright.sources.captures import FIRST_PAGE, PAGES, has_name_and_image
 
@@ -23,36 +23,64 @@ PAGE_CHUNKS = (34, 50)
 
 
 def page_order(keyword_idx: Column, page: Column, place: Column) -> Column:
+    """One number that orders places on pages of keywords; an error where one does not fit its bits."""
     def wide(c: Column) -> Column:
         return c.cast("bigint")
 
-    return F.shiftleft(F.shiftleft(wide(keyword_idx), PAGE_BITS) + wide(page), PLACE_BITS) + wide(place)
+    def fits(c: Column, bits: int) -> Column:
+        return (wide(c) >= 0) & (wide(c) < 1 << bits)
 
+    packed = F.shiftleft(F.shiftleft(wide(keyword_idx), PAGE_BITS) + wide(page), PLACE_BITS) + wide(place)
+    fine = fits(keyword_idx, 63 - PAGE_BITS - PLACE_BITS) & fits(page, PAGE_BITS) & fits(place, PLACE_BITS)
+    return F.when(fine, packed).otherwise(F.raise_error(F.lit("keyword, page or place beyond the order column")))
 
-def check_limits(target: int | None, max_pages: int, skip_pages: int = 0) -> None:
+
+def check_limits(target: int | None, max_pages: int | None, skip_pages: int = 0) -> None:
     if target is not None and target <= 0:
         raise ValueError("target must be greater than 0")
-    if max_pages <= 0:
+    if max_pages is not None and max_pages <= 0:
         raise ValueError("max_pages must be greater than 0")
     if skip_pages < 0:
         raise ValueError("skip_pages must not be negative")
 
 
+PAGE_KEYS = ["category", "source", "keyword_idx", "page"]
+
+
+def latest_captures(captures: DataFrame) -> DataFrame:
+    """One capture per page: the last one fetched; a fetch that failed does not replace a page."""
+    others = [c for c in captures.columns if c not in PAGE_KEYS]
+    at = F.struct(F.col("payload").isNotNull(), filled("fetched_at"), filled("payload"))
+    picked = scoped(captures, ["category"]).groupBy(*PAGE_KEYS).agg(F.max_by(F.struct(*others), at).alias("_last"))
+    return picked.select(*PAGE_KEYS, "_last.*").select(*captures.columns)
+
+
+def latest_statuses(log: DataFrame) -> DataFrame:
+    """Status of each page by its last capture."""
+    at = F.struct(F.col("status") != "failed", filled("fetched_at"), "status")
+    return log.groupBy("category", "keyword_idx", "page").agg(F.max_by("status", at).alias("status"))
+
+
 def visited_pages(
-    captures: DataFrame, source: str, max_pages: int = MAX_PAGES, skip_pages: int = 0
+    captures: DataFrame, source: str, max_pages: int | None = None, skip_pages: int = 0, earlier: DataFrame | None = None
 ) -> DataFrame:
     """Parsed pages that a run looks at: in range and before the end of results.
 
     Payloads are parsed once; the products found are kept in a written table, because
-    the end of results and the duplicate scan read them again.
+    the end of results and the duplicate scan read them again. `earlier` holds statuses of
+    pages captured before (category, keyword_idx, page, status, fetched_at); they take part in
+    finding the end.
     """
     if source not in PAGES:
         raise ValueError(f"unknown source: {source}; choose one of {', '.join(sorted(PAGES))}")
     skip = skip_pages if source == "lazada" else 0
     ranged = page_range(captures.filter(F.col("source") == source), skip, max_pages, FIRST_PAGE[source])
-    pages = materialise(PAGES[source](ranged), "pages")
-    keys = ["category", "keyword_idx"]
-    return until_empty_streak(pages, keys) if source == "lazada" else until_empty_page(pages, keys)
+    pages = materialise(PAGES[source](latest_captures(ranged)), "pages")
+    keys, log = ["category", "keyword_idx"], None
+    if earlier is not None:
+        columns = ["category", "keyword_idx", "page", "status", "fetched_at"]
+        log = latest_statuses(earlier.select(*columns).unionByName(pages.select(*columns)))
+    return until_empty_streak(pages, keys, log=log) if source == "lazada" else until_empty_page(pages, keys, log)
 
 
 def listed_products(pages: DataFrame) -> DataFrame:
@@ -106,8 +134,8 @@ def numbered(kept: DataFrame, existing: DataFrame | None, target: int | None, ru
     placed = with_position(kept, "ord", ["category"], position="_n", limit=target, shifts=PAGE_CHUNKS)
     last = F.lit(0).cast("bigint")
     if existing is not None:
-        ids = existing.groupBy("category").agg(F.max(parse_id("id")).alias("_last"))
-        placed = placed.join(ids, "category", "left")
+        ids = scoped(existing, ["category"]).groupBy("category").agg(F.max(parse_id("id")).alias("_last"))
+        placed = placed.join(materialise(ids, "last_ids"), "category", "left")
         last = F.coalesce(F.greatest(F.col("_last"), F.lit(0)), F.lit(0))
     values = {
         "id": padded_id(last + F.col("_n")),
@@ -121,19 +149,19 @@ def numbered(kept: DataFrame, existing: DataFrame | None, target: int | None, ru
 
 def extract_listings(
     captures: DataFrame, source: str, existing: DataFrame | None = None,
-    target: int | None = TARGET_PER_CATEGORY, max_pages: int = MAX_PAGES, skip_pages: int = 0, run_ts: str = "",
+    target: int | None = None, max_pages: int | None = None, skip_pages: int = 0, run_ts: str = "",
 ) -> DataFrame:
-    """New raw rows of one run over captured pages."""
+    """New raw rows of one run over captured pages; without limits, all of them."""
     source = source.lower()
     check_limits(target, max_pages, skip_pages)
     pages = visited_pages(captures, source, max_pages, skip_pages)
-    kept = new_products(listed_products(pages), existing, source)
+    kept = materialise(new_products(listed_products(pages), existing, source), "kept")
     return numbered(kept, existing, target, run_ts)
 
 
 def crawl_stats(
     captures: DataFrame, source: str, existing: DataFrame | None = None,
-    target: int = TARGET_PER_CATEGORY, max_pages: int = MAX_PAGES, skip_pages: int = 0,
+    target: int | None = None, max_pages: int | None = None, skip_pages: int = 0,
 ) -> DataFrame:
     """Per category: rows collected, duplicates skipped, longest trailing run without products.
 
@@ -142,15 +170,16 @@ def crawl_stats(
     check_limits(target, max_pages, skip_pages)
     pages = visited_pages(captures, source, max_pages, skip_pages)
     products = listed_products(pages)
-    kept = new_products(products, existing, source)
+    kept = materialise(new_products(products, existing, source), "kept")
     page_of_row = F.shiftright(F.col("ord"), PLACE_BITS)
     collected = (
         with_position(kept, "ord", ["category"], position="_n", limit=target, shifts=PAGE_CHUNKS)
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("collected"), F.max(page_of_row).alias("_last_page"))
     )
-    reached = collected.withColumn(
-        "_last_page", F.when(F.col("collected") >= target, F.col("_last_page"))
+    # One row per category, written so that rows join to it without a shuffle.
+    reached = materialise(
+        collected.withColumn("_last_page", F.when(F.col("collected") >= F.lit(target), F.col("_last_page"))), "reached"
     )
 
     def counted(df: DataFrame, name: str) -> DataFrame:

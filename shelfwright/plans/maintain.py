@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwright.functions.fields import filled, padded_id, present
+from shelfwright.functions.fields import filled, padded_id, present, scoped
 from shelfwright.functions.naming import listed_filename
 from shelfwright.operators.joins import last_wins, lookup, within
 from shelfwright.operators.ranking import shuffled, split_sets, with_position
@@ -83,8 +83,9 @@ def split_report(split: DataFrame, scope: list[str] | None = None) -> DataFrame:
 
 
 def live_links(mapping: DataFrame, url_status: DataFrame) -> DataFrame:
-    """Rows whose URL last answered 200."""
-    alive = url_status.filter(F.col("status") == 200)
+    """Rows whose URL last answered 200; of several checks the latest by `checked_at` counts, of equal ones the smaller status."""
+    at = F.struct(filled("checked_at"), -F.col("status"))
+    alive = last_wins(url_status, ["secure_url"], at, ["status"]).filter(F.col("status") == 200)
     return within(mapping, alive, [("secure_url", "secure_url")])
 
 
@@ -112,8 +113,8 @@ def sync_listing(listing: DataFrame, existing: DataFrame, scope: list[str] | Non
     lets the sort split an id that is listed very often.
     """
     scope = scope or []
-    known = last_wins(existing, [*scope, "public_id"], keep=["filename"])
-    named = listing.filter(present("public_id"))
+    known = last_wins(existing, ["public_id"], keep=["filename"], scope=scope)
+    named = scoped(listing, scope).filter(present("public_id"))
     rows = lookup(named, known, [(c, c) for c in [*scope, "public_id"]], F.lit(True), "ord", "_known")
     return rows.orderBy(*scope, "public_id", "ord").select(
         *scope,

@@ -38,9 +38,6 @@ TARGET_PER_CATEGORY = 300
 MAX_PAGES = 100
 EMPTY_STREAK = 3
 FIRST_FILE_NUMBER = 10000
-CATEGORIES = {"vay": ["mini dress"]}
-DEFAULT_CATEGORY = "vay"
-DEFAULT_SOURCE = "asos"
 
 CAPTURES = T.StructType([
     T.StructField("category", T.StringType()),

@@ -61,6 +61,11 @@ def _product(name, price, brand, source_url, original, image, index) -> Column:
     )
 
 
+def _is_object(payload: str) -> Column:
+    """Valid JSON whose outermost value is an object; anything else is a failed page."""
+    return F.schema_of_variant(F.try_parse_json(payload)).startswith("OBJECT")
+
+
 def _with_status(df: DataFrame, readable: Column, products: Column) -> DataFrame:
     """Failed if unreadable; empty if it lists nothing."""
     listed = F.coalesce(F.size("_items"), F.lit(0))
@@ -85,7 +90,7 @@ def asos_pages(captures: DataFrame) -> DataFrame:
             ),
         )
 
-    readable = F.try_parse_json("payload").isNotNull()
+    readable = _is_object("payload")
     # The position of a product within its page leaves room for its two images.
     products = F.flatten(F.transform("_items", images))
     return _with_status(parsed, readable, products)
@@ -96,7 +101,7 @@ def tiki_pages(captures: DataFrame) -> DataFrame:
     parsed = captures.withColumn("_items", F.from_json("payload", TIKI_PAYLOAD)["data"])
     known = F.array_contains(F.json_object_keys("payload"), "data")
     a_list = F.get_json_object("payload", "$.data").startswith("[")
-    readable = F.try_parse_json("payload").isNotNull() & (~F.coalesce(known, F.lit(False)) | F.coalesce(a_list, F.lit(False)))
+    readable = _is_object("payload") & (~F.coalesce(known, F.lit(False)) | F.coalesce(a_list, F.lit(False)))
     products = F.transform(
         "_items",
         lambda p: _product(

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwright.plans.listing import extract_listings
-from shelfwright.schemas import CAPTURES, MAX_PAGES, RAW
+from shelfwright.operators.ranking import with_position
+from shelfwright.plans.listing import (
+    PAGE_CHUNKS, check_limits, latest_captures, listed_products, new_products, numbered, visited_pages,
+)
+from shelfwright.schemas import CAPTURES, RAW
+from shelfwright.session import materialise, tune
+from shelfwright.sources.captures import PAGES
 from shelfwright.sources.stage_files import append_batch, read_table
-from shelfwright.session import tune
 
 
 def captured_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -27,20 +31,46 @@ def stored_rows(spark: SparkSession, table: str, before: int | None = None) -> D
     return rows.drop("batch")
 
 
+STATUS = ["category", "keyword_idx", "page", "status", "fetched_at"]
+
+
+def seen_pages(spark: SparkSession, table: str, before: int) -> DataFrame:
+    """Statuses of the pages that earlier batches have captured."""
+    rows = read_table(spark, f"{table}_pages", STATUS + ["batch"]).filter(F.col("batch").cast("bigint") < before)
+    return rows.select(
+        "category", F.col("keyword_idx").cast("int"), F.col("page").cast("int"), "status", "fetched_at"
+    )
+
+
 def ingest(
     captures: DataFrame, source: str, table: str, checkpoint: str, run_ts: str,
-    target: int | None = None, max_pages: int = MAX_PAGES,
+    target: int | None = None, max_pages: int | None = None,
 ) -> StreamingQuery:
     """Append the new products of each batch of captures, with continued ids.
 
-    History is the table itself, so state does not grow in the query; a batch that is
-    run again replaces what it wrote before and sees only earlier batches.
+    History is the table itself and, beside it, the statuses of the pages seen, so state does
+    not grow in the query; a batch that is run again replaces what it wrote before and sees only
+    earlier batches. The end of results is found over all pages seen, and the target counts
+    the stored rows. Where a keyword's pages arrive in order, the outcome is that of one run
+    over all captures, wherever the batches end; a page that was stored and is captured again adds
+    what is new on it.
     """
+    check_limits(target, max_pages)
+    name = source.lower()
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = tune(batch.sparkSession)
-        history = stored_rows(spark, table, before=batch_id)
-        rows = extract_listings(batch, source, history, target, max_pages, run_ts=run_ts)
-        append_batch(rows, table, RAW, batch_id)
+        history = materialise(stored_rows(spark, table, before=batch_id), "history")
+        pages = visited_pages(batch, name, max_pages, earlier=seen_pages(spark, table, batch_id))
+        kept = new_products(listed_products(pages), history, name)
+        if target is not None:
+            counts = history.groupBy("category").agg(F.count("*").alias("_stored"))
+            placed = with_position(kept, "ord", ["category"], position="_n", limit=target, shifts=PAGE_CHUNKS)
+            room = placed.join(counts, "category", "left").filter(F.col("_n") + F.coalesce("_stored", F.lit(0)) <= target)
+            kept = room.drop("_n", "_stored")
+        append_batch(numbered(materialise(kept, "kept"), history, None, run_ts), table, RAW, batch_id)
+        statuses = PAGES[name](latest_captures(batch.filter(F.col("source") == name)))
+        append_batch(statuses, f"{table}_pages", STATUS, batch_id)
 
     return (
         captures.writeStream.foreachBatch(step)

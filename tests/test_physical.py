@@ -45,7 +45,7 @@ def test_category_prunes_partitions(spark, tmp_path):
 def test_no_cross_joins_and_no_python_in_relational_plans(spark):
     v = Inputs(spark, SMALL)
     for df in (
-        final.build_final(v.feed, v.mapping), maintain.renumber(v.feed, v.mapping)[0],
+        final.build_final(v.shelf, v.shelf_mapping), maintain.renumber(v.feed, v.mapping)[0],
         final.inserted_documents(final.documents(v.import_rows), v.target), maintain.sync_listing(v.listing, v.mapping),
     ):
         plan = plan_of(df)

@@ -119,9 +119,9 @@ def test_final_prefers_own_values_and_the_last_mapping(spark):
     clean = table(spark, CLEAN + ["filename", "cloudinary_url", "cloudinary_public_id"], [
         {"filename": "f"}, {"filename": "f", "cloudinary_url": "u0"}, {"filename": ""}, {"filename": "g"},
     ])
-    mapping = table(spark, MAPPING, [
+    mapping = table(spark, ["category", *MAPPING], [
         {"filename": "f", "secure_url": "u1", "public_id": "p1"}, {"filename": "f", "secure_url": "u2", "public_id": "p2"},
-        {"filename": "", "secure_url": "u3", "public_id": "p3"},
+        {"filename": "", "secure_url": "u3", "public_id": "p3"}, {"category": "vay", "filename": "f", "secure_url": "u4", "public_id": "p4"},
     ])
     rows = final.build_final(clean, mapping).orderBy("ord").collect()
     assert [(r.ord, r.cloudinaryUrl, r.cloudinaryPublicId) for r in rows] == [(0, "u2", "p2"), (1, "u0", "p2")]
@@ -151,18 +151,19 @@ def test_publish_ladder_and_results(spark):
         {"id": "5", "category": "vay", "source": "asos", "original_image_url": "https://images.asos-media.com/5"},
         {"id": "6", "original_image_url": "i6"},
     ])
-    mapping = table(spark, MAPPING, [
-        {"filename": "b.jpg", "secure_url": "mu", "public_id": "mp", "original_image_url": "i3"},
-        {"filename": "c.jpg", "secure_url": "mu", "public_id": "mp"},
+    mapping = table(spark, ["category", *MAPPING], [
+        {"category": "vay", "filename": "b.jpg", "secure_url": "mu", "public_id": "mp", "original_image_url": "i3"},
+        {"category": "vay", "filename": "c.jpg", "secure_url": "mu", "public_id": "mp"},
+        {"category": "quan", "filename": "c.jpg", "secure_url": "other", "public_id": "other", "original_image_url": "i4"},
     ])
     plan = publish.publish_plan(clean, mapping, "NOW").orderBy("ord")
     rows = plan.collect()
     assert [r.action for r in rows] == ["missing_image", "keep_existing", "reuse_mapping", "upload_remote", "upload_local", "upload_remote"]
     assert (rows[3].legacy_mapping_ignored, rows[3].outside_folder) == (True, True)
-    assert rows[4].filename == "asos_5.jpg" and rows[5].expected_id == "unknown/10005"
+    assert rows[4].filename == "asos_5.jpg" and rows[5].expected_id == "unknown/10000"
     results = spark.createDataFrame(
-        [(3, "n3", None, False), (4, None, None, True), (5, "n5", "renamed", False)],
-        "ord long, secure_url string, public_id string, failed boolean",
+        [("vay", 3, "bad", None, True, 1), ("vay", 3, "n3", None, False, 2), ("vay", 4, None, None, True, 1), (None, 5, "n5", "renamed", False, 1), ("vay", 5, "x", "x", False, 1)],
+        "category string, ord long, secure_url string, public_id string, failed boolean, attempt int",
     )
     done, new_mapping = publish.apply_upload_results(plan, results, "NOW")
     out = {r.ord: r for r in done.collect()}
@@ -174,10 +175,12 @@ def test_publish_ladder_and_results(spark):
 
 
 def test_failed_uploads_are_classified(spark):
-    plan = spark.createDataFrame([(1, "https://x"), (2, "https://images.asos-media.com/x")], "ord long, image_url string")
+    plan = spark.createDataFrame(
+        [("vay", 1, "https://x"), ("vay", 2, "https://images.asos-media.com/x")], "category string, ord long, image_url string"
+    )
     failures = spark.createDataFrame(
-        [(1, "E", "Error in loading x", False), (2, "E", "403", True)],
-        "ord long, error_class string, error_message string, first_try_local boolean",
+        [("vay", 1, "E", "Error in loading x", False), ("vay", 2, "E", "403", True)],
+        "category string, ord long, error_class string, error_message string, first_try_local boolean",
     )
     rows = publish.failed_uploads(plan, failures).orderBy("ord").collect()
     assert [(r.source, r.reason, r.retry_local) for r in rows] == [
@@ -188,13 +191,19 @@ def test_failed_uploads_are_classified(spark):
 def test_reviews_keep_their_place(spark):
     validated = table(spark, RAW, [{"id": i, "category": "vay"} for i in ("a", "b", "c", "")])
     reviewed = table(spark, REVIEWED, [
-        {"id": "b", "human_status": "approved", "final_category": "x"}, {"id": "z", "human_status": "rejected"},
+        {"id": "b", "category": "vay", "human_status": "approved", "final_category": "x"},
+        {"id": "z", "category": "vay", "human_status": "rejected"}, {"id": "c", "category": "quan", "human_status": "approved"},
     ])
-    decisions = spark.createDataFrame([("a", False, ""), ("b", True, "")], "id string, reject boolean, final_category string")
+    decisions = spark.createDataFrame(
+        [("vay", "a", True, "", "1"), ("vay", "a", False, "", "2"), ("vay", "b", True, "", "1"), ("quan", "b", False, "", "3")],
+        "category string, id string, reject boolean, final_category string, reviewed_at string",
+    )
     merged, clean = review.apply_reviews(validated, reviewed, decisions, "NOW")
     rows = merged.orderBy("ord").collect()
-    assert [(r.id, r.human_status, r.final_category) for r in rows] == [("b", "rejected", "x"), ("z", "rejected", ""), ("a", "approved", "vay")]
-    assert [r.id for r in clean.collect()] == ["a"]
+    assert [(r.id, r.human_status, r.final_category) for r in rows] == [
+        ("b", "rejected", "x"), ("z", "rejected", ""), ("c", "approved", ""), ("a", "approved", "vay"),
+    ]
+    assert sorted((r.category, r.id) for r in clean.collect()) == [("quan", "c"), ("vay", "a")]
     assert sorted(r.id for r in review.pending(validated, merged).collect()) == ["", "c"]
     assert review.page_count(51, 25) == 3 and review.page_count(0, 25) == 1
 
@@ -221,15 +230,69 @@ def test_all_stages_reach_the_target_only_through_a_review(spark):
     df = pages_of(spark, [payload], "tiki")
     empty = table(spark, CLEAN, [])
     reviewed = table(spark, REVIEWED, [{"id": "1", "category": "vay", "original_image_url": "i", "human_status": "approved"}])
-    results = spark.createDataFrame([(0, "u", "vay/10000", False)], "ord long, secure_url string, public_id string, failed boolean")
+    results = spark.createDataFrame(
+        [("vay", 0, "u", "vay/10000", False)], "category string, ord long, secure_url string, public_id string, failed boolean"
+    )
     target = table(spark, FINAL, []).drop("ord")
 
     def run(reviews):
         return everything.run_all(
-            df, "tiki", None, empty, reviews, table(spark, MAPPING, []), results, target, "NOW", auto_pass=True
+            df, "tiki", None, empty, reviews, table(spark, ["category", *MAPPING], []), results, target, "NOW", auto_pass=True
         )
 
     done = run(reviewed)
     assert (done.raw.count(), done.validated.count(), done.inserted.count()) == (1, 1, 1)
     assert done.inserted.first().cloudinaryPublicId == "vay/10000"
     assert run(reviewed.filter("false")).inserted.count() == 0
+
+
+def test_categories_do_not_mix(spark):
+    """Ids, file names and `ord` start anew in every category."""
+    payload = json.dumps({"data": [{"name": n, "url_path": n, "thumbnail_url": f"i{n}"} for n in "ab"]})
+    df = pages_of(spark, [payload], "tiki").unionByName(pages_of(spark, [payload], "tiki", category="quan"))
+    raw = listing.extract_listings(df, "tiki")
+    assert sorted((r.category, r.id, r.ord) for r in raw.collect()) == [(c, f"{n:06d}", raw_ord) for c in ("quan", "vay") for n, raw_ord in ((1, 1 << 22), (2, (1 << 22) + 1))]
+    decisions = raw.selectExpr("category", "id", "false AS reject", "'' AS final_category", "'1' AS reviewed_at")
+    reviewed, clean = review.apply_reviews(raw, table(spark, REVIEWED, []), decisions, "NOW")
+    assert reviewed.count() == clean.count() == 4
+    plan = publish.publish_plan(clean, table(spark, ["category", *MAPPING], []), "NOW")
+    assert sorted(r.expected_id for r in plan.collect()) == ["quan/10000", "quan/10001", "vay/10000", "vay/10001"]
+    results = plan.selectExpr("category", "ord", "'https://' || expected_id AS secure_url", "expected_id AS public_id", "false AS failed")
+    published, mapping = publish.apply_upload_results(plan, results, "NOW")
+    rows = final.build_final(published.drop("cloudinary_url", "cloudinary_public_id").withColumns({"cloudinary_url": F.lit(""), "cloudinary_public_id": F.lit("")}), mapping)
+    assert sorted((r.category, r.cloudinaryUrl) for r in rows.collect()) == [
+        (c, f"https://{c}/{n}") for c in ("quan", "vay") for n in (10000, 10001)
+    ]
+
+
+def test_pages_captured_again(spark):
+    def page(names):
+        return json.dumps({"data": [{"name": n, "url_path": n, "thumbnail_url": f"i{n}"} for n in names]})
+
+    rows = [("c", "k", 0, "tiki", 1, page("ab"), "1"), ("c", "k", 0, "tiki", 1, page("ac"), "2"), ("c", "k", 0, "tiki", 1, None, "3"),
+            ("c", "k", 0, "tiki", 2, "[]", "1"), ("c", "k", 0, "tiki", 3, page("d"), "1")]
+    got = listing.extract_listings(spark.createDataFrame(rows, CAPTURES), "tiki").orderBy("ord").collect()
+    assert [r.name for r in got] == ["a", "c", "d"]
+
+
+def test_payloads_that_are_no_object_are_failed_pages(spark):
+    for source, read in (("asos", captures.asos_pages), ("tiki", captures.tiki_pages)):
+        pages = read(pages_of(spark, ["[]", "null", '"x"', "5", "{}"], source)).orderBy("page").collect()
+        assert [r.status for r in pages] == ["failed"] * 4 + ["empty"]
+
+
+def test_streaks_count_captured_pages_once(spark):
+    pages = spark.createDataFrame([("c", p, s) for p, s in ((1, "ok"), (2, "empty"), (2, "empty"), (3, "empty"), (5, "empty"), (6, "ok"))], "category string, page int, status string")
+    assert paging.until_empty_streak(pages, ["category"]).count() == 6
+    assert paging.trailing_empty_pages(pages.filter("page < 6"), ["category"]).first().empty_streak == 3
+
+
+def test_rows_without_category_share_the_blank_one(spark):
+    rows = spark.createDataFrame([(None, "p1", 0), (None, "p2", 1), ("a", "p3", 2), ("", "p4", 3)], "category string, public_id string, ord long")
+    assert maintain.split_dataset(rows).count() == 4
+
+
+def test_order_column_has_room(spark):
+    df = spark.createDataFrame([(0, 1 << 24, 0)], "k int, p int, q int")
+    with pytest.raises(Exception, match="beyond the order column"):
+        df.select(listing.page_order(F.col("k"), F.col("p"), F.col("q"))).collect()
