@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import register
+from checks.relations import INSERTED_SQL
 from checks.views import Inputs
 from shelfwright.operators.ranking import with_position
 from shelfwright.schemas import MAPPING, RAW
@@ -24,11 +25,11 @@ def a1(v: Inputs):
     return files.read_stage(v.spark, path, FEED_COLUMNS + ["crawl_status"])
 
 
-@register("a1_missing_stage", "SELECT id, CAST(ord AS BIGINT) AS ord FROM feed WHERE false")
+@register("a1_missing_stage", "SELECT id, ord, NULL::VARCHAR AS stored FROM feed")
 def a1_missing(v: Inputs):
-    return v.feed.select("id", "ord").filter("false").unionByName(
-        files.read_stage(v.spark, scratch_path(v.spark, "nothing"), ["id"])
-    )
+    """The whole feed against a stage that has not been written yet."""
+    nothing = files.read_stage(v.spark, scratch_path(v.spark, "nothing"), ["id", "name"])
+    return v.feed.select("id", "ord").join(nothing.select("id", F.col("name").alias("stored")), "id", "left")
 
 
 @register("a2_headerless_scan", """
@@ -53,14 +54,54 @@ def a2_header(v: Inputs):
     return rows.select(*RAW, (F.col("pos") - 1).alias("ord"))
 
 
-@register("a3_quarantine", "SELECT (SELECT count(*) FROM feed) AS moved, 0 AS kept")
+@register("a3_quarantine", """
+SELECT id, name, price, source_url, original_image_url, category, 'moved' AS place FROM feed
+""")
 def a3(v: Inputs):
     path, aside = scratch_path(v.spark, "odd"), scratch_path(v.spark, "quarantine")
     files.write_stage(v.feed, path, FEED_COLUMNS)
     kept = files.read_or_quarantine(v.spark, path, RAW, aside, "20240303000000")
     moved = files.read_stage(v.spark, f"{aside}/ts=20240303000000", FEED_COLUMNS)
-    n = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return moved.agg(F.count(F.lit(1)).alias("moved")).select("moved", n.alias("kept"))
+    return moved.select(*FEED_COLUMNS, F.lit("moved").alias("place")).unionByName(
+        kept.select(*FEED_COLUMNS, F.lit("kept").alias("place"))
+    )
+
+
+def _mixed(v: Inputs, path: str) -> None:
+    """A folder whose files have their columns in three orders, one of them without a column."""
+    for n, names in enumerate((FEED_COLUMNS, FEED_COLUMNS[::-1], FEED_COLUMNS[1:])):
+        files.write_stage(v.feed.filter(F.col("ord") % 3 == n), f"{path}/part{n}", names)
+
+
+@register("a1_mixed_headers", """
+SELECT CASE WHEN ord % 3 = 2 THEN '' ELSE id END AS id, name, price, source_url, original_image_url, category FROM feed
+""")
+def a1_mixed(v: Inputs):
+    path = scratch_path(v.spark, "mixed")
+    _mixed(v, path)
+    return files.read_stage(v.spark, f"{path}/*", FEED_COLUMNS).drop("ord")
+
+
+@register("a3_mixed_headers", """
+SELECT CASE WHEN ord % 3 = 2 THEN '' ELSE id END AS id, name, price, source_url, original_image_url, category, ord % 3 = 0 AS kept FROM feed
+""")
+def a3_mixed(v: Inputs):
+    path, aside = scratch_path(v.spark, "mixed"), scratch_path(v.spark, "quarantine")
+    _mixed(v, path)
+    kept = files.read_or_quarantine(v.spark, f"{path}/*", FEED_COLUMNS, aside, "T")
+    moved = files.read_stage(v.spark, f"{aside}/*", FEED_COLUMNS)
+    return kept.drop("ord").withColumn("kept", F.lit(True)).unionByName(moved.drop("ord").withColumn("kept", F.lit(False)))
+
+
+@register("a2_mixed_folder", """
+SELECT id, name, price, brand, source, source_url, original_image_url, '' AS image_url,
+  category, final_category, '' AS image_index, '' AS crawl_status, '' AS crawled_at FROM feed
+""")
+def a2_mixed(v: Inputs):
+    path = scratch_path(v.spark, "folder")
+    files.write_stage(v.feed.filter(F.col("ord") % 2 == 0), f"{path}/a", RAW)
+    files.projected(v.feed.filter(F.col("ord") % 2 == 1), RAW).drop("ord").write.options(header=False, **PLAIN_CSV).csv(f"{path}/b")
+    return files.read_tolerant(v.spark, f"{path}/*", RAW).drop("ord")
 
 
 @register("a4_lenient_scan", "SELECT filename, secure_url, public_id FROM mapping")
@@ -71,16 +112,13 @@ def a4(v: Inputs):
 
 
 @register("a6_append_batches", """
-SELECT CAST(ord % 3 AS INT) AS batch, count(*) AS n, count(DISTINCT id) AS ids FROM feed GROUP BY ALL
+SELECT CAST(ord % 3 AS INT) AS batch, ord, id, name, price, source_url, original_image_url, category FROM feed
 """)
 def a6(v: Inputs):
     path = scratch_path(v.spark, "batches")
     for batch in (0, 1, 2, 1):
         files.append_batch(v.feed.filter(F.col("ord") % 3 == batch), path, FEED_COLUMNS, batch)
-    rows = v.spark.read.parquet(path)
-    return rows.groupBy(F.col("batch").cast("int").alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")
-    )
+    return v.spark.read.parquet(path).withColumn("batch", F.col("batch").cast("int"))
 
 
 @register("a7_snapshot_replace", "SELECT ord, id, upper(name) AS name FROM feed")
@@ -106,8 +144,10 @@ def a9(v: Inputs):
     return files.discover_categories(v.spark, path)
 
 
-@register("a13_insert_sink", """
-SELECT "cloudinaryPublicId" FROM target UNION SELECT "cloudinaryPublicId" FROM import_rows WHERE "cloudinaryPublicId" <> ''
+@register("a13_insert_sink", INSERTED_SQL + """
+SELECT category, name, price, brand, source, "sourceUrl", "originalImageUrl", "cloudinaryUrl", "cloudinaryPublicId", "createdAt" FROM target
+UNION ALL
+SELECT category, name, price, brand, source, "sourceUrl", "originalImageUrl", "cloudinaryUrl", "cloudinaryPublicId", "createdAt" FROM ins
 """)
 def a13(v: Inputs):
     from shelfwright.plans.final import import_documents
@@ -118,8 +158,7 @@ def a13(v: Inputs):
         stored = v.spark.read.parquet(path).filter(F.col("batch") < batch)
         new, _ = import_documents(v.import_rows, stored)
         files.append_batch(new, path, FINAL, batch)
-    everything = v.spark.read.parquet(path)
-    return everything.select("cloudinaryPublicId").filter(F.col("cloudinaryPublicId") != "")
+    return v.spark.read.parquet(path).select(*FINAL)
 
 
 @register("a14_mapping_preference", "SELECT 'curated-' || filename AS filename, secure_url, public_id, original_image_url FROM mapping")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfwright.functions.fields import filled, stripped
 from shelfwright.schemas import DATASET_MAPPING, string_schema
+from shelfwright.session import materialise
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
 
@@ -19,57 +20,81 @@ def empty_stage(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], string_schema(columns)).withColumn("ord", F.lit(0).cast("bigint"))
 
 
-def _file_order(df: DataFrame) -> DataFrame:
-    """Add `ord` (0-based, by file name and row) and `_line` (1-based, in the file block).
+def _file_order(df: DataFrame, headers: bool = False) -> DataFrame:
+    """Add `ord` (0-based, by file name and row), `_file`, and `_first` (the first row of a file).
 
-    Rows are numbered per file block and blocks by their row counts, so no task sorts
-    more than one input split.
+    With `headers` first rows have no place of their own.
+
+    A task numbers its rows in the order it reads them; a small table of file blocks with their
+    first numbers and row counts turns these numbers into places, so rows are not shuffled.
     """
-    columns = df.columns
     placed = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
     )
-    counts = placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    skipped = F.when(F.col("_block") == 0, int(headers)).otherwise(0)
+    counts = placed.groupBy("_file", "_block").agg(
+        (F.count(F.lit(1)) - F.first(skipped)).alias("_n"), (F.min("_seq") + F.first(skipped)).alias("_from"),
+        F.min("_seq").alias("_lowest"),
+    )
     blocks = Window.partitionBy(F.lit(0)).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_file", "_block", F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_start"))
-    line = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_seq"))
+    starts = counts.select("_file", "_block", "_from", "_lowest", F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_start"))
     return (
-        placed.withColumn("_line", line)
-        .join(starts, ["_file", "_block"])
-        .select(*columns, (F.col("_start") + F.col("_line") - 1).cast("bigint").alias("ord"), "_line", "_block")
+        placed.join(materialise(starts, "blocks"), ["_file", "_block"])
+        .withColumn("ord", F.col("_start") + F.col("_seq") - F.col("_from"))
+        .withColumn("_first", (F.col("_block") == 0) & (F.col("_seq") == F.col("_lowest")))
+        .drop("_block", "_seq", "_from", "_lowest", "_start")
     )
 
 
+def _positional(spark: SparkSession, path: str, width: int) -> DataFrame:
+    cells = string_schema([f"_p{i}" for i in range(width)])
+    return spark.read.schema(cells).options(header=False, mode="PERMISSIVE", **CSV_OPTIONS).csv(path)
+
+
+def _with_headers(rows: DataFrame, width: int) -> DataFrame:
+    """Rows with `_names`, the cells of the first row of their own file."""
+    cells = F.array(*[filled(f"_p{i}") for i in range(width)])
+    names = F.transform(cells, lambda c, i: F.when(i == 0, F.ltrim(c, F.lit("\ufeff"))).otherwise(c))
+    headers = rows.filter("_first").select("_file", names.alias("_names"))
+    return rows.join(materialise(headers, "headers"), "_file")
+
+
+def _columns_in(spark: SparkSession, path: str, columns: list[str]) -> int:
+    return max(len(columns), len(spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns))
+
+
 def read_stage(spark: SparkSession, path: str, columns: list[str], required: bool = False) -> DataFrame:
-    """CSV stage table by column name plus `ord`; a missing path is an empty table.
+    """Read a CSV table by the names in each file's own header; a missing table is empty, or an error if required.
 
-    `required` turns the missing path into an error.
+    Files may have their columns in another order; columns that a file lacks are blank.
     """
     try:
-        df = spark.read.options(header=True, **CSV_OPTIONS).csv(path)
+        width = _columns_in(spark, path, columns)
     except AnalysisException as error:
         if not _missing(error):
             raise
         if required:
             raise FileNotFoundError(path) from error
         return empty_stage(spark, columns)
-    named = df.select(*[filled(c).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
-    return _file_order(named).select(*columns, "ord")
+    rows = _with_headers(_file_order(_positional(spark, path, width), headers=True), width)
+    return _by_name(rows.filter("NOT _first"), columns, width)
 
 
-def _positional(spark: SparkSession, path: str, width: int) -> DataFrame:
-    cells = string_schema([f"_p{i}" for i in range(width)])
-    return spark.read.schema(cells).options(header=False, mode="PERMISSIVE", **CSV_OPTIONS).csv(path)
+def _by_name(rows: DataFrame, columns: list[str], width: int) -> DataFrame:
+    cells = F.array(*[filled(f"_p{i}") for i in range(width)])
+    place = {c: F.array_position("_names", F.lit(c)).cast("int") for c in columns}
+    shown = [F.when(place[c] > 0, F.get(cells, place[c] - 1)).otherwise("").alias(c) for c in columns]
+    return rows.select(*shown, "ord")
 
 
 def read_tolerant(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Read a table that may lack its header and may start with a byte-order mark.
+    """Read a table whose files may lack their header and may start with a byte-order mark.
 
     The first row of a file is a header if it names the columns in order, ignoring case
-    and spaces; a cell that is not spelled exactly like its column hides that column.
+    and spaces; a cell that is not spelled exactly like its column hides that column in that file.
     All-blank rows are dropped; `ord` ascends but skips the rows left out.
     """
     width = len(columns)
@@ -79,18 +104,20 @@ def read_tolerant(spark: SparkSession, path: str, columns: list[str]) -> DataFra
         if not _missing(error):
             raise
         return empty_stage(spark, columns)
-    first = df.first()
-    names = [(v or "").lstrip("\ufeff") for v in (first or [])]
-    header = [n.strip().lower() for n in names] == columns
-    rows = _file_order(df)
-    if header:
-        rows = rows.filter(~((F.col("_line") == 1) & (F.col("_block") == 0)))
+    rows = _with_headers(_file_order(df), width)
+    wanted = F.array(*[F.lit(c) for c in columns])
+    header = F.transform("_names", lambda n: F.lower(F.trim(n))) == wanted
     cells = [F.col(f"_p{i}") for i in range(width)]
     shown = [
-        (filled(cell) if not header or names[i] == column else F.lit("")).alias(column)
+        F.when(~header | (F.get("_names", i) == column), filled(_unmarked(cell, i))).otherwise("").alias(column)
         for i, (cell, column) in enumerate(zip(cells, columns))
     ]
-    return rows.filter(not_all_blank(cells)).select(*shown, "ord")
+    return rows.filter(~(header & F.col("_first")) & not_all_blank(cells)).select(*shown, "ord")
+
+
+def _unmarked(cell: Column, i: int) -> Column:
+    """A byte-order mark before the first cell of a file without header goes."""
+    return F.when(F.col("_first"), F.ltrim(cell, F.lit("\ufeff"))).otherwise(cell) if i == 0 else cell
 
 
 def not_all_blank(cells: list[Column]) -> Column:
@@ -102,7 +129,7 @@ def read_first_columns(spark: SparkSession, path: str, width: int = 3) -> DataFr
     df = _positional(spark, path, width)
     first = df.first()
     names = [(v or "").lstrip("\ufeff") for v in first] if first else DATASET_MAPPING[:width]
-    rows = _file_order(df).filter(~((F.col("_line") == 1) & (F.col("_block") == 0)))
+    rows = _file_order(df).filter("NOT _first")
     decoded = [
         F.replace(filled(f"_p{i}"), F.lit("\ufffd"), F.lit("")).alias(n or f"_p{i}") for i, n in enumerate(names)
     ]
@@ -171,15 +198,22 @@ def header_of(spark: SparkSession, path: str) -> list[str] | None:
 def read_or_quarantine(
     spark: SparkSession, path: str, columns: list[str], quarantine: str, run_ts: str
 ) -> DataFrame:
-    """Read a stage table; one with another header is copied aside and counts as empty."""
-    header = header_of(spark, path)
-    if header is not None and header != columns:
-        odd = spark.read.options(header=True, **CSV_OPTIONS).csv(path)
-        odd.write.options(header=True, quote='"', escape='"', emptyValue="", nullValue="").csv(
-            f"{quarantine}/ts={run_ts}"
-        )
-        return empty_stage(spark, columns)
-    return read_stage(spark, path, columns)
+    """Read a stage table; files with another header are copied aside, by header, and left out.
+
+    The first other header goes to `ts=<run_ts>`, further ones to `ts=<run_ts>.1` and so on.
+    """
+    if header_of(spark, path) is None:
+        return read_stage(spark, path, columns)
+    width = _columns_in(spark, path, columns)
+    rows = _with_headers(_file_order(_positional(spark, path, width), headers=True), width)
+    wanted = F.array(*[F.lit(c) for c in [*columns, *[""] * (width - len(columns))]])
+    odd = rows.filter(F.col("_first") & (F.col("_names") != wanted)).select("_names").distinct().orderBy("_names")
+    # One row per layout that occurs.
+    for n, layout in enumerate(odd.collect()):
+        names = [c for c in layout["_names"] if c]
+        aside = _by_name(rows.filter(~F.col("_first") & (F.col("_names") == F.lit(layout["_names"]))), names, width)
+        write_stage(aside, f"{quarantine}/ts={run_ts}" + (f".{n}" if n else ""), names)
+    return _by_name(rows.filter(~F.col("_first") & (F.col("_names") == wanted)), columns, width)
 
 
 def snapshot(df: DataFrame, folder: str, run_ts: str) -> DataFrame:

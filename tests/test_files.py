@@ -87,3 +87,31 @@ def test_categories_from_file_names(spark, tmp_path):
 def test_merged_columns():
     assert files.merged_columns(["name", "a"], ["a", "b"], []) == ["id", "name", "a", "b"]
     assert files.merged_columns([], ["b"], ["id", "x"]) == ["id", "x", "b"]
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("filename,secure_url,public_id\nf1,u1,p1\n", "utf-8")
+    (tmp_path / "b.csv").write_text("public_id,filename,secure_url\np2,f2,u2\n", "utf-8")
+    (tmp_path / "c.csv").write_text("public_id\np3\n", "utf-8")
+    rows = files.read_stage(spark, str(tmp_path), MAPPING).orderBy("ord").collect()
+    assert [(r.filename, r.secure_url, r.public_id, r.ord) for r in rows] == [("f1", "u1", "p1", 0), ("f2", "u2", "p2", 1), ("", "", "p3", 2)]
+
+
+def test_files_with_and_without_header_in_one_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufeff" + ",".join(RAW) + "\n" + raw_line("1") + "\n", "utf-8")
+    (tmp_path / "b.csv").write_text("\ufeff" + raw_line("2") + "\n" + raw_line("3") + "\n", "utf-8")
+    (tmp_path / "c.csv").write_text(",".join(["ID", *RAW[1:]]) + "\n" + raw_line("4") + "\n", "utf-8")
+    rows = files.read_tolerant(spark, str(tmp_path), RAW).orderBy("ord").collect()
+    assert [(r.id, r.name) for r in rows] == [("1", "n"), ("2", "n"), ("3", "n"), ("", "n")]
+
+
+def test_only_odd_files_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "stage"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name\n1,x\n", "utf-8")
+    (folder / "b.csv").write_text("name,id\ny,2\n", "utf-8")
+    (folder / "c.csv").write_text("id\n3\n", "utf-8")
+    kept = files.read_or_quarantine(spark, str(folder), ["id", "name"], str(tmp_path / "q"), "T").collect()
+    assert [(r.id, r.name) for r in kept] == [("1", "x")]
+    aside = [files.read_stage(spark, str(tmp_path / "q" / f"ts=T{n}"), ["id", "name"]).first() for n in ("", ".1")]
+    assert sorted((r.id, r.name) for r in aside) == [("2", "y"), ("3", "")]
