@@ -2,14 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import register
-from checks.relations import KEEP_STEPS
+from checks.registry import ORACLES, register
+from checks.relations import INSERTED_SQL, KEEP_STEPS, OUTCOME_SQL
 from checks.views import Inputs
 from shelfwright.functions.hashes import hash_text
 from shelfwright.functions.images import with_features
 from shelfwright.plans import listing
+from shelfwright.plans.everything import run_all
+from shelfwright.schemas import FINAL
 from shelfwright.session import scratch_path
 from shelfwright.sources import captures
+from shelfwright.sources.images import image_file_features
 from shelfwright.streaming import ingest
 
 RUN_TS = "2024-03-03T00:00:00"
@@ -240,3 +243,71 @@ def h7(v: Inputs):
 @register("h8_perceptual_hash")
 def h8(v: Inputs):
     return with_features(v.images).select("original_image_url", hash_text("image_hash").alias("image_hash"))
+
+
+BLUR_SQL = ORACLES["h7_f12_blur_score"]
+
+
+@register("a12_image_files", BLUR_SQL.replace(
+    "SELECT CAST(vec_id AS STRING) AS original_image_url, CAST(round(", "SELECT CAST(vec_id AS STRING) AS original_image_url, "
+    "CASE WHEN vec_id % 7 = 3 THEN -1 ELSE 8 END AS width, CASE WHEN vec_id % 7 = 3 THEN -1 ELSE 8 END AS height, CASE WHEN vec_id % 7 <> 3 THEN CAST(round("
+).replace("AS BIGINT) AS blur_4096 FROM sums", "AS BIGINT) END AS blur_4096 FROM sums"))
+def a12(v: Inputs):
+    """Image files that are written from the table, every seventh damaged, in folders whose file names repeat."""
+    folder = scratch_path(v.spark, "image_files")
+    grey = F.transform("pixels", lambda p: F.repeat(p, 3))
+    lines = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda y: F.array_join(F.slice(grey, 57 - y * 8, F.lit(8)), ""))
+    head = F.lit("424DF6000000000000003600000028000000" + "08000000" * 2 + "01001800" + "00000000" + "C0000000" + "130B0000" * 2 + "00000000" * 2)
+    rows = v.images.select(
+        F.col("original_image_url").alias("id"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.substring(F.hex("image.data"), 2 * i + 1, F.lit(2))).alias("pixels")
+    )
+    broken = F.col("id").cast("long") % 7 == 3
+    content = F.when(broken, F.lit("6A756E6B")).otherwise(F.concat(head, F.array_join(lines, "")))
+    name = F.concat(F.lit("d"), F.col("id"), F.lit("/a b+c.bmp"))
+    named = rows.select("id", name.alias("file_name"), F.unhex(content).alias("content"))
+
+    def write(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch[["file_name", "content"]].itertuples(index=False):
+                store, path = fs.FileSystem.from_uri(f"{folder}/{row.file_name}")
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(path) as out:
+                    out.write(row.content)
+            yield batch[["file_name"]]
+
+    named.mapInPandas(write, "file_name string").count()
+    index = named.select("file_name", F.col("id").alias("original_image_url"))
+    return image_file_features(v.spark, folder, index).select(
+        "original_image_url", "width", "height", F.round(F.col("blur_score") * 4096).cast("bigint").alias("blur_4096")
+    )
+
+
+RECORD = "category, name, price, brand, source, \"sourceUrl\", \"originalImageUrl\", \"cloudinaryUrl\", \"cloudinaryPublicId\", \"createdAt\""
+
+
+def _places(sql: str) -> str:
+    """The import's oracle over `final_rows`, whose `ord` repeats from category to category."""
+    sql = sql.replace("import_rows", "final_rows").replace("ORDER BY ord", f"ORDER BY ord, {RECORD}")
+    for a in ("pid", "src"):
+        mine, other = (", ".join(f"{t}.{c.strip()}" for c in ("ord, " + RECORD).split(",")) for t in (a, "i"))
+        sql = sql.replace(f"{a}.ord < i.ord", f"({mine}) < ({other})")
+    return sql
+
+
+@register("i12_run_all", OUTCOME_SQL + f""",
+newmap AS (SELECT category, new_name AS filename, max_by(out_url, ord) AS secure_url, max_by(out_id, ord) AS public_id FROM settled WHERE mapped AND new_name <> '' GROUP BY 1, 2),
+final_rows AS (
+  SELECT s.ord, coalesce(nullif(s.final_category, ''), s.category) AS category, s.name, s.price, s.brand, s.source, s.source_url AS "sourceUrl",
+    trim(CASE WHEN mapped THEN image ELSE original_image_url END) AS "originalImageUrl", coalesce(nullif(out_url, ''), m.secure_url, '') AS "cloudinaryUrl",
+    coalesce(nullif(out_id, ''), m.public_id, '') AS "cloudinaryPublicId", out_at AS "createdAt"
+  FROM settled s LEFT JOIN newmap m ON s.category = m.category AND CASE WHEN mapped THEN new_name ELSE s.filename END = m.filename
+  WHERE coalesce(nullif(out_url, ''), m.secure_url, '') <> '' AND coalesce(nullif(out_id, ''), m.public_id, '') <> ''),
+""" + _places(INSERTED_SQL).strip().removeprefix("WITH ") + f"SELECT ord, {RECORD} FROM ins")
+def i12(v: Inputs):
+    """All stages; publishing and import cover every category of the shelf."""
+    run = run_all(
+        v.tiki_captures, "tiki", None, v.clean, v.reviewed.filter("false"), v.shelf_mapping, v.results, v.target, RUN_TS, auto_pass=True
+    )
+    return run.inserted.select("ord", *FINAL)

@@ -126,8 +126,6 @@ def _steps(
     """Kept nodes when hashes are compared: by growing ranges of positions."""
     sizes = nodes.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
     largest = sizes[0] or 0
-    if largest <= first_step:
-        return _rounds(nodes, scope, keys, near, max_distance, tail_rows)
     columns = [*scope, "ord", *keys]
     placed = materialise(with_position(nodes, "ord", scope, position="_pos", shifts=shifts), "nodes")
     kept: list[DataFrame] = []

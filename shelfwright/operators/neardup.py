@@ -80,8 +80,6 @@ def _rest() -> Column:
 def _buckets(items: DataFrame, scope: list[str], bucket_rows: int) -> DataFrame:
     """Items in buckets of at most `bucket_rows`, as far as splitting can get."""
     current = _split(_fresh(items, scope, F.col("h"), False), scope, 0, BYTE)
-    if items.limit(bucket_rows + 1).count() <= bucket_rows:
-        return current
     keys = ["value", "path", "byte_value", "bytes", *scope]
     done, width, level = [], BYTE, 1
     while True:

@@ -70,22 +70,24 @@ def inserted_documents(records: DataFrame, target: DataFrame) -> DataFrame:
     Kinds are settled from the most specific on: a record is also held back by one of
     an earlier kind that precedes it in the batch, is added, and carries its key value.
 
+    Places are `ord` and, where it repeats in a batch of several categories, the record itself.
     The first record of each (kind, key) is a candidate. The values that the target and candidates
     hold in the key fields are looked up by (field, value) in one join; which candidates of
     earlier kinds are added themselves is settled by one more pass per kind over candidates only.
     """
     batch = keyed(records).filter(F.col("key_kind").isNotNull())
-    firsts = batch.groupBy("key_kind", "key").agg(F.min_by(F.struct(*FINAL, "ord"), F.col("ord")).alias("_row"))
+    place = F.struct("ord", *FINAL)
+    firsts = batch.groupBy("key_kind", "key").agg(F.min(place).alias("_row"))
     held = target.select(F.explode(F.array(*[F.struct(F.lit(f).alias("key_kind"), F.col(f).alias("key")) for f in KEY_FIELDS])).alias("_k"))
     stored = held.select("_k.*").filter(present("key")).distinct()
     fresh = materialise(firsts.join(stored, ["key_kind", "key"], "left_anti").select("key_kind", "key", "_row.*"), "candidates")
     added = [fresh.filter(F.col("key_kind") == KEY_FIELDS[0])]
     for kind, field in enumerate(KEY_FIELDS[1:], 1):
-        values = reduce(DataFrame.unionByName, [d.select(F.col(field).alias("key"), "ord") for d in added[:kind]])
-        blocking = values.filter(present("key")).groupBy("key").agg(F.min("ord").alias("_at"))
+        values = reduce(DataFrame.unionByName, [d.select(F.col(field).alias("key"), place.alias("_place")) for d in added[:kind]])
+        blocking = values.filter(present("key")).groupBy("key").agg(F.min("_place").alias("_at"))
         own = fresh.filter(F.col("key_kind") == field)
         added.append(
-            own.join(blocking, "key", "left").filter(F.col("_at").isNull() | (F.col("_at") > F.col("ord"))).select(*fresh.columns)
+            own.join(blocking, "key", "left").filter(F.col("_at").isNull() | (F.col("_at") > place)).select(*fresh.columns)
         )
     return reduce(DataFrame.unionByName, added).select(*FINAL, "ord")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.fields import filled, image_url, first_present, present, two_decimals
+from shelfwright.functions.fields import filled, image_url, first_present, present, scoped, two_decimals
 from shelfwright.functions.hashes import hash_text
 from shelfwright.operators.dedup import keep_greedy
 from shelfwright.operators.joins import lookup
@@ -55,35 +55,33 @@ def gate(
     """
     scope = ["category"] if scope is None else scope
     added = ["width", "height", "blur_score", "image_hash"]
-    base = (
-        rows.drop(*added)
-        .withColumn("_image", image_url("original_image_url", "image_url" if "image_url" in rows.columns else None))
-        .withColumn("_missing", missing_reason(F.col("_image")))
+    base = scoped(rows, scope).drop(*added).withColumn(
+        "_image", image_url("original_image_url", "image_url" if "image_url" in rows.columns else None)
     )
-    checkable = F.col("_missing").isNull()
-    measured = (
-        lookup(base, distinct_features(features), [("_image", "original_image_url")], checkable, order, "_f")
-        .withColumns({c: F.col(f"_f.{c}") for c in added})
-        .drop("_f")
-        .withColumn(
-            "_refused",
-            F.when(checkable, image_reason(F.col("width"), F.col("height"), F.col("blur_score"))),
-        )
+    # Features are written before anything reads them: pixels are looked at once. Reasons are settled on
+    # narrow rows; the full rows take part in one join at the end.
+    known = materialise(distinct_features(features), "features")
+    narrow = base.select(
+        *scope, F.col(order).alias("ord"), "source_url", "_image", missing_reason(F.col("_image")).alias("_missing")
     )
-    columns = [*scope, F.col(order).alias("ord"), "source_url", "_image", "image_hash"]
-    eligible = materialise(
-        measured.filter(checkable & F.col("_refused").isNull()).select(*columns), "eligible"
+    checkable = F.col("_missing").isNull()
+    measured = lookup(narrow, known, [("_image", "original_image_url")], checkable, "ord", "_f").select(
+        *scope, "ord", "source_url", "_image", "_missing", *[F.col(f"_f.{c}").alias(c) for c in added]
     )
+    refused = F.when(checkable, image_reason(F.col("width"), F.col("height"), F.col("blur_score")))
+    measured = materialise(measured.withColumn("_refused", refused), "measured")
+    columns = [*scope, "ord", "source_url", "_image", "image_hash"]
+    eligible = measured.filter(checkable & F.col("_refused").isNull()).select(*columns)
     kept = keep_greedy(
         eligible, ["source_url"], scope, near="image_hash", max_distance=max_distance, **kw
     ).select(*scope, "ord")
-    accepted = eligible.join(kept, ["ord", *scope], "left_semi")
+    accepted = materialise(eligible.join(kept, ["ord", *scope], "left_semi"), "accepted")
     on_scope = [(c, c) for c in scope]
     by_source = accepted.select(*scope, "source_url", F.col("ord").alias("kept_ord"))
     by_image = accepted.select(*scope, "_image", F.col("ord").alias("kept_ord"))
-    compared = lookup(measured, by_source, [*on_scope, ("source_url", "source_url")], checkable, order, "_s")
-    compared = lookup(compared, by_image, [*on_scope, ("_image", "_image")], checkable, order, "_i")
-    at = F.col(order)
+    compared = lookup(measured, by_source, [*on_scope, ("source_url", "source_url")], checkable, "ord", "_s")
+    compared = lookup(compared, by_image, [*on_scope, ("_image", "_image")], checkable, "ord", "_i")
+    at = F.col("ord")
     same = (F.col("_s.kept_ord") == at) & (F.col("_i.kept_ord") == at)
     earlier = (F.col("_s.kept_ord") < at) | (F.col("_i.kept_ord") < at)
     reason = (
@@ -93,11 +91,9 @@ def gate(
         .when(F.col("_refused").isNotNull(), F.col("_refused"))
         .otherwise("duplicate_image")
     )
-    return (
-        compared.withColumn("reason", reason)
-        .drop("_missing", "_refused", "_s", "_i")
-        .drop("image_url").withColumnRenamed("_image", "image_url")
-    )
+    reasons = materialise(compared.select(*scope, F.col("ord").alias(order), *added, reason.alias("reason")), "reasons")
+    joined = base.drop("image_url").join(reasons, [order, *scope])
+    return joined.select(*[c for c in base.columns if c not in ("_image", "image_url")], *added, "reason", F.col("_image").alias("image_url"))
 
 
 def validated(gated: DataFrame, run_ts: str) -> DataFrame:

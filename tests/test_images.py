@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwright.functions import images as measures
 from shelfwright.functions.hashes import hash_text, hash_value
 from shelfwright.plans.validate import gate, validate
-from shelfwright.sources.images import read_images
+from shelfwright.sources.images import image_file_features, read_images
 
 
 def png(pixels):
@@ -51,7 +51,7 @@ def folder(tmp_path_factory):
 def features(spark, folder):
     names = sorted(p.name for p in folder.iterdir())
     index = spark.createDataFrame([(n, f"https://i/{n}") for n in names], "file_name string, original_image_url string")
-    return measures.with_features(read_images(spark, str(folder), index))
+    return image_file_features(spark, str(folder), index)
 
 
 def raw_rows(spark, rows):
