@@ -240,7 +240,25 @@ def h7(v: Inputs):
     return scored.select("original_image_url", F.round(F.col("blur_score") * 4096).cast("bigint").alias("blur_4096"))
 
 
-@register("h8_perceptual_hash")
+@register("h8_perceptual_hash", """
+WITH taps AS (
+  SELECT i, j, j - (i + 0.5) / 4 + 0.5 AS x FROM (SELECT unnest(range(32)) AS i) a, (SELECT unnest(range(8)) AS j) b
+  WHERE j >= greatest(trunc((i + 0.5) / 4 - 2.5), 0) AND j < least(trunc((i + 0.5) / 4 + 3.5), 8)),
+raw AS (SELECT i, j, CASE WHEN x = 0 THEN 1 WHEN abs(x) < 3 THEN sin(pi() * x) / (pi() * x) * sin(pi() * x / 3) / (pi() * x / 3) ELSE 0 END AS v FROM taps),
+w AS (SELECT i, j, CAST(trunc(v / sum(v) OVER (PARTITION BY i) * 4194304 + 0.5 * sign(v)) AS BIGINT) AS w FROM raw),
+px AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x, CAST(least(greatest(floor((CAST(e AS DOUBLE) + 1) * 127.5), 0), 255) AS BIGINT) AS g
+  FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings) t),
+across AS (SELECT vec_id, y, w.i AS m, least(greatest(floor((sum(g * w) + 2097152) / 4194304.0), 0), 255) AS a FROM px JOIN w ON w.j = px.x GROUP BY ALL),
+small AS (SELECT vec_id, w.i AS n, m, least(greatest(floor((sum(a * w) + 2097152) / 4194304.0), 0), 255) AS s FROM across JOIN w ON w.j = across.y GROUP BY ALL),
+basis AS (SELECT k, n, 2 * cos(pi() * k * (2 * n + 1) / 64) AS c FROM (SELECT unnest(range(8)) AS k) a, (SELECT unnest(range(32)) AS n) b),
+half AS (SELECT vec_id, k, m, sum(c * s) AS h FROM small JOIN basis USING (n) GROUP BY ALL),
+low AS (SELECT vec_id, half.k AS k, b.k AS l, sum(h * c) AS v FROM half JOIN basis b ON b.n = half.m GROUP BY ALL),
+middle AS (SELECT vec_id, median(v) AS mid FROM low GROUP BY vec_id),
+nibbles AS (SELECT vec_id, (k * 8 + l) // 4 AS q, sum(CASE WHEN v > mid THEN 8 >> CAST((k * 8 + l) % 4 AS INT) ELSE 0 END) AS d
+  FROM low JOIN middle USING (vec_id) GROUP BY ALL)
+SELECT CAST(vec_id AS STRING) AS original_image_url, string_agg(substr('0123456789abcdef', CAST(d AS INT) + 1, 1), '' ORDER BY q) AS image_hash
+FROM nibbles GROUP BY vec_id
+""")
 def h8(v: Inputs):
     return with_features(v.images).select("original_image_url", hash_text("image_hash").alias("image_hash"))
 

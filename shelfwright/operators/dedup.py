@@ -19,7 +19,7 @@ from shelfwright.functions.fields import present, scoped
 from shelfwright.operators.neardup import near_pairs
 from shelfwright.operators.ranking import DENSE_CHUNKS, with_position
 from shelfwright.schemas import HASH_DISTANCE
-from shelfwright.session import materialise
+from shelfwright.session import discard, materialise
 
 # A remainder of at most this many rows, counted first, is scanned in order; long
 # chains of conflicts would otherwise take one round per row.
@@ -114,7 +114,9 @@ def _rounds(
                 reached = edges.join(taken.withColumnRenamed(near, "h"), ["h", *scope], "left_semi")
                 taken = taken.unionByName(reached.select(*scope, F.col("other").alias(near)))
             rest = rest.join(taken, [k, *scope], "left_anti")
-        left = materialise(rest.select(*columns), "undecided")
+        following = materialise(rest.select(*columns), "undecided")
+        discard(left)
+        left = following
         n_left, done = left.count(), done + 1
     return kept
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,8 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+# Lists of paths kept by open `passing_tables` blocks.
+_watched: list[list[str]] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -60,4 +63,33 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for made in _watched:
+        made.append(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that `materialise` wrote and that nothing will read again."""
+    path = getattr(df, "_scratch_path", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession):
+    """Delete what is materialised inside the block when it ends."""
+    made: list[str] = []
+    _watched.append(made)
+    try:
+        yield
+    finally:
+        _watched.remove(made)
+        for path in made:
+            _delete(spark, path)

@@ -10,7 +10,7 @@ from shelfwright.plans.listing import (
     PAGE_CHUNKS, check_limits, latest_captures, listed_products, new_products, numbered, visited_pages,
 )
 from shelfwright.schemas import CAPTURES, RAW
-from shelfwright.session import materialise, tune
+from shelfwright.session import materialise, passing_tables, tune
 from shelfwright.sources.captures import PAGES
 from shelfwright.sources.stage_files import append_batch, read_table
 
@@ -59,6 +59,10 @@ def ingest(
     name = source.lower()
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        with passing_tables(batch.sparkSession):
+            add(batch, batch_id)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
         spark = tune(batch.sparkSession)
         history = materialise(stored_rows(spark, table, before=batch_id), "history")
         pages = visited_pages(batch, name, max_pages, earlier=seen_pages(spark, table, batch_id))
