@@ -78,7 +78,7 @@ def _rest() -> Column:
 
 
 def _buckets(items: DataFrame, scope: list[str], bucket_rows: int) -> DataFrame:
-    """Items in buckets of at most `bucket_rows`, as far as splitting can get."""
+    """Items in buckets of at most `bucket_rows`, as far as splitting can get; `salts` parts for what remains larger."""
     current = _split(_fresh(items, scope, F.col("h"), False), scope, 0, BYTE)
     keys = ["value", "path", "byte_value", "bytes", *scope]
     done, width, level = [], BYTE, 1
@@ -86,12 +86,13 @@ def _buckets(items: DataFrame, scope: list[str], bucket_rows: int) -> DataFrame:
         current = materialise(current, "buckets")
         large = materialise(
             current.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > bucket_rows).select(*keys),
+            .filter(F.col("_n") > bucket_rows).select(*keys, F.ceil(F.col("_n") / bucket_rows).cast("int").alias("salts")),
             "large",
         )
         if large.isEmpty() or (width == HALF and level == HALF_LEVELS):
+            current = current.join(large, keys, "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
             break
-        done.append(current.join(large, keys, "left_anti"))
+        done.append(current.join(large, keys, "left_anti").withColumn("salts", F.lit(1)))
         hot = current.join(large, keys, "left_semi")
         if width == BYTE and level == BYTE_LEVELS:
             hot, width, level = _fresh(hot, scope, _rest(), True), HALF, 0
@@ -124,11 +125,15 @@ def near_pairs(
     # The most varied key first: sorts then rarely compare whole rows.
     keys = ["value", "path", "mask", "byte_value", "bytes", "byte_mask", *scope]
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = _buckets(items.repartition(partitions, "h"), scope, bucket_rows).select(*keys, "h", "side", "bits")
+    placed = _buckets(items.repartition(partitions, "h"), scope, bucket_rows).select(*keys, "h", "side", "bits", "salts")
     a = placed if alone else placed.filter(F.col("side") == LEFT)
     b = placed if alone else placed.filter(F.col("side") == RIGHT)
-    a = a.drop("side").repartition(partitions, *keys)
-    b = b.drop("side").repartition(partitions, *keys).withColumnsRenamed({"h": "other", "bits": "other_bits"})
+    # A bucket that could not be split is met in parts: one side is dealt out, the other goes to every part.
+    keys = [*keys, "salt"]
+    a = a.withColumn("salt", F.pmod(F.xxhash64("h"), F.col("salts")).cast("int")).drop("side", "salts")
+    b = b.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("side", "salts")
+    a = a.repartition(partitions, *keys)
+    b = b.repartition(partitions, *keys).withColumnsRenamed({"h": "other", "bits": "other_bits"})
     h, other = F.col("h"), F.col("other")
     different = h < other if alone else h != other
     # Below the last agreeing unit no other unit may agree, on either level.
