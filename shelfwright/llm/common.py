@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwright.session import materialise, scratch_path
+from shelfwright.session import discard, materialise, scratch_path
 
-__all__ = ["materialise", "scratch_path"]
+__all__ = ["discard", "materialise", "scratch_path"]
 
 # Words everywhere in this folder: runs without space, tab, line feed, vertical
 # tab, form feed and carriage return. bytes.split() splits at exactly these.
@@ -206,7 +206,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         following = small.select("u", F.col("low").alias("v")).union(
             small.select(F.col("v").alias("u"), F.col("low").alias("v"))
         ).distinct()
-        current = materialise(following, f"{label}-round")
+        previous, current = current, materialise(following, f"{label}-round")
+        discard(previous)
         state = current.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")
         ).first()

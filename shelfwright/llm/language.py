@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -61,10 +61,11 @@ def fit_dictionaries(docs: DataFrame, learn: Column, lang_col: str = "lang", tex
     # Hash ranges wide enough for about four times the sample of each language, then exact bounds.
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 20, ((4 * SAMPLE_DOCS + 40) << 20) // n))])
     few = usable.withColumn("place", place).filter(F.col("place") < limit[F.col("lang")]).dropDuplicates(["lang", "text"])
+    order = Window.partitionBy("lang").orderBy("place", F.xxhash64(F.lit(1), "text"), "text")
+    chosen = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
     texts: dict[str, list] = {lang: [] for lang in counts}
-    for lang in sorted(counts):
-        rows = few.filter(F.col("lang") == lang).orderBy("place", F.xxhash64(F.lit(1), "text")).limit(SAMPLE_DOCS)
-        texts[lang] = [normal(r["text"]) for r in rows.select("text").collect()]
+    for row in sorted(chosen.select("lang", "n", "text").collect()):
+        texts[row["lang"]].append(normal(row["text"]))
     size = min(DICTIONARY_BYTES, *(sum(map(len, t)) for t in texts.values()))
     return {lang: b"".join(t)[:size].ljust(8) for lang, t in texts.items()}
 

@@ -132,18 +132,57 @@ def test_op10_tells_good_from_bad(spark):
     assert np.mean(good) < 0.05 and np.mean(junk) > 0.8 and np.mean(toxic) > 0.6
 
 
-def test_pipeline_keeps_one_of_each_and_packs_all(spark):
+def test_pipeline_against_plain_python(spark, ids_of):
+    """Every stage on what its predecessor kept, computed again on the driver."""
     import corpus_pipeline as pipeline
+    from shelfwright.llm import cotraining, language
+    from tests.llm.test_edges import removed
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    kept, before = docs, docs.count()
-    for _, stage in pipeline.STAGES[:-1]:
-        kept = stage(spark, kept, SMALL)
-        assert kept.columns == docs.columns
-        kept = spark.createDataFrame(kept.collect(), kept.schema)
-        after = kept.count()
-        assert 0 < after <= before
-        before = after
-    packed = pipeline.STAGES[-1][1](spark, kept, SMALL)
-    assert packed.select("doc_id").distinct().count() == before
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    stages = [stage for _, stage in pipeline.STAGES]
+
+    def run(stage, table):
+        out = stage(spark, table, SMALL)
+        assert out.columns == docs.columns
+        rows = sorted(out.collect(), key=lambda r: r["doc_id"])
+        return spark.createDataFrame(rows, docs.schema), {r["doc_id"]: r["text"] for r in rows}
+
+    classify = language.Classifier(language.fit_dictionaries(docs, ~language.held_out()))
+    want = {}
+    for r in docs.collect():
+        name, score = classify(r["text"])
+        if name != "und" and score >= language.MARGIN:
+            want[r["doc_id"]] = r["text"]
+    known, texts = run(stages[0], docs)
+    assert texts == want and len(texts) > 150
+
+    models, rows = cotraining.fit(known, labels), known.collect()
+    views = cotraining.Rows.of(*[[r[c] for r in rows] for c in ("text", "source", "lang")])
+    scores = np.prod([m.score(views) for m in models], axis=0)
+    good, texts = run(stages[1], known)
+    assert texts == {r["doc_id"]: r["text"] for r, x in zip(rows, scores, strict=True) if x >= cotraining.CUT}
+
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for k, t in texts.items()}
+    group = {k: k for k in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a in texts:
+            for b in texts:
+                if group[a] < group[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    group[b], changed = group[a], True
+    want = {k: t for k, t in texts.items() if group[k] == k}
+    distinct, texts = run(stages[2], good)
+    assert texts == want
+
+    want = {}
+    for (number, text), (n, gone, kept) in zip(sorted(texts.items()), removed([t for _, t in sorted(texts.items())], 20), strict=True):
+        if gone < n or n == 0:
+            want[number] = kept if gone else text
+    passages, texts = run(stages[3], distinct)
+    assert texts == want
+
+    packed = stages[4](spark, passages, SMALL)
+    assert packed.select("doc_id").distinct().count() == len(texts)
     assert pipeline.run(spark, SMALL).count() == packed.count()
