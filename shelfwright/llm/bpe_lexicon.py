@@ -5,7 +5,8 @@ compiled into an automaton whose states are shared by all words with equal endin
 transitions add up to a word's place in the lexicon, which leads to its ids. The automaton is one file of
 plain arrays in the shared folder; Spark ships it to each executor, where workers map it into
 memory. A batch looks its distinct words up together, a byte at a time; words that are not in the lexicon are
-split by the pre-tokenisation pattern and merged exactly, by merge rank.
+split by the pre-tokenisation pattern and merged exactly, by merge rank (by tiktoken's merge loop where ids follow
+the order of the merges, as they do in public vocabularies, else by `Vocabulary.merge`).
 
 Byte-level pre-tokenisation never joins a character to white space after it, so in texts whose white space is
 single spaces and line feeds a word is what stands between those, with the space before it. Other texts, and texts
@@ -26,11 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import chunks_by_bytes, save, scratch_path
+from shelfwright.llm.common import chunks_by_bytes, save, scratch_path, tidy
 from shelfwright.llm.tokens import OTHER_SPACE, RUNS, default_tokenizer
 
 # The pre-tokenisation pattern, and the bytes that byte-level vocabularies write as themselves.
@@ -39,8 +41,8 @@ PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 LEXICON_WORDS = 65_536
 LONGEST_WORD = 64  # bytes; longer words are merged
-KEPT_WORDS = 150_000  # merged words that a worker remembers
-BATCH_BYTES = 16 << 20
+KEPT_WORDS = 50_000  # merged words that a worker remembers
+BATCH_BYTES = 8 << 20
 MAGIC = b"LEXICON1"
 
 
@@ -64,6 +66,11 @@ class Vocabulary:
         names = sorted(self.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self._pattern = regex.compile(PATTERN)
+        in_order = [i for _, i in sorted(self.merges.values())]
+        self._fast = None
+        if in_order == sorted(in_order) and sorted(self.single) == list(range(256)):
+            ranks = {text: i for i, text in self.bytes_of.items() if i not in self.added.values()}
+            self._fast = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def merge(self, token: bytes) -> list[int]:
         """Join the pair of lowest rank, leftmost first, until none is left."""
@@ -83,6 +90,8 @@ class Vocabulary:
     def encode_word(self, word: str) -> list[int]:
         if word in self.added:
             return [self.added[word]]
+        if self._fast is not None and word and max(word) < "\u0250":
+            return self._fast.encode_ordinary(word)
         return [i for token in self._pattern.findall(word) for i in self.merge(token.encode())]
 
     def has_added(self, text: str) -> bool:
@@ -316,7 +325,7 @@ def word_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str = "
                     yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
 
     source = docs.select(F.col(text_col).alias("text"), F.octet_length(text_col).alias("size"))
-    return source.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return source.mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str | None = None, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
@@ -347,7 +356,7 @@ def encode_documents(
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.octet_length(text_col).alias("size"))
-    return source.mapInArrow(encode, "doc_id long, ids array<int>")
+    return source.mapInArrow(tidy(encode), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -360,7 +369,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
             texts = [vocabulary.decode(x.as_py() or []) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(decode), "doc_id long, text string")
 
 
 def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -390,4 +399,4 @@ def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.octet_length("text").alias("size"))
-    return source.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(tidy(digest), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
