@@ -32,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import chunks_by_bytes, save, scratch_path, tidy
+from shelfwright.llm.common import chunks_by_bytes, discard, materialise, save, scratch_path, tidy
 from shelfwright.llm.tokens import OTHER_SPACE, RUNS, default_tokenizer
 
 # The pre-tokenisation pattern, and the bytes that byte-level vocabularies write as themselves.
@@ -40,6 +40,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 LEXICON_WORDS = 65_536
+STEPS = 32  # of the histogram per doubling of a count
 LONGEST_WORD = 64  # bytes; longer words are merged
 KEPT_WORDS = 50_000  # merged words that a worker remembers
 BATCH_BYTES = 8 << 20
@@ -329,10 +330,23 @@ def word_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str = "
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str | None = None, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
-    """Compile the `words` most frequent words into a file, ship it to the executors and give its name there."""
+    """Compile the most frequent words, at most `words`, into a file, ship it to the executors and give its name there.
+
+    A histogram of counts (some hundred steps, whatever the corpus) gives the smallest count whose words
+    still fit; only those words come to the driver. Words that occur once are not frequent.
+    """
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     frequent = word_counts(docs, path, text_col).filter((F.octet_length("word") > 0) & (F.octet_length("word") <= LONGEST_WORD))
-    top = [r["word"] for r in frequent.orderBy(F.desc("n"), "word").limit(words).select("word").collect()]
+    step = F.floor(F.log2("n") * STEPS).alias("step")
+    counted = materialise(frequent.filter("n > 1").withColumn("step", step), "words")
+    taken, least = 0, None
+    for r in sorted(counted.groupBy("step").agg(F.count("*").alias("m")).collect(), reverse=True):
+        taken += r["m"]
+        if taken > words:
+            break
+        least = r["step"]
+    top = [] if least is None else [r["word"] for r in counted.filter(F.col("step") >= least).select("word").collect()]
+    discard(counted)
     vocabulary = vocabulary_of(path)
     folder = scratch_path(spark, "lexicon")
     parts = compile_lexicon({w.encode(): vocabulary.encode_word(w) for w in top if w not in vocabulary.added})
