@@ -2,8 +2,10 @@
 
 Byte-level pre-tokenisation never joins a character to white space after it. A text in which all
 white space is single spaces and line feeds therefore has the ids of its words, each taken with
-the space before it, one after another. Words are encoded once per Python worker and kept in a
-bounded table; a text with any other white space is encoded as it stands.
+the space before it, one after another. Nor does it join a letter to a sign after it, so a word that ends
+in signs has the ids of the word and of the signs. Words are encoded by the library once per Python
+worker and kept in a bounded table (a word of letters only goes to the library's model as it is, since
+pre-tokenisation cannot cut it); a text with any other white space is encoded as it stands.
 """
 
 from __future__ import annotations
@@ -17,7 +19,9 @@ OTHER_SPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 )
 RUNS = ("  ", "\n\n", " \n", "\n ")
-KEPT_WORDS = 400_000
+# ASCII signs other than the apostrophe, which may begin an ending that is split off on its own.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+KEPT_WORDS, KEPT_JOINED = 120_000, 40_000
 KEPT_LENGTH = 64
 
 
@@ -30,17 +34,35 @@ def default_tokenizer() -> str:
 class _Words(dict):
     """Packed ids of words behind a fixed prefix, found when first asked for."""
 
-    def __init__(self, encode, prefix: str) -> None:
+    def __init__(self, encode, prefix: str, signs: _Words | None = None, letters=None) -> None:
         super().__init__()
-        self._encode, self._prefix = encode, prefix
+        self._encode, self._prefix, self._signs, self._letters, self._joined = encode, prefix, signs, letters, 0
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._encode(self._prefix + word)
-        if len(self) < KEPT_WORDS and len(word) <= KEPT_LENGTH:
+        if self._signs is not None and word[-1:] in SIGNS:
+            core = word.rstrip(SIGNS)
+            if core and core[-1].isalpha() and core[-1] < "\u0250" and "<|" not in word:
+                ids = self[core] + self._signs[word[len(core) :]]
+                if self._joined < KEPT_JOINED and len(word) <= KEPT_LENGTH:
+                    self._joined += 1
+                    self[word] = ids
+                return ids
+        if self._letters is not None and word.isalpha() and max(word) < "\u0250":
+            ids = self._letters(self._prefix + word)
+        else:
+            ids = self._encode(self._prefix + word)
+        if len(self) - self._joined < KEPT_WORDS and len(word) <= KEPT_LENGTH:
             self[word] = ids
         return ids
 
 
+def _written_bytes() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: visible ones as themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of a text as packed little-endian unsigned 32-bit integers."""
 
@@ -51,9 +73,17 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._inner, self._first = _Words(self.whole, " "), _Words(self.whole, "")
+        self._model, self._written = self._tokenizer.model, _written_bytes()
+        signs = _Words(self.whole, "")
+        self._inner = _Words(self.whole, " ", signs, self._letters)
+        self._first = _Words(self.whole, "", signs, self._letters)
         self._line = self.whole("\n")
 
+    def _letters(self, text: str) -> bytes:
+        """Ids of letters, with or without a space before them: one piece for the model."""
+        piece = text.encode().decode("latin-1").translate(self._written)
+        return array.array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
+
     def whole(self, text: str) -> bytes:
         return array.array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 

@@ -23,11 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import load, materialise, save, scratch_path
+from shelfwright.llm.common import load, materialise, save, scratch_path, tidy
 from shelfwright.llm.tokens import default_tokenizer, encoder
 
 MAGIC = b"WVMSHRD1"
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 20
 BLOCK_WORDS = 8  # of 64 bits: a stored count of ones per 512 bits
 
 
@@ -39,14 +39,15 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, known: np.ndarray, lengths: np.n
     sections = {"doc_ids": doc_ids.astype("<i8").tobytes(), "known": np.packbits(known).tobytes(), "lengths": lengths.astype("<u8").tobytes()}
     zeros = []
     for level in range(bits - 1, -1, -1):
-        ones = (current >> kind(level)) & kind(1) == 1
+        ones = (current & kind(1 << level)).astype(bool)
         words = _pack(ones)
         sections[f"plane{level}"] = words.tobytes()
         counts = np.bitwise_count(words).reshape(-1, BLOCK_WORDS).sum(axis=1, dtype=np.uint64)
         sections[f"rank{level}"] = np.cumsum(counts).astype("<u4").tobytes()
-        low = current[~ones]
-        zeros.append(len(low))
-        current = np.concatenate((low, current[ones]))
+        following, low = np.empty_like(current), len(current) - int(counts.sum())
+        following[:low], following[low:] = current[~ones], current[ones]
+        zeros.append(low)
+        current = following
     packer = zstandard.ZstdCompressor(level=1, write_checksum=True)
     stored = {name: packer.compress(data) for name, data in sections.items()}
     head = {"n": len(ids), "docs": len(doc_ids), "bits": bits, "zeros": zeros, "sections": {k: len(v) for k, v in stored.items()}}
@@ -202,7 +203,7 @@ def write_shards(
 
     columns = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = columns.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = materialise(ordered.mapInArrow(write, "file string, part long, seq long, n_docs long, n_tokens long"), "shards")
+    files = materialise(ordered.mapInArrow(tidy(write), "file string, part long, seq long, n_docs long, n_tokens long"), "shards")
     # Starts: sums over the parts (one row per task), then over the files of a part.
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -242,7 +243,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
 
     count = manifest.count()
     spread = manifest.repartition(max(1, min(count, 100_000)))
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return spread.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_shards(docs: DataFrame) -> DataFrame:
