@@ -8,12 +8,13 @@ Documents with equal sets form a class and are compared once. Rows and bands of
 from the recall wanted at the threshold. Class rows are shuffled on band hashes; within a bucket the
 first rows become leaders, and a row is tied to every leader that its signature may be near. Two
 similar rows of a bucket share a leader by the triangle inequality of the Jaccard distance, so buckets of any
-size give a few ties per row instead of pairs. Tied rows form groups; their texts are read again, and
-pairs are verified on full sets in blocks: rows stream past a block's inverted index. Out come link
-counts and spanning stars, never pairs.
+size give a tie per row instead of pairs. Tied rows form groups; their texts are read again, and
+pairs are verified on full sets in blocks: a bounded number of rows streams past the inverted index of a
+bounded block. Out come link counts and spanning stars, never pairs.
 
 Words are as they stand (`[^\\x20\\x09-\\x0D]+`). Null or blank texts: n_links 0, a group of their own. Rows
-that repeat an id are documents of their own. Null ids count as documents; a group's id is its smallest id.
+that repeat an id are documents of their own. Rows without id count as links of their equals; a set that only
+such rows have is compared with no other. A class's id is its smallest id.
 Other columns are not read.
 """
 
@@ -24,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwright.llm.common import (
-    WordBuffer, chunks_by_bytes, components, grouped, local_components, materialise, mix, words_of,
+    WordBuffer, chunks_by_bytes, components, grouped, local_components, materialise, mix, tidy, words_of,
 )
 
 WIDTH = 5
@@ -38,6 +39,7 @@ MAX_HASHES = 160
 CORE, HALO = 0.6, 0.3  # estimated similarity: joins a leader, is tied to a leader
 BATCH_BYTES = 4 << 20
 BLOCK_ROWS = 512
+PART_ROWS = 2048  # rows that stream past a block in one go
 PROBE_ROWS = 128
 
 
@@ -45,7 +47,9 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     """(bands, rows per band): the longest bands that reach the recall at the threshold within `most` hashes."""
     best = (most, 1)
     for rows in range(1, most + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold < 1 else 1
+        if threshold**rows < 1e-9:
+            break
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows))) if threshold < 1 else 1
         if bands * rows <= most:
             best = (bands, rows)
     return best
@@ -115,48 +119,54 @@ def _describe(width: int, bands: int, rows: int):
     return describe
 
 
-def tie_to_leaders(sketches: np.ndarray, leaders: list[np.ndarray]) -> Iterator[tuple[np.ndarray, int]]:
-    """Add rows that no leader is near to `leaders`, in order; for each leader the rows tied to it.
+def tie_to_leaders(sketches: np.ndarray, leaders: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    """Which rows are tied to which leaders, and the rows that have become leaders, in order.
 
-    A leader that is added is given as the number of its own row, the earlier ones as -1 - their place.
+    Rows that no leader is near to are added to `leaders`, one after the other.
     """
 
     def near(leader: np.ndarray) -> np.ndarray:
         agree = (sketches == leader).mean(axis=1)
         return (agree - 1 / 256) / (1 - 1 / 256)
 
-    covered = np.zeros(len(sketches), dtype=bool)
-    for place, leader in enumerate(leaders):
-        close = near(leader)
-        covered |= close >= CORE
-        yield np.flatnonzero(close >= HALO), -1 - place
+    found = [near(leader) for leader in leaders]
+    covered = np.max(found, axis=0) >= CORE if found else np.zeros(len(sketches), dtype=bool)
+    added = []
     while not covered.all():
         own = int(np.argmin(covered))
         leaders.append(sketches[own])
-        close = near(sketches[own])
-        covered |= close >= CORE
+        added.append(own)
+        found.append(near(sketches[own]))
+        covered |= found[-1] >= CORE
         covered[own] = True
-        yield np.flatnonzero(close >= HALO), own
+    return np.column_stack(found) >= HALO, added
 
 
 def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    current, leaders, names, a, b = None, [], [], [], []
+    """Per bucket one row for each class, and the leaders that classes tie together."""
+    current, leaders, names, joined, a, b = None, [], [], set(), [], []
     for key, piece in grouped(batches, ["band", "key"]):
         if key != current:
-            current, leaders, names = key, [], []
+            current, leaders, names, joined = key, [], [], set()
         ids = piece.column(2).to_numpy()
         sketches = np.frombuffer(b"".join(piece.column(3).to_pylist()), np.uint8).reshape(len(ids), -1)
-        for rows, leader in tie_to_leaders(sketches, leaders):
-            if leader >= 0:
-                names.append(int(ids[leader]))
-            name = names[-1] if leader >= 0 else names[-1 - leader]
-            a.append(ids[rows])
-            b.append(np.full(len(rows), name))
-        if sum(map(len, a)) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], names=["a", "b"])
+        tied, added = tie_to_leaders(sketches, leaders)
+        names += ids[added].tolist()
+        first = tied.argmax(axis=1)
+        some = tied.any(axis=1)
+        a += ids[some].tolist()
+        b += [names[i] for i in first[some]]
+        rows, others = np.nonzero(tied)
+        for pair in set(zip(first[rows].tolist(), others.tolist(), strict=True)) - joined:
+            joined.add(pair)
+            if pair[0] != pair[1]:
+                a.append(names[pair[0]])
+                b.append(names[pair[1]])
+        if len(a) > 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
             a, b = [], []
     if a:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 class Index:
@@ -232,7 +242,7 @@ def _verify(width: int, threshold: float):
                 usable = np.flatnonzero(ids >= 0)
                 yield from (clean(x) for x in links(Index(sets), ids, n, *_pick(sets, ids, usable)))
 
-        for key, piece in grouped(batches, ["group", "block"]):
+        for key, piece in grouped(batches, ["group", "block", "part"]):
             if key != current:
                 yield from inside()
                 current, held, block = key, [], None
@@ -265,52 +275,58 @@ def near_documents(
     docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, n_links (other documents linked directly), group_id (smallest id reachable),
-    class_id (smallest id with an equal set)."""
+    """One row per document: doc_id, n_links (other documents linked directly), class_id (smallest id reachable by
+    links, itself included), equal_id (smallest id with an equal set)."""
     bands, rows = choose_bands(threshold, recall)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    described = texts.withColumn("bytes", F.octet_length("text")).mapInArrow(
-        _describe(width, bands, rows), "doc_id long, size long, low long, high long, bands array<long>, sketch binary"
+    described = texts.withColumn("bytes", F.octet_length("text")).mapInArrow(tidy(_describe(width, bands, rows)), "doc_id long, size long, low long, high long, bands array<long>, sketch binary"
     )
     table = materialise(described, "sets")
     content = ["size", "low", "high"]
     merged = table.filter("size > 0").groupBy(*content).agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("equal_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     classes = materialise(merged.withColumn("cid", F.monotonically_increasing_id()), "classes")
     banded = classes.select("cid", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count("*").alias("m")).filter("m > 1").select("band", "key")
     met = materialise(banded.join(shared, ["band", "key"]), "shared").join(classes.select("cid", "sketch"), "cid")
     bucketed = met.select("band", "key", "cid", "sketch").repartition("band", "key").sortWithinPartitions("band", "key", "cid")
-    ties = bucketed.mapInArrow(_ties, "a long, b long").filter("a <> b").distinct()
+    ties = bucketed.mapInArrow(tidy(_ties), "a long, b long").filter("a <> b").distinct()
     groups = components(ties, "ties").select(F.col("node").alias("cid"), F.col("component").alias("group"))
-    sized = groups.join(groups.groupBy("group").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")), "group")
-    wanted = classes.filter("class_id IS NOT NULL").join(sized, "cid").select(
-        F.col("class_id").alias("doc_id"), "cid", "n", "low", "high", "group", "blocks"
+    many = [F.ceil(F.count("*") / F.lit(n)).cast("int").alias(c) for n, c in ((BLOCK_ROWS, "blocks"), (PART_ROWS, "parts"))]
+    sized = groups.join(groups.groupBy("group").agg(*many), "group")
+    wanted = classes.filter("equal_id IS NOT NULL").join(sized, "cid").select(
+        F.col("equal_id").alias("doc_id"), "cid", "n", "low", "high", "group", "blocks", "parts"
     )
     members = texts.filter(F.octet_length("text") > 0).join(wanted, "doc_id").drop("doc_id")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    homes = members.withColumn("block", own).withColumn("kind", F.lit(0))
-    probes = members.filter("blocks > 1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("kind", F.lit(1))
-    order = ["group", "block", "kind", "blocks", "cid", "n", "low", "high", "text"]
-    blocked = homes.select(order).union(probes.select(order)).repartition("group", "block").sortWithinPartitions("group", "block", "kind")
-    found = materialise(blocked.mapInArrow(_verify(width, threshold), "a long, b long, n long"), "pairs")
+    part = F.pmod(F.xxhash64(F.lit("part"), "cid"), F.col("parts")).cast("int")
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    homes = members.withColumn("block", own).withColumn("part", each("parts")).withColumn("kind", F.lit(0))
+    probes = members.filter("blocks > 1").withColumn("part", part).withColumn("block", each("blocks")).withColumn("kind", F.lit(1))
+    keys = ["group", "block", "part"]
+    order = [*keys, "kind", "blocks", "cid", "n", "low", "high", "text"]
+    blocked = homes.select(order).union(probes.select(order)).repartition(*keys).sortWithinPartitions(*keys, "kind")
+    found = materialise(blocked.mapInArrow(tidy(_verify(width, threshold)), "a long, b long, n long"), "pairs")
     links = found.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
     joined = components(found.select("a", "b"), "near").withColumnRenamed("node", "cid")
-    named = joined.join(classes.select("cid", "class_id"), "cid")
-    names = named.groupBy("component").agg(F.min("class_id").alias("group_id"))
-    known = classes.join(links, "cid", "left").join(named.join(names, "component").select("cid", "group_id"), "cid", "left").select(
-        *content, "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("group_id", "class_id").alias("group_id")
+    named = joined.join(classes.select("cid", "equal_id"), "cid")
+    names = named.groupBy("component").agg(F.min("equal_id").alias("class_id"))
+    known = classes.join(links, "cid", "left").join(named.join(names, "component").select("cid", "class_id"), "cid", "left").select(
+        *content, "equal_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "equal_id").alias("class_id")
     )
     # One row per distinct set on the right: a text of very many copies is split.
-    linked = table.filter("size > 0").join(known, content).select("doc_id", "n_links", "group_id", "class_id")
-    alone = table.filter("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("group_id"), F.col("doc_id").alias("class_id"))
+    linked = table.filter("size > 0").join(known, content).select("doc_id", "n_links", "class_id", "equal_id")
+    alone = table.filter("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("equal_id"))
     return linked.union(alone)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that have the smallest id of their group; equal rows once. Rows without id stay if they are alone."""
     found = near_documents(docs)
-    keep = found.filter("doc_id = group_id").select("doc_id").distinct()
+    keep = found.filter("doc_id = class_id").select("doc_id").distinct()
     named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.select(docs.columns).union(docs.filter("doc_id IS NULL").dropDuplicates(["text"]).select(docs.columns))

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from shelfwright.llm import (
     bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rp_forest, substring, warc, wavelet,
 )
-from shelfwright.llm.common import read
-from shelfwright.session import tune
+from shelfwright.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +18,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(tune(spark), folder)
+        QUERIES[name] = lambda spark, folder: build(prepare(spark), folder)
         if sql is not None:
             ORACLES[name] = sql
         return build
@@ -139,10 +138,10 @@ shared AS (
 ), links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach(a, b) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
-), named AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY a),
+), named AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
 degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a),
-classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY n, s, x) AS class_id FROM sizes)
-SELECT doc_id, coalesce(n_links, 0) AS n_links, group_id, coalesce(class_id, doc_id) AS class_id
+classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY n, s, x) AS equal_id FROM sizes)
+SELECT doc_id, coalesce(n_links, 0) AS n_links, class_id, coalesce(equal_id, doc_id) AS equal_id
 FROM documents JOIN named USING (doc_id) LEFT JOIN degree USING (doc_id) LEFT JOIN classes USING (doc_id)
 """
 
