@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import uuid
 from collections.abc import Iterator
@@ -11,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwright.session import discard, materialise, scratch_path
+from shelfwright.session import discard, materialise, scratch_path, tune
 
 __all__ = ["discard", "materialise", "scratch_path"]
 
@@ -24,6 +26,28 @@ _INVERSE = pow(_PRIME, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
+# Texts reach Python in batches of about this size, so that a worker's memory is bounded by it.
+ARROW_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's runtime settings, with smaller Arrow batches."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return spark
+
+
+def tidy(work):
+    """`work` on batches, giving memory back to the system when a task ends: Python workers live on."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only some systems have it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

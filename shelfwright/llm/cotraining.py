@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfwright.llm.common import WordBuffer, chunks_by_bytes, mix
+from shelfwright.llm.common import WordBuffer, chunks_by_bytes, mix, tidy
 from shelfwright.llm.language import normal
 
 LABELLED_ROWS = 12_000
@@ -283,7 +283,7 @@ def _sampled(rows: DataFrame, answers: tuple[str, ...]) -> tuple[Rows, np.ndarra
                     names=["words", "shape", "source", "lang", "y"],
                 )
 
-    table = source.mapInArrow(view, "words array<int>, shape array<double>, source long, lang long, y array<double>").toArrow()
+    table = source.mapInArrow(tidy(view), "words array<int>, shape array<double>, source long, lang long, y array<double>").toArrow()
     parts = table.combine_chunks().to_batches()
     if not parts or table.num_rows == 0:
         none = np.zeros(0, np.int64)
@@ -329,7 +329,7 @@ def score(docs: DataFrame, models: list[Model], cut: float = CUT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=["row", "score", "rejected"])
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return rows.mapInArrow(judge, StructType([rows.schema["row"]]).add("score", "double").add("rejected", "boolean"))
+    return rows.mapInArrow(tidy(judge), StructType([rows.schema["row"]]).add("score", "double").add("rejected", "boolean"))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -26,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import components, grouped, local_components, materialise, unit_rows, usable_vector, vectors
+from shelfwright.llm.common import (
+    components, grouped, local_components, materialise, tidy, unit_rows, usable_vector, vectors,
+)
 
 THRESHOLD = 0.93
 SAMPLE_ROWS = 20_000  # bound on the vectors that centroids are fitted on
@@ -93,7 +95,7 @@ def assign(distinct: DataFrame, cells: dict[int, np.ndarray], threshold: float)
             )
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in distinct.schema)
-    return distinct.mapInArrow(places, f"{fields}, cell int, probes array<int>")
+    return distinct.mapInArrow(tidy(places), f"{fields}, cell int, probes array<int>")
 
 
 def _compare(threshold: float):
@@ -162,7 +164,7 @@ def near_duplicates(
         .select("key", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"), "gid", "n", "embedding")
     )
     met = homes.union(probes).repartition("key", "cell", "block").sortWithinPartitions("key", "cell", "block", "kind")
-    found = materialise(met.mapInArrow(_compare(threshold), "a long, b long, n long"), "links")
+    found = materialise(met.mapInArrow(tidy(_compare(threshold)), "a long, b long, n long"), "links")
     links = found.groupBy(F.col("a").alias("gid")).agg(F.sum("n").alias("links"))
     parts = components(found.select("a", "b"), "vector").withColumnRenamed("node", "gid")
     named = parts.join(distinct.select("gid", "rep"), "gid")

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shelfwright.llm.common import tidy
+
 SAMPLE_DOCS = 400
 SAMPLE_TEXT_BYTES = 16_384  # longer documents are not used as samples
 DICTIONARY_BYTES = 64 << 10
@@ -108,7 +110,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     shape = StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rows.mapInArrow(predict, shape)
+    return rows.mapInArrow(tidy(predict), shape)
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import materialise
+from shelfwright.llm.common import materialise, tidy
 from shelfwright.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 1024
@@ -129,7 +129,7 @@ def pieces_of(
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return source.mapInArrow(cut, columns)
+    return source.mapInArrow(tidy(cut), columns)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, chunks: int = CHUNKS) -> DataFrame:
@@ -171,7 +171,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, chunks: int = CHUNKS) -> D
     columns = [c for c in pieces.columns if c != "length"]
     shape = ranked.select(*columns, "length", "rank")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape.schema)
-    return shape.mapInArrow(place, f"{schema}, sequence_id long, offset long").drop("rank")
+    return shape.mapInArrow(tidy(place), f"{schema}, sequence_id long, offset long").drop("rank")
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:

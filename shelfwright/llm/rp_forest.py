@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import grouped, materialise, scaled, unit_rows, usable_vector, vectors
+from shelfwright.llm.common import grouped, materialise, scaled, tidy, unit_rows, usable_vector, vectors
 
 SAMPLE_ROWS = 20_000  # bound on the vectors that planes and budget are fitted on
 TUNE_QUERIES = 400
@@ -185,7 +185,7 @@ def nearest(
 
     kinds = dict(base.dtypes)
     schema = f"vec_id long, embedding {kinds['embedding']}, uid long, dim int"
-    routed = base.mapInArrow(route, f"{schema}, leaves array<int>")
+    routed = base.mapInArrow(tidy(route), f"{schema}, leaves array<int>")
     homes = materialise(routed.select("*", F.posexplode("leaves").alias("tree", "leaf")).drop("leaves"), "leaves")
     # At most trees x 2^depth numbers per vector length, whatever the table holds.
     sizes = homes.groupBy("dim", "tree", "leaf").agg(F.count("*").alias("n"))
@@ -207,7 +207,7 @@ def nearest(
             leaves_of = pa.array([[x for _, x in v] for v in out], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, trees_of, leaves_of], names=[*batch.schema.names, "trees", "leaves"])
 
-    asked = base.filter(queries).mapInArrow(walk, f"{schema}, trees array<int>, leaves array<int>")
+    asked = base.filter(queries).mapInArrow(tidy(walk), f"{schema}, trees array<int>, leaves array<int>")
     visits = asked.select("vec_id", "embedding", "uid", "dim", F.explode(F.arrays_zip("trees", "leaves")).alias("v")).select(
         "vec_id", "embedding", "uid", "dim", F.col("v.trees").alias("tree"), F.col("v.leaves").alias("leaf")
     )
@@ -221,7 +221,7 @@ def nearest(
     ).withColumn("kind", F.lit(1))
     keys = ["dim", "tree", "leaf", "block"]
     met = indexed.select(columns).union(asking.select(columns)).repartition(*keys).sortWithinPartitions(*keys, "kind")
-    found = met.mapInArrow(_best(k), "query long, uid long, vec_id long, score double").dropDuplicates(["query", "uid"])
+    found = met.mapInArrow(tidy(_best(k)), "query long, uid long, vec_id long, score double").dropDuplicates(["query", "uid"])
     place = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "uid")
     ranked = found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
     names = base.filter(queries).select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"))

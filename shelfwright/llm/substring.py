@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfwright.llm.common import WordBuffer, chunks_by_bytes, grouped, materialise
+from shelfwright.llm.common import WordBuffer, chunks_by_bytes, grouped, materialise, tidy
 
 WIDTH = 20
 SEED = 3
@@ -261,7 +261,7 @@ def _find(width: int):
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """Word spans covered by repeated windows: number, mark (see `_keys`), begin, end (excluded); spans may overlap."""
     source = docs.select(*_keys(docs, id_col, text_col), F.col(text_col).alias("text"), F.octet_length(text_col).cast("long").alias("size"))
-    counted = source.mapInArrow(_count(width, seed, source.rdd.getNumPartitions()), "key long, bytes long, n long, total boolean")
+    counted = source.mapInArrow(tidy(_count(width, seed, source.rdd.getNumPartitions())), "key long, bytes long, n long, total boolean")
     counts = materialise(counted.groupBy("total", "key").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")), "minimisers")
     total = counts.filter("total").first()
     if total is None:  # no document has a window
@@ -270,9 +270,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = counts.filter(~F.col("total") & (F.col("n") > max(HOT_ROWS, total["n"] * HOT_SHARE) / 2))
     hot = np.array([r["key"] for r in often.select("key").collect()], np.int64).view(np.uint64)
     buckets = max(1, math.ceil(total["bytes"] / BUCKET_BYTES))
-    sent = source.mapInArrow(_send(width, seed, hot, buckets), "bucket long, kind int, blob binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _find(width), "number long, mark long, begin long, end long"
+    sent = source.mapInArrow(tidy(_send(width, seed, hot, buckets)), "bucket long, kind int, blob binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_find(width)), "number long, mark long, begin long, end long"
     )
 
 
@@ -317,7 +316,7 @@ def remove_repeats(
             )
 
     shape = StructType([joined.schema["row"]]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return joined.mapInArrow(cut, shape)
+    return joined.mapInArrow(tidy(cut), shape)
 
 
 def word_digests(docs: DataFrame) -> DataFrame:

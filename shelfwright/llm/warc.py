@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import load, materialise, save, scratch_path
+from shelfwright.llm.common import load, materialise, save, scratch_path, tidy
 
 # The frame that carries a dictionary, and the ordinary frame's first bytes.
 SKIPPABLE_DICTIONARY = 0x184D2A5D
@@ -183,7 +183,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
         if records:
             yield flush()
 
-    return materialise(referring.mapInArrow(write, "file string, n_records long"), "archives")
+    return materialise(referring.mapInArrow(tidy(write), "file string, n_records long"), "archives")
 
 
 def read_archives(files: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -211,7 +211,7 @@ def read_archives(files: DataFrame, folder: str, payloads: bool = False) -> Data
 
     spread = files.repartition(max(1, min(files.count(), 100_000)))
     kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
-    return spread.mapInArrow(read, ", ".join(f"{k} {kinds[v]}" for k, v in schema.items()))
+    return spread.mapInArrow(tidy(read), ", ".join(f"{k} {kinds[v]}" for k, v in schema.items()))
 
 
 def page_records(pages: DataFrame) -> DataFrame:
