@@ -1,9 +1,10 @@
 """Language by compression with per-language zstd dictionaries (operator 7).
 
 A text is reduced to lower-case words (letters only) and compressed whole with the raw-content dictionary of each
-language; the language whose dictionary makes it smallest is chosen. The score is the
-relative margin over the second, on a scale of 0 to 1. `rejected` marks texts without letters and those
-whose margin is below `margin`.
+language; the language whose dictionary makes it smallest is chosen. Longer texts are compressed in blocks of at most
+BLOCK_BYTES, each anew behind the dictionary, and the sizes of all blocks are added up, so every part of a text counts
+alike. The score is the relative margin over the second, on a scale of 0 to 1. `rejected` marks texts without letters
+and those whose margin is below `margin`.
 
 Dictionaries come from a bounded sample of labelled texts: per language at most SAMPLE_DOCS documents in hash
 order and DICTIONARY_BYTES bytes, the same for all languages, so that none gains by size. Languages are what the
@@ -30,6 +31,7 @@ from shelfwright.llm.common import tidy
 SAMPLE_DOCS = 400
 SAMPLE_TEXT_BYTES = 16_384  # longer documents are not used as samples
 DICTIONARY_BYTES = 64 << 10
+BLOCK_BYTES = 32 << 10  # with a dictionary well within the window, and small enough not to outweigh it
 MARGIN = 0.001
 # Lazy matching from four bytes on over the whole dictionary: word stems of a language are short.
 PARAMETERS = {
@@ -46,6 +48,17 @@ def normal(text: str | None) -> bytes:
     return b"" if text is None else _NO_LETTER.sub(" ", f" {text.lower()} ").encode()
 
 
+def blocks(data: bytes) -> list[bytes]:
+    """Pieces of at most BLOCK_BYTES, cut after a space where there is one."""
+    found, begin = [], 0
+    while len(data) - begin > BLOCK_BYTES:
+        space = data.rfind(b" ", begin + 1, begin + BLOCK_BYTES)
+        end = begin + BLOCK_BYTES if space < 0 else space + 1
+        found.append(data[begin:end])
+        begin = end
+    return [*found, data[begin:]]
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows that nothing is learned from."""
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "utf-8")) % 4 == 2, F.lit(False))
@@ -86,7 +99,8 @@ class Classifier:
         data = normal(text)
         if not self.names or data in (b"", b" "):
             return UNKNOWN, 0.0
-        sizes = [len(p.compress(data)) for p in self._packers]
+        parts = blocks(data)
+        sizes = [sum(len(p.compress(x)) for x in parts) for p in self._packers]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
             return self.names[0], 1.0
