@@ -7,8 +7,12 @@ alike. The score is the relative margin over the second, on a scale of 0 to 1. `
 and those whose margin is below `margin`.
 
 Dictionaries come from a bounded sample of labelled texts: per language at most SAMPLE_DOCS documents in hash
-order and DICTIONARY_BYTES bytes, the same for all languages, so that none gains by size. Languages are what the
-`lang` column of the learning rows holds; with none, every text is `und`. With one, the score is 1.
+order and DICTIONARY_BYTES bytes. So that none gains by size, two languages are compared at the size of the smaller
+dictionary. A small one, of at most 1/PIECES of the other's bytes, hardly tells more than the subject of a text or two: it
+wins only if it is ahead of PIECES pieces of its size of the other dictionary by more than CLEAR of what the whole
+other dictionary saves; else it does not count for the score, which, where no other language counts, is the share that
+the winner's dictionary saves. Languages are tried from the largest
+dictionary down. Languages are what the `lang` column of the learning rows holds; with none, every text is `und`. With one, the score is 1.
 Null texts and texts without a letter are `und` with score 0. Null ids are held out by no rule (crc32 of null is null):
 they count as not held out and are not learned from. Rows that repeat are answered alike. Ties go to the
 language that sorts first. Other columns are passed on.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,9 @@ from shelfwright.llm.common import tidy
 SAMPLE_DOCS = 400
 SAMPLE_TEXT_BYTES = 16_384  # longer documents are not used as samples
 DICTIONARY_BYTES = 64 << 10
+PIECES = DICTIONARY_BYTES // SAMPLE_TEXT_BYTES  # one text alone is small beside a full dictionary
+CLEAR = 0.5
+PACKERS = 64  # compressors for parts of dictionaries that a worker keeps
 BLOCK_BYTES = 32 << 10  # with a dictionary well within the window, and small enough not to outweigh it
 MARGIN = 0.001
 # Lazy matching from four bytes on over the whole dictionary: word stems of a language are short.
@@ -65,7 +73,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def fit_dictionaries(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
-    """Raw-content dictionary per language, all of one size."""
+    """Raw-content dictionary per language, each as large as its sample allows."""
     usable = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).filter(
         F.octet_length(text_col).between(1, SAMPLE_TEXT_BYTES)
     ).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -80,32 +88,65 @@ def fit_dictionaries(docs: DataFrame, learn: Column, lang_col: str = "lang", tex
     chosen = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
     texts: dict[str, list] = {lang: [] for lang in counts}
     for row in sorted(chosen.select("lang", "n", "text").collect()):
-        texts[row["lang"]].append(normal(row["text"]))
-    size = min(DICTIONARY_BYTES, *(sum(map(len, t)) for t in texts.values()))
-    return {lang: b"".join(t)[:size].ljust(8) for lang, t in texts.items()}
+        texts[row["lang"]].append(normal(row["text"])[:SAMPLE_TEXT_BYTES])
+    return {lang: b"".join(t)[:DICTIONARY_BYTES].ljust(8) for lang, t in texts.items()}
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]) -> None:
-        self.names = sorted(dictionaries)
-        self._packers = []
-        settings = zstandard.ZstdCompressionParameters(**PARAMETERS)
-        for name in self.names:
-            content = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(compression_params=settings)
-            self._packers.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=content))
+        self.names = sorted(dictionaries, key=lambda name: (-len(dictionaries[name]), name))
+        self._dictionaries = [dictionaries[name] for name in self.names]
+        self._settings = zstandard.ZstdCompressionParameters(**PARAMETERS)
+        self._packers = [self._packer(i, 0, len(d)) for i, d in enumerate(self._dictionaries)]
+        self._bare = zstandard.ZstdCompressor(compression_params=self._settings)
+        self._part = lru_cache(PACKERS)(self._packer)
+
+    def _packer(self, i: int, begin: int, size: int) -> zstandard.ZstdCompressor:
+        piece = self._dictionaries[i][begin : begin + size]
+        content = zstandard.ZstdCompressionDict(piece, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        content.precompute_compress(compression_params=self._settings)
+        return zstandard.ZstdCompressor(compression_params=self._settings, dict_data=content)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         data = normal(text)
         if not self.names or data in (b"", b" "):
             return UNKNOWN, 0.0
-        parts = blocks(data)
-        sizes = [sum(len(p.compress(x)) for x in parts) for p in self._packers]
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        if len(sizes) == 1:
+        if len(self.names) == 1:
             return self.names[0], 1.0
-        second = min(s for i, s in enumerate(sizes) if i != best)
-        return self.names[best], 1.0 - sizes[best] / second
+        parts, known = blocks(data), {}
+
+        def packed(i: int, size: int, begin: int = 0) -> int:
+            """Bytes of the text behind a part of a dictionary."""
+            if (i, size, begin) not in known:
+                whole = size == len(self._dictionaries[i])
+                packer = self._packers[i] if whole else self._part(i, begin, size)
+                known[i, size, begin] = sum(len(packer.compress(x)) for x in parts)
+            return known[i, size, begin]
+
+        def saved(i: int) -> float:
+            bare = sum(len(self._bare.compress(x)) for x in parts)
+            return max(0.0, 1.0 - packed(i, len(self._dictionaries[i])) / bare)
+
+        def lead(a: int, b: int) -> tuple[float, bool]:
+            """By how much `b`, whose dictionary is not larger, is ahead of `a` (negative: behind), and whether it wins."""
+            whole, size = len(self._dictionaries[a]), len(self._dictionaries[b])
+            there, here = packed(a, size), packed(b, size)
+            if whole < PIECES * size:
+                ahead = 1.0 - here / there if here < there else there / here - 1.0
+                return ahead, here < there or here == there and self.names[b] < self.names[a]
+            if here < there:
+                ahead = 1.0 - here / min(packed(a, size, k * whole // PIECES) for k in range(PIECES))
+                if ahead > CLEAR * saved(a):
+                    return ahead, True
+            return -np.inf, False
+
+        best = 0
+        for i in range(1, len(self.names)):
+            if lead(best, i)[1]:
+                best = i
+        over = [lead(i, best)[0] if i < best else -lead(best, i)[0] for i in range(len(self.names)) if i != best]
+        least = min(over)
+        return self.names[best], max(0.0, float(least)) if least < np.inf else saved(best)
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, text_col: str = "text") -> DataFrame:

@@ -47,3 +47,32 @@ def test_blocks_hold_the_whole_text():
     for data in (b"", b" ", b" ab ", b"x" * 100_000, language.normal(prose("aa", 100_000))):
         parts = language.blocks(data)
         assert b"".join(parts) == data and max(map(len, parts)) <= language.BLOCK_BYTES
+
+
+def learning_rows(n=60, size=3000):
+    return [(i * 3 + k, prose(x, size, i), x) for i in range(n) for k, x in enumerate(VOCABULARY)]
+
+
+def dictionaries_of(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return language.fit_dictionaries(docs, language.held_out("doc_id") | ~language.held_out("doc_id"))
+
+
+@pytest.mark.parametrize("size", [20, 200, 3000, 12_000])
+def test_one_stray_label_takes_nothing_from_the_others(spark, size):
+    found = dictionaries_of(spark, [*learning_rows(), (999, prose("aa", size, 999), "zz")])
+    assert sorted(found) == ["aa", "bb", "cc", "zz"]
+    assert {len(found[x]) for x in VOCABULARY} == {language.DICTIONARY_BYTES}
+    classify = language.Classifier(found)
+    for x in VOCABULARY:
+        answers = [classify(prose(x, 1500, f"new{i}")) for i in range(40)]
+        assert all(name == x and score >= language.MARGIN for name, score in answers)
+
+
+@pytest.mark.parametrize("size", [1000, 4000, 20_000])
+def test_language_with_little_to_learn_from(full, size):
+    classify = language.Classifier({**full, "cc": full["cc"][:size]})
+    for x in VOCABULARY:
+        answers = [classify(prose(x, 1500, f"new{i}")) for i in range(40)]
+        assert sum(name == x and score >= language.MARGIN for name, score in answers) >= 39
+    assert language.Classifier({"aa": full["aa"], "cc": full["cc"][:size]})(prose("cc", 3000, "new"))[0] == "cc"
