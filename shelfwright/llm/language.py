@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 from shelfwright.llm.common import tidy
 
 SAMPLE_DOCS = 400
-SAMPLE_TEXT_BYTES = 16_384  # longer documents are not used as samples
+SAMPLE_TEXT_BYTES = 16_384  # of longer documents the start is used, from the first letter on
 DICTIONARY_BYTES = 64 << 10
 PIECES = DICTIONARY_BYTES // SAMPLE_TEXT_BYTES  # one text alone is small beside a full dictionary
 CLEAR = 0.5
@@ -74,16 +74,19 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit_dictionaries(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """Raw-content dictionary per language, each as large as its sample allows."""
-    usable = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).filter(
-        F.octet_length(text_col).between(1, SAMPLE_TEXT_BYTES)
-    ).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    usable = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
+    )
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     # Hash ranges wide enough for about four times the sample of each language, then exact bounds.
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 20, ((4 * SAMPLE_DOCS + 40) << 20) // n))])
-    few = usable.withColumn("place", place).filter(F.col("place") < limit[F.col("lang")]).dropDuplicates(["lang", "text"])
+    start = F.substring(F.regexp_replace("text", r"^[^\p{L}]+", ""), 1, SAMPLE_TEXT_BYTES)
+    cut = F.when(F.octet_length("text") > SAMPLE_TEXT_BYTES, start).otherwise(F.col("text")).alias("text")
+    near = usable.withColumn("place", place).filter(F.col("place") < limit[F.col("lang")])
+    few = near.select("lang", cut, "place").groupBy("lang", "text").agg(F.min("place").alias("place"))
     order = Window.partitionBy("lang").orderBy("place", F.xxhash64(F.lit(1), "text"), "text")
     chosen = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_DOCS)
     texts: dict[str, list] = {lang: [] for lang in counts}

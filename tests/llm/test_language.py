@@ -76,3 +76,19 @@ def test_language_with_little_to_learn_from(full, size):
         answers = [classify(prose(x, 1500, f"new{i}")) for i in range(40)]
         assert sum(name == x and score >= language.MARGIN for name, score in answers) >= 39
     assert language.Classifier({"aa": full["aa"], "cc": full["cc"][:size]})(prose("cc", 3000, "new"))[0] == "cc"
+
+
+def test_language_of_long_texts_only(spark):
+    rows = [r for r in learning_rows() if r[2] != "bb"]
+    found = dictionaries_of(spark, [*rows, *[(900 + i, "1 " * 20_000 + prose("bb", 30_000, i), "bb") for i in range(6)]])
+    assert {x: len(d) for x, d in found.items()} == dict.fromkeys(VOCABULARY, language.DICTIONARY_BYTES)
+    for x in VOCABULARY:
+        name, score = language.Classifier(found)(prose(x, 1500, "new"))
+        assert name == x and score >= language.MARGIN
+
+
+def test_one_long_stray_text(spark):
+    found = dictionaries_of(spark, [*learning_rows(), (999, prose("aa", 200_000, 999), "zz")])
+    assert len(found["zz"]) == language.SAMPLE_TEXT_BYTES
+    answers = [language.Classifier(found)(prose("aa", 1500, f"new{i}")) for i in range(20)]
+    assert all(name == "aa" and score >= language.MARGIN for name, score in answers)
