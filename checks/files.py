@@ -68,8 +68,8 @@ def a3(v: Inputs):
 
 
 def _mixed(v: Inputs, path: str) -> None:
-    """A folder whose files have their columns in three orders, one of them without a column."""
-    for n, names in enumerate((FEED_COLUMNS, FEED_COLUMNS[::-1], FEED_COLUMNS[1:])):
+    """A folder whose files have their columns in three orders, one of them with more columns around, one without a column."""
+    for n, names in enumerate((FEED_COLUMNS, ["before", "more", *FEED_COLUMNS[::-1], "after"], FEED_COLUMNS[1:])):
         files.write_stage(v.feed.filter(F.col("ord") % 3 == n), f"{path}/part{n}", names)
 
 

@@ -63,7 +63,21 @@ def _with_headers(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _columns_in(spark: SparkSession, path: str, columns: list[str]) -> int:
-    return max(len(columns), len(spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns))
+    """The number of columns of the widest header, at least that of `columns`.
+
+    A row with another number of cells than the schema leaves its text in `_raw`; separators outside quotes are counted.
+    """
+    cells = string_schema([*[f"_p{i}" for i in range(len(columns))], "_raw"])
+    options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": "_raw", "columnPruning": False}
+    rows = spark.read.schema(cells).options(header=False, mode="PERMISSIVE", **options).csv(path)
+    plain = F.regexp_replace("_raw", r'(^|,)\s*+"(?:[^"]++|"")*+"', "$1")
+    cells_in = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+    counted = rows.filter("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"),
+        F.when(F.col("_raw").isNotNull() | F.col("_p0").isNull(), cells_in).alias("_n"),  # `_raw` alone may not be queried
+    )
+    widest = counted.groupBy("_file").agg(F.min_by("_n", "_seq").alias("_n")).agg(F.max("_n")).first()[0]
+    return max(len(columns), widest or 0)
 
 
 def read_stage(spark: SparkSession, path: str, columns: list[str], required: bool = False) -> DataFrame:

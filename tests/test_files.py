@@ -115,3 +115,31 @@ def test_only_odd_files_are_set_aside(spark, tmp_path):
     assert [(r.id, r.name) for r in kept] == [("1", "x")]
     aside = [files.read_stage(spark, str(tmp_path / "q" / f"ts=T{n}"), ["id", "name"]).first() for n in ("", ".1")]
     assert sorted((r.id, r.name) for r in aside) == [("2", "y"), ("3", "")]
+
+
+SHORT = ["filename", "secure_url", "public_id"]
+WIDER = [
+    "filename,secure_url,public_id\nf1,u1,p1\n",
+    '"a,""\n",b,public_id,"c",secure_url,filename\n"x\ny",,p2,z,u2,f2\n',
+    "filename,secure_url,public_id,d\nf3,u3,p3,w\n",
+]
+
+
+@pytest.fixture
+def wider(tmp_path):
+    (tmp_path / "in").mkdir()
+    for n, text in enumerate(WIDER):
+        (tmp_path / "in" / f"part{n}.csv").write_text(text, "utf-8")
+    return str(tmp_path / "in")
+
+
+def test_files_wider_than_the_first_one(spark, wider):
+    rows = files.read_stage(spark, wider, SHORT).orderBy("ord").collect()
+    assert [(r.filename, r.secure_url, r.public_id) for r in rows] == [(f"f{n}", f"u{n}", f"p{n}") for n in (1, 2, 3)]
+
+
+def test_wider_files_are_put_aside(spark, wider, tmp_path):
+    kept = files.read_or_quarantine(spark, wider, SHORT, str(tmp_path / "aside"), "T").collect()
+    assert [r.filename for r in kept] == ["f1"]
+    moved = files.read_stage(spark, str(tmp_path / "aside" / "*"), [*SHORT, "b", "c", "d"]).collect()
+    assert sorted((r.filename, r.secure_url, r.public_id, r.c, r.d) for r in moved) == [("f2", "u2", "p2", "z", ""), ("f3", "u3", "p3", "", "w")]
