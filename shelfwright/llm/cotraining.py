@@ -8,8 +8,8 @@ and the calibrated log odds are added up. This is done once for each question th
 quality good, is it free of toxic words. `score` is the product of the two probabilities; documents below `CUT` are `rejected`.
 
 A label with a null answers only the other question; of contradicting labels of a document the worse counts.
-Fitting uses at most LABELLED_ROWS labelled and POOL_ROWS unlabelled documents, both in hash order of their ids;
-every document is scored whole. A question with answers of one kind only, or none, decides nothing: its probability is 1.
+Fitting uses at most LABELLED_ROWS labelled and POOL_ROWS unlabelled documents, both in hash order of their ids,
+one row per id; every document is scored whole. A question with answers of one kind only, or none, decides nothing: its probability is 1.
 
 Null or blank texts have no words and only metadata; null columns are a value of their own. Rows that repeat
 are scored alike. Other columns are passed on.
@@ -307,8 +307,15 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS,
     chosen = ids.join(known, "doc_id").orderBy(place, "doc_id").limit(labelled_rows)
     other = ids.join(known, "doc_id", "left_anti").orderBy(place, "doc_id").limit(pool_rows)
     order = [F.xxhash64(F.lit("row"), "doc_id"), "doc_id", "text"]
-    labelled, y = _sampled(texts.join(F.broadcast(chosen), "doc_id").orderBy(*order), QUESTIONS)
-    pool, _ = _sampled(texts.join(F.broadcast(other), "doc_id").orderBy(*order), ())
+
+    def one_each(some: DataFrame) -> DataFrame:
+        """One row per id, also where an id repeats."""
+        first = F.min(F.struct(F.xxhash64("text").alias("place"), "text", "source", "lang")).alias("first")
+        rows = texts.join(F.broadcast(some), "doc_id").groupBy(*some.columns).agg(first)
+        return rows.select(*some.columns, "first.text", "first.source", "first.lang").orderBy(*order)
+
+    labelled, y = _sampled(one_each(chosen), QUESTIONS)
+    pool, _ = _sampled(one_each(other), ())
     models = []
     for column in y.T:
         rows = np.flatnonzero(~np.isnan(column))
