@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.llm import (
-    bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rp_forest, substring, warc, wavelet,
+    bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rns_negatives, rp_forest, substring, warc, wavelet,
+    whitening,
 )
 from shelfwright.llm.common import prepare, read
 
@@ -154,3 +155,37 @@ def ngram_links(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_scores")
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.scores(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other_id, a.label = v.label AS same,
+    CAST(list_inner_product(a.x, v.x) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.vec_id <> v.vec_id AND len(a.x) = len(v.x) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rns_negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+@query("op13_whitened_embeddings")
+def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_rows(read(spark, folder, "embeddings"))
