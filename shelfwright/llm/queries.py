@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwright.llm import (
-    bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rns_negatives, rp_forest, substring, warc, wavelet,
-    whitening,
+    bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rns_negatives, rp_forest, substring, tier_packing, warc,
+    wavelet, whitening,
 )
 from shelfwright.llm.common import prepare, read
 
@@ -157,6 +157,11 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.scores(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+@query("op11_tier_packing")
+def tiers(spark: SparkSession, folder: str) -> DataFrame:
+    return tier_packing.packed_tiers(read(spark, folder, "documents"))
+
+
 NEGATIVES_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
