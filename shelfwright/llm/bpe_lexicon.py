@@ -19,6 +19,7 @@ columns are not read. An empty table gives an empty lexicon and result.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections import Counter
@@ -33,11 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwright.llm.common import chunks_by_bytes, discard, materialise, save, scratch_path, tidy
-from shelfwright.llm.tokens import OTHER_SPACE, RUNS, default_tokenizer
+from shelfwright.llm.tokens import default_tokenizer, settled
 
 # The pre-tokenisation pattern, and the bytes that byte-level vocabularies write as themselves.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# White space other than space and line feed, by any Unicode version.
+OTHER_SPACE = (
+    "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+)
+RUNS = ("  ", "\n\n", " \n", "\n ")
 
 LEXICON_WORDS = 65_536
 STEPS = 32  # of the histogram per doubling of a count
@@ -72,28 +79,41 @@ class Vocabulary:
         if in_order == sorted(in_order) and sorted(self.single) == list(range(256)):
             ranks = {text: i for i, text in self.bytes_of.items() if i not in self.added.values()}
             self._fast = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._whole = tiktoken.Encoding("pieces", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={})
 
     def merge(self, token: bytes) -> list[int]:
-        """Join the pair of lowest rank, leftmost first, until none is left."""
-        parts = [self.single[b] for b in token]
-        merges = self.merges
-        while len(parts) > 1:
-            best, at = None, 0
-            for i, pair in enumerate(zip(parts, parts[1:], strict=False)):
-                found = merges.get(pair)
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
-            parts[at : at + 2] = [best[1]]
-        return parts
+        """Join the pair of lowest rank, leftmost first, until none is left; n log n steps for n bytes."""
+        parts: list[int | None] = [self.single[b] for b in token]
+        after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
+        waiting: list[tuple[int, int, int, int]] = []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] >= 0 and (found := self.merges.get((parts[at], parts[after[at]]))) is not None:
+                heapq.heappush(waiting, (found[0], at, parts[at], parts[after[at]]))
+
+        for at in range(len(parts) - 1):
+            offer(at)
+        while waiting:
+            _, at, left, right = heapq.heappop(waiting)
+            other = after[at]
+            if parts[at] != left or other < 0 or parts[other] != right:
+                continue  # one of the two has been joined with its other neighbour
+            parts[at], parts[other] = self.merges[left, right][1], None
+            after[at] = after[other]
+            if after[at] >= 0:
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [i for i in parts if i is not None]
 
     def encode_word(self, word: str) -> list[int]:
         if word in self.added:
             return [self.added[word]]
-        if self._fast is not None and word and max(word) < "\u0250":
+        if self._fast is None or not word:
+            return [i for token in self._pattern.findall(word) for i in self.merge(token.encode())]
+        if max(word) < "\u0250" or all(map(settled, set(word))):
             return self._fast.encode_ordinary(word)
-        return [i for token in self._pattern.findall(word) for i in self.merge(token.encode())]
+        return [i for token in self._pattern.findall(word) for i in self._whole.encode_ordinary(token)]
 
     def has_added(self, text: str) -> bool:
         return any(name in text for name in self.added)
