@@ -20,64 +20,77 @@ def empty_stage(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], string_schema(columns)).withColumn("ord", F.lit(0).cast("bigint"))
 
 
-def _file_order(df: DataFrame, headers: bool = False) -> DataFrame:
-    """Add `ord` (0-based, by file name and row), `_file`, and `_first` (the first row of a file).
+def _import(spark: SparkSession, path: str, width: int, headers: bool, encoding: str = "UTF-8") -> DataFrame:
+    """Records of all files, parsed once into a written table: `_file`, `_seq`, `_cells`, `_names`, `_first`, `ord`.
 
-    With `headers` first rows have no place of their own.
+    Numbers given by a scan depend on how files are packed into tasks, and that changes with the cluster. They are
+    therefore written together with the cells; headers, counts and places are found in the written table, so whatever is read
+    later agrees with it. A file with line breaks in fields is never split, so its numbers ascend in one task.
 
-    A task numbers its rows in the order it reads them; a small table of file blocks with their
-    first numbers and row counts turns these numbers into places, so rows are not shuffled.
+    `_cells` has the first `width` cells, and more where a header has more; `_names` are the cells of the first
+    record of the same file. `ord` counts records by file name and place, without first records if `headers`.
     """
-    placed = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
+    shape = string_schema([*[f"_p{i}" for i in range(width)], "_raw"])
+    # A record with another number of cells than the schema leaves its text in `_raw`.
+    options = {**CSV_OPTIONS, "encoding": encoding, "columnNameOfCorruptRecord": "_raw", "columnPruning": False}
+    scanned = spark.read.schema(shape).options(header=False, mode="PERMISSIVE", **options).csv(path)
+    cells = materialise(
+        scanned.select(
+            F.array(*[filled(f"_p{i}") for i in range(width)]).alias("_cells"), "_raw",
+            F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"),
+        ),
+        "cells",
     )
-    skipped = F.when(F.col("_block") == 0, int(headers)).otherwise(0)
-    counts = placed.groupBy("_file", "_block").agg(
-        (F.count(F.lit(1)) - F.first(skipped)).alias("_n"), (F.min("_seq") + F.first(skipped)).alias("_from"),
-        F.min("_seq").alias("_lowest"),
+    files = cells.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_from"))
+    # One row per file.
+    before = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    places = files.select("_file", "_from", F.coalesce(F.sum(F.col("_n") - int(headers)).over(before), F.lit(0)).alias("_start"))
+    firsts = materialise(
+        cells.withColumnRenamed("_seq", "_from").join(materialise(places, "places"), ["_file", "_from"]), "firsts"
     )
-    blocks = Window.partitionBy(F.lit(0)).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_file", "_block", "_from", "_lowest", F.coalesce(F.sum("_n").over(blocks), F.lit(0)).alias("_start"))
-    return (
-        placed.join(materialise(starts, "blocks"), ["_file", "_block"])
-        .withColumn("ord", F.col("_start") + F.col("_seq") - F.col("_from"))
-        .withColumn("_first", (F.col("_block") == 0) & (F.col("_seq") == F.col("_lowest")))
-        .drop("_block", "_seq", "_from", "_lowest", "_start")
+    widest = max(width, firsts.agg(F.max(_count_of_cells("_raw"))).first()[0] or 0)
+    names = F.transform(_all_cells(width, widest), lambda c, i: F.when(i == 0, F.ltrim(c, F.lit("\ufeff"))).otherwise(c))
+    layout = firsts.select("_file", "_from", "_start", names.alias("_names"))
+    return cells.join(layout, "_file").select(
+        "_file", "_seq", _all_cells(width, widest).alias("_cells"), "_names", (F.col("_seq") == F.col("_from")).alias("_first"),
+        (F.col("_start") + F.col("_seq") - F.col("_from") - int(headers)).alias("ord"),
     )
 
 
-def _positional(spark: SparkSession, path: str, width: int) -> DataFrame:
-    cells = string_schema([f"_p{i}" for i in range(width)])
-    return spark.read.schema(cells).options(header=False, mode="PERMISSIVE", **CSV_OPTIONS).csv(path)
+def _count_of_cells(record: str) -> Column:
+    """Separators outside quotes, and one."""
+    plain = F.regexp_replace(record, r'(^|,)\s*+"(?:[^"]++|"")*+"', "$1")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
 
 
-def _with_headers(rows: DataFrame, width: int) -> DataFrame:
-    """Rows with `_names`, the cells of the first row of their own file."""
-    cells = F.array(*[filled(f"_p{i}") for i in range(width)])
-    names = F.transform(cells, lambda c, i: F.when(i == 0, F.ltrim(c, F.lit("\ufeff"))).otherwise(c))
-    headers = rows.filter("_first").select("_file", names.alias("_names"))
-    return rows.join(materialise(headers, "headers"), "_file")
+def _all_cells(width: int, widest: int) -> Column:
+    """`_cells`, or all cells of the record's text where headers are wider than what was scanned."""
+    if widest == width:
+        return F.col("_cells")
+    shape = ", ".join(f"_p{i} string" for i in range(widest))
+    again = F.from_csv(F.col("_raw"), shape, {"quote": '"', "escape": '"', "multiLine": "true"})
+    parsed = F.array(*[filled(again[f"_p{i}"]) for i in range(widest)])
+    return F.when(F.col("_raw").isNotNull(), parsed).otherwise(F.col("_cells"))
 
 
-def _columns_in(spark: SparkSession, path: str, columns: list[str]) -> int:
-    """The number of columns of the widest header, at least that of `columns`.
+def _imported(spark: SparkSession, path: str, width: int, headers: bool, encoding: str = "UTF-8") -> DataFrame | None:
+    """The records below a path, or None if there is none."""
+    try:
+        return _import(spark, path, width, headers, encoding)
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return None
 
-    A row with another number of cells than the schema leaves its text in `_raw`; separators outside quotes are counted.
-    """
-    cells = string_schema([*[f"_p{i}" for i in range(len(columns))], "_raw"])
-    options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": "_raw", "columnPruning": False}
-    rows = spark.read.schema(cells).options(header=False, mode="PERMISSIVE", **options).csv(path)
-    plain = F.regexp_replace("_raw", r'(^|,)\s*+"(?:[^"]++|"")*+"', "$1")
-    cells_in = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
-    counted = rows.filter("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"),
-        F.when(F.col("_raw").isNotNull() | F.col("_p0").isNull(), cells_in).alias("_n"),  # `_raw` alone may not be queried
-    )
-    widest = counted.groupBy("_file").agg(F.min_by("_n", "_seq").alias("_n")).agg(F.max("_n")).first()[0]
-    return max(len(columns), widest or 0)
+
+def _headers(rows: DataFrame) -> DataFrame:
+    """The distinct headers, blank cells at their end left out: one row per layout that occurs."""
+    return rows.filter("_first").select(_trimmed("_names").alias("_names")).distinct().orderBy("_names")
+
+
+def _trimmed(names: str) -> Column:
+    last = F.aggregate(F.sequence(F.lit(1), F.size(names)), F.lit(0), lambda best, i: F.when(F.get(names, i - 1) != "", i).otherwise(best))
+    return F.slice(names, F.lit(1), last)
 
 
 def read_stage(spark: SparkSession, path: str, columns: list[str], required: bool = False) -> DataFrame:
@@ -85,22 +98,17 @@ def read_stage(spark: SparkSession, path: str, columns: list[str], required: boo
 
     Files may have their columns in another order; columns that a file lacks are blank.
     """
-    try:
-        width = _columns_in(spark, path, columns)
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
+    rows = _imported(spark, path, len(columns), headers=True)
+    if rows is None:
         if required:
-            raise FileNotFoundError(path) from error
+            raise FileNotFoundError(path)
         return empty_stage(spark, columns)
-    rows = _with_headers(_file_order(_positional(spark, path, width), headers=True), width)
-    return _by_name(rows.filter("NOT _first"), columns, width)
+    return _by_name(rows.filter("NOT _first"), columns)
 
 
-def _by_name(rows: DataFrame, columns: list[str], width: int) -> DataFrame:
-    cells = F.array(*[filled(f"_p{i}") for i in range(width)])
+def _by_name(rows: DataFrame, columns: list[str]) -> DataFrame:
     place = {c: F.array_position("_names", F.lit(c)).cast("int") for c in columns}
-    shown = [F.when(place[c] > 0, F.get(cells, place[c] - 1)).otherwise("").alias(c) for c in columns]
+    shown = [F.when(place[c] > 0, filled(F.get("_cells", place[c] - 1))).otherwise("").alias(c) for c in columns]
     return rows.select(*shown, "ord")
 
 
@@ -112,18 +120,14 @@ def read_tolerant(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     All-blank rows are dropped; `ord` ascends but skips the rows left out.
     """
     width = len(columns)
-    try:
-        df = _positional(spark, path, width)
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
+    rows = _imported(spark, path, width, headers=False)
+    if rows is None:
         return empty_stage(spark, columns)
-    rows = _with_headers(_file_order(df), width)
     wanted = F.array(*[F.lit(c) for c in columns])
-    header = F.transform("_names", lambda n: F.lower(F.trim(n))) == wanted
-    cells = [F.col(f"_p{i}") for i in range(width)]
+    header = F.transform(F.slice("_names", 1, width), lambda n: F.lower(F.trim(n))) == wanted
+    cells = [F.get("_cells", F.lit(i)) for i in range(width)]
     shown = [
-        F.when(~header | (F.get("_names", i) == column), filled(_unmarked(cell, i))).otherwise("").alias(column)
+        F.when(~header | (F.get("_names", F.lit(i)) == column), filled(_unmarked(cell, i))).otherwise("").alias(column)
         for i, (cell, column) in enumerate(zip(cells, columns))
     ]
     return rows.filter(~(header & F.col("_first")) & not_all_blank(cells)).select(*shown, "ord")
@@ -138,16 +142,32 @@ def not_all_blank(cells: list[Column]) -> Column:
     return F.exists(F.array(*cells), lambda c: stripped(c) != "")
 
 
+# The byte sequences of UTF-8, written as characters of one byte each.
+UTF8_CHARACTER = (
+    "[\\x00-\\x7f]|[\\xc2-\\xdf][\\x80-\\xbf]|\\xe0[\\xa0-\\xbf][\\x80-\\xbf]|[\\xe1-\\xec\\xee\\xef][\\x80-\\xbf]{2}"
+    "|\\xed[\\x80-\\x9f][\\x80-\\xbf]|\\xf0[\\x90-\\xbf][\\x80-\\xbf]{2}|[\\xf1-\\xf3][\\x80-\\xbf]{3}|\\xf4[\\x80-\\x8f][\\x80-\\xbf]{2}"
+)
+
+
+def _decoded(cell: Column) -> Column:
+    """Text of a cell read byte by byte; bytes that are no part of a character are left out, and nothing else is."""
+    valid = F.array_join(F.regexp_extract_all(cell, F.lit(f"((?:{UTF8_CHARACTER})++)"), F.lit(1)), "")
+    text = F.decode(F.encode(valid, "ISO-8859-1"), "UTF-8")
+    return F.when(cell.rlike("[\\x80-\\xff]"), text).otherwise(cell)
+
+
 def read_first_columns(spark: SparkSession, path: str, width: int = 3) -> DataFrame:
-    """Lenient scan: undecodable bytes ignored, empty lines skipped, first columns only."""
-    df = _positional(spark, path, width)
-    first = df.first()
-    names = [(v or "").lstrip("\ufeff") for v in first] if first else DATASET_MAPPING[:width]
-    rows = _file_order(df).filter("NOT _first")
-    decoded = [
-        F.replace(filled(f"_p{i}"), F.lit("\ufffd"), F.lit("")).alias(n or f"_p{i}") for i, n in enumerate(names)
-    ]
-    return rows.select(*decoded, "ord")
+    """Lenient scan by position: undecodable bytes ignored, empty lines skipped, first columns only.
+
+    The first record of each file is its header; columns are named by that of the first file.
+    """
+    rows = _imported(spark, path, width, headers=True, encoding="ISO-8859-1")
+    if rows is None:
+        raise FileNotFoundError(path)
+    first = rows.filter("_first").orderBy("_file").select(F.transform("_names", _decoded).alias("n")).first()
+    names = [v.lstrip("\ufeff") for v in first["n"][:width]] if first else DATASET_MAPPING[:width]
+    cells = [_decoded(F.get("_cells", F.lit(i))).alias(n or f"_p{i}") for i, n in enumerate(names)]
+    return rows.filter("NOT _first").select(*cells, "ord")
 
 
 def projected(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -200,15 +220,6 @@ def append_batch(df: DataFrame, path: str, columns: list[str], batch: int | str)
     projected(df, columns).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def header_of(spark: SparkSession, path: str) -> list[str] | None:
-    try:
-        return spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
-        return None
-
-
 def read_or_quarantine(
     spark: SparkSession, path: str, columns: list[str], quarantine: str, run_ts: str
 ) -> DataFrame:
@@ -216,18 +227,16 @@ def read_or_quarantine(
 
     The first other header goes to `ts=<run_ts>`, further ones to `ts=<run_ts>.1` and so on.
     """
-    if header_of(spark, path) is None:
-        return read_stage(spark, path, columns)
-    width = _columns_in(spark, path, columns)
-    rows = _with_headers(_file_order(_positional(spark, path, width), headers=True), width)
-    wanted = F.array(*[F.lit(c) for c in [*columns, *[""] * (width - len(columns))]])
-    odd = rows.filter(F.col("_first") & (F.col("_names") != wanted)).select("_names").distinct().orderBy("_names")
+    rows = _imported(spark, path, len(columns), headers=True)
+    if rows is None:
+        return empty_stage(spark, columns)
+    wanted, own = F.array(*[F.lit(c) for c in columns]), _trimmed("_names")
     # One row per layout that occurs.
-    for n, layout in enumerate(odd.collect()):
+    for n, layout in enumerate(_headers(rows).filter(F.col("_names") != wanted).collect()):
         names = [c for c in layout["_names"] if c]
-        aside = _by_name(rows.filter(~F.col("_first") & (F.col("_names") == F.lit(layout["_names"]))), names, width)
+        aside = _by_name(rows.filter(~F.col("_first") & (own == F.lit(layout["_names"]))), names)
         write_stage(aside, f"{quarantine}/ts={run_ts}" + (f".{n}" if n else ""), names)
-    return _by_name(rows.filter(~F.col("_first") & (F.col("_names") == wanted)), columns, width)
+    return _by_name(rows.filter(~F.col("_first") & (own == wanted)), columns)
 
 
 def snapshot(df: DataFrame, folder: str, run_ts: str) -> DataFrame:
@@ -259,13 +268,21 @@ def discover_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, preferred: str, fallback: str, columns: list[str]) -> DataFrame:
-    """The curated mapping if there is one, else the stage mapping, which must exist."""
-    path = preferred if header_of(spark, preferred) is not None else fallback
-    df = read_stage(spark, path, columns, required=True)
-    absent = [c for c in DATASET_MAPPING if c not in header_of(spark, path)]
+    """The curated mapping if there is one, else the stage mapping, which must exist.
+
+    Every file must name the columns that products are joined by.
+    """
+    rows = _imported(spark, preferred, len(columns), headers=True)
+    path = preferred
+    if rows is None:
+        path, rows = fallback, _imported(spark, fallback, len(columns), headers=True)
+    if rows is None:
+        raise FileNotFoundError(fallback)
+    lacking = F.array_except(F.array(*[F.lit(c) for c in DATASET_MAPPING]), "_names")
+    absent = [r["c"] for r in rows.filter("_first").select(F.explode(lacking).alias("c")).distinct().collect()]
     if absent:
-        raise ValueError(f"{path} is missing columns: {', '.join(absent)}")
-    return df
+        raise ValueError(f"{path} is missing columns: {', '.join(c for c in DATASET_MAPPING if c in absent)}")
+    return _by_name(rows.filter("NOT _first"), columns)
 
 
 def merged_columns(columns: list[str], extra: list[str], default: list[str]) -> list[str]:

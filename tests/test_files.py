@@ -143,3 +143,68 @@ def test_wider_files_are_put_aside(spark, wider, tmp_path):
     assert [r.filename for r in kept] == ["f1"]
     moved = files.read_stage(spark, str(tmp_path / "aside" / "*"), [*SHORT, "b", "c", "d"]).collect()
     assert sorted((r.filename, r.secure_url, r.public_id, r.c, r.d) for r in moved) == [("f2", "u2", "p2", "z", ""), ("f3", "u3", "p3", "", "w")]
+
+
+@pytest.fixture
+def many(tmp_path):
+    """Twelve files of one size, each with its own order of columns."""
+    (tmp_path / "many").mkdir()
+    for part in range(12):
+        names = SHORT if part % 2 else SHORT[::-1]
+        lines = [",".join(f"{n[0]}{part:02}_{row:04}" for n in names) for row in range(300)]
+        (tmp_path / "many" / f"part-{part:02}.csv").write_text("\n".join([",".join(names), *lines]), "utf-8")
+    return str(tmp_path / "many")
+
+
+READERS = {
+    "stage": lambda spark, path, aside: files.read_stage(spark, path, SHORT),
+    "tolerant": lambda spark, path, aside: files.read_tolerant(spark, path, SHORT),
+    "quarantine": lambda spark, path, aside: files.read_or_quarantine(spark, path, SHORT, aside, "T"),
+    "lenient": lambda spark, path, aside: files.read_first_columns(spark, path),
+    "mapping": lambda spark, path, aside: files.read_mapping(spark, path, path, SHORT),
+}
+
+
+@pytest.mark.parametrize("reader", READERS)
+def test_places_do_not_depend_on_the_number_of_cores(spark, many, tmp_path, reader, monkeypatch):
+    scans, scan = [], files._import
+    monkeypatch.setattr(files, "_import", lambda *a, **k: scans.append(a) or scan(*a, **k))
+    outcomes = []
+    for at_reading, later in (("4", "2"), ("2", "7"), ("12", "1")):
+        try:
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", at_reading)
+            rows = READERS[reader](spark, many, str(tmp_path / f"aside{later}"))
+            # Executors join or leave between planning and reading.
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", later)
+            outcomes.append([tuple(r) for r in rows.orderBy("ord").collect()])
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert outcomes[0] == outcomes[1] == outcomes[2] and len(scans) == 3
+    places = [r[-1] for r in outcomes[0]]
+    assert len(set(places)) == len(places) and not any(set(SHORT) & set(r[:-1]) for r in outcomes[0] if reader != "tolerant")
+    if reader in ("stage", "mapping"):
+        assert places == list(range(3600))
+        assert [r[0] for r in outcomes[0]] == [f"f{part:02}_{row:04}" for part in range(12) for row in range(300)]
+
+
+def test_files_are_parsed_once(spark, many):
+    rows = files.read_stage(spark, many, SHORT)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and "FileScan parquet" in plan
+
+
+def test_replacement_characters_of_the_file_stay(spark, tmp_path):
+    valid = "�é中\U0001f600".encode()
+    broken = b"\x80" + valid[:3] + b"\xe2\x82" + b"z\xff" + valid[3:] + b"\xed\xa0\x80\xc0\xaf"
+    for n, mark in ((1, b"\xef\xbb\xbf"), (2, b"")):
+        (tmp_path / f"{n}.csv").write_bytes(mark + b"filename,secure_url,public_id,more\n" + broken + b',"a\n""b""",p,x\n')
+    rows = files.read_first_columns(spark, str(tmp_path)).orderBy("ord").collect()
+    assert rows[0].asDict() == rows[1].asDict() | {"ord": 0}
+    assert (rows[0].filename, rows[0].secure_url) == (broken.decode("utf-8", "ignore"), 'a\n"b"') and "�" in rows[0].filename
+
+
+def test_every_file_of_a_mapping_must_have_its_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("filename,secure_url,public_id\n1,2,3\n", "utf-8")
+    (tmp_path / "b.csv").write_text("filename,public_id\n1,2\n", "utf-8")
+    with pytest.raises(ValueError, match="secure_url"):
+        files.read_mapping(spark, str(tmp_path), str(tmp_path), MAPPING)
