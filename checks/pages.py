@@ -10,7 +10,7 @@ from shelfwright.functions.images import with_features
 from shelfwright.plans import listing
 from shelfwright.plans.everything import run_all
 from shelfwright.schemas import FINAL
-from shelfwright.session import scratch_path
+from shelfwright.session import materialise, scratch_path
 from shelfwright.sources import captures
 from shelfwright.sources.images import image_file_features
 from shelfwright.streaming import ingest
@@ -145,7 +145,8 @@ def i1_tiki(v: Inputs):
 SELECT category, page, name, price, source_url, image_url FROM lazada_listed
 """)
 def h345(v: Inputs):
-    pages = captures.lazada_pages(v.lazada_captures)
+    # Parsed once, as every run does it: a filter that Spark derives from `explode` would parse each page again.
+    pages = materialise(captures.lazada_pages(v.lazada_captures), "pages")
     rows = pages.select("category", "page", F.explode("products").alias("p"))
     return rows.select("category", "page", "p.name", "p.price", "p.source_url", "p.image_url")
 

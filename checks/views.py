@@ -233,10 +233,19 @@ SELECT 'c' || CAST(b % 4 AS STRING) AS category, 'quần jean' AS keyword, 0 AS
       to_json(named_struct('@type', 'ItemList', 'itemListElement',
         transform(items, x -> named_struct('item', named_struct('name', x.name, 'image', x.original_image_url, 'url', x.source_url)))))
       || '</script></html>'
-    ELSE '<html><body>' || array_join(transform(items, x ->
-      '<div class="Bm3ON" data-qa-locator="product-item"><div class="RfADt"><a href="' || x.source_url || '" title="' || x.name ||
-      '">shown</a></div><span class="ooOxS">' || x.price || '</span><img type="product" alt="" data-src="' || x.original_image_url ||
-      '"></div>'), '') || '</body></html>'
+    ELSE '<html><body><!-- <div data-qa-locator="product-item"><img src="no.jpg" alt="none"></div> -->' ||
+      '<script>var t = ''<div data-qa-locator="product-item"><img src="no.jpg" alt="none"></div>'';</script>' ||
+      array_join(transform(items, x -> '<div class="Bm3ON" title="a > b" ' ||
+      CASE x.ord % 3 WHEN 0 THEN 'data-qa-locator="product-item"' WHEN 1 THEN 'DATA-QA-LOCATOR = ''product-item'' hidden' ELSE 'hidden data-qa-locator=product-item' END ||
+      '><div ' || CASE x.ord % 3 WHEN 0 THEN 'class="x RfADt"' WHEN 1 THEN 'class=RfADt' ELSE 'class=''RfADt x''' END || '><a data-title="no" ' ||
+      CASE WHEN x.ord % 3 = 0 OR x.source_url = '' THEN 'href="' || replace(x.source_url, '/', '&sol;') || '"'
+        WHEN x.ord % 3 = 1 THEN 'href=''' || replace(x.source_url, '/', '&#47;') || '''' ELSE 'href=' || x.source_url END ||
+      ' download title="' || CASE x.ord % 4 WHEN 1 THEN replace(x.name, 'e', '&#101;') WHEN 2 THEN replace(x.name, 'a', '&#x61;')
+        WHEN 3 THEN replace(x.name, ' ', '&#32;') ELSE x.name END ||
+      '">sh<b>o</b>wn</a></div><span class="ooOxS" data-x="3 > 2">' || replace(x.price, '.', '&period;') || '</span><img src="https://x.example/logo.png">' ||
+      '<img src ' || CASE x.ord % 2 WHEN 0 THEN 'type="product"' ELSE 'type=product' END || ' alt="" ' ||
+      CASE WHEN x.ord % 3 = 2 AND x.original_image_url <> '' THEN 'data-src=' || x.original_image_url ELSE 'data-src="' || replace(x.original_image_url, '_', '&lowbar;') || '"' END ||
+      '></div>'), '') || '</body></html>'
   END AS payload, '' AS fetched_at
 FROM (SELECT ord div 40 AS b, sort_array(collect_list(struct(ord, name, price, source_url, original_image_url))) AS items
       FROM {feed} GROUP BY ord div 40)

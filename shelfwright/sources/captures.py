@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.functions.fields import filled, first_present, present, stripped
+from shelfwright.functions.html import RAW_TEXT, attribute, attributes, element, plain_text, start_tag, value_of
 from shelfwright.functions.urls import (
     absolute_url, asos_image_url, asos_product_url, card_image_choice, lazada_image_url,
     tiki_image_url, tiki_product_url,
@@ -21,15 +22,13 @@ IMAGE_PREFERENCE = [5, 3, 4]
 BEST_IMAGE_PREFERENCE = [5, 3]
 IMAGES_PER_PRODUCT = 2
 
-# Patterns of a listing page; `card` starts a product block.
-LAZADA_PATTERNS = {
-    "card": r'(?is)<div[^>]*\bdata-qa-locator="product-item"',
-    "link": r'(?is)class="[^"]*\bRfADt\b[^"]*"[^>]*>.*?<a\b([^>]*)>(.*?)</a>',
-    "price": r'(?is)class="[^"]*\booOxS\b[^"]*"[^>]*>(.*?)</',
-    "image": r"(?is)<img\b([^>]*)>",
+# Selectors of a listing page; a card ends where the next one starts.
+LAZADA_SELECTORS = {
+    "card": 'div[data-qa-locator="product-item"]', "link": ".RfADt a", "price": ".ooOxS", "image": 'img[type="product"]',
 }
 # Image attributes of a card, in order of preference.
 IMAGE_ATTRIBUTES = ["src", "data-src", "data-ks-lazyload", "srcset"]
+# Fixed value: the scripts that hold listed products.
 JSON_LD = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 
 
@@ -112,46 +111,47 @@ def tiki_pages(captures: DataFrame) -> DataFrame:
     return _with_status(parsed, readable, products)
 
 
-def attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"""(?is)(?:^|\s){name}\s*=\s*["']([^"']*)["']""", 1)
-
-
-def plain_text(html: Column) -> Column:
-    """Text of an HTML fragment: tags out, common entities decoded, spaces collapsed."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
-
-
 def _usable(products: Column) -> Column:
     return F.filter(products, lambda p: (p["name"] != "") & (p["image_url"] != ""))
 
 
-def card_products(html: Column, patterns: dict[str, str] = LAZADA_PATTERNS) -> Column:
-    """Products from the card blocks of a page; cards without name or image are dropped.
+def card_products(html: Column, selectors: dict[str, str] = LAZADA_SELECTORS) -> Column:
+    """Products from the cards of a page; cards without name or image are dropped.
+
+    Attributes are read as browsers do: quoted with either sign, unquoted or without a value, references resolved.
+    A card without an image of the selector uses its first image. Scripts, styles and comments hold no cards.
 
     Each step is a transform of its own, so that a value used several times in the next
     step is computed once.
     """
-    blocks = F.filter(F.split(html, patterns["card"]), lambda _, at: at > 0)
+    markup = F.regexp_replace(html, RAW_TEXT, " ")
+    blocks = F.filter(F.split(markup, start_tag(selectors["card"])), lambda _, at: at > 0)
+    link, own, shown = element(selectors["link"])
+    price, _, amount = element(selectors["price"])
     parts = F.transform(
         blocks,
         lambda b: F.struct(
-            F.regexp_extract(b, patterns["link"], 1).alias("link"),
-            plain_text(F.regexp_extract(b, patterns["link"], 2)).alias("text"),
-            plain_text(F.regexp_extract(b, patterns["price"], 1)).alias("price"),
-            F.regexp_extract(b, patterns["image"], 1).alias("img"),
+            F.regexp_extract(b, link, own).alias("link"), plain_text(F.regexp_extract(b, link, shown)).alias("text"),
+            plain_text(F.regexp_extract(b, price, amount)).alias("price"),
+            F.regexp_extract(b, start_tag(selectors["image"]), 1).alias("img"),
+            F.regexp_extract(b, start_tag("img"), 1).alias("any_img"),
         ),
     )
-    fields = F.transform(
+    read = F.transform(
         parts,
         lambda p: F.struct(
-            stripped(attribute(p["link"], "title")).alias("title"),
+            p["text"].alias("text"), p["price"].alias("price"), attributes(p["link"]).alias("link"),
+            attributes(F.when(p["img"] != "", p["img"]).otherwise(p["any_img"])).alias("img"),
+        ),
+    )
+    fields = F.transform(
+        read,
+        lambda p: F.struct(
+            stripped(value_of(p["link"], "title")).alias("title"),
             p["text"].alias("text"), p["price"].alias("price"),
-            attribute(p["link"], "href").alias("href"),
-            stripped(attribute(p["img"], "alt")).alias("alt"),
-            *[attribute(p["img"], a).alias(a.replace("-", "_")) for a in IMAGE_ATTRIBUTES],
+            value_of(p["link"], "href").alias("href"),
+            stripped(value_of(p["img"], "alt")).alias("alt"),
+            *[value_of(p["img"], a).alias(a.replace("-", "_")) for a in IMAGE_ATTRIBUTES],
         ),
     )
     chosen = F.transform(
@@ -207,9 +207,9 @@ def json_ld_products(html: Column) -> Column:
     )
 
 
-def lazada_pages(captures: DataFrame, patterns: dict[str, str] = LAZADA_PATTERNS) -> DataFrame:
+def lazada_pages(captures: DataFrame, selectors: dict[str, str] = LAZADA_SELECTORS) -> DataFrame:
     """Card products of a page, or its JSON-LD products where no card is usable."""
-    cards = captures.withColumn("_cards", card_products(F.col("payload"), patterns))
+    cards = captures.withColumn("_cards", card_products(F.col("payload"), selectors))
     found = F.when(F.size("_cards") > 0, F.col("_cards")).otherwise(json_ld_products(F.col("payload")))
     parsed = cards.withColumn("_items", found).drop("_cards")
     return _with_status(parsed, F.col("payload").isNotNull(), F.col("_items"))
@@ -217,13 +217,13 @@ def lazada_pages(captures: DataFrame, patterns: dict[str, str] = LAZADA_PATTERNS
 
 def html_links(pages: DataFrame) -> DataFrame:
     """Links of a page in order: (page_id, pos, href, text)."""
-    tags = F.regexp_extract_all("html", F.lit(r"(?is)(<a\b[^>]*>.*?)</a>"), F.lit(1))
+    opening = start_tag("a")
+    tags = F.regexp_extract_all("html", F.lit(rf"(?s)({opening}.*?)</[aA]\s*+>"), F.lit(1))
     return (
         pages.select("page_id", F.posexplode(tags).alias("pos", "_tag"))
         .select(
-            "page_id", "pos",
-            attribute(F.regexp_extract("_tag", r"(?is)^<a\b([^>]*)>", 1), "href").alias("href"),
-            plain_text(F.regexp_replace("_tag", r"(?is)^<a\b[^>]*>", "")).alias("text"),
+            "page_id", "pos", attribute(F.regexp_extract("_tag", f"^{opening}", 1), "href").alias("href"),
+            plain_text(F.regexp_replace("_tag", f"^{opening}", "")).alias("text"),
         )
     )
 
