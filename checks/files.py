@@ -9,6 +9,7 @@ from shelfwright.operators.ranking import with_position
 from shelfwright.schemas import MAPPING, RAW
 from shelfwright.session import scratch_path
 from shelfwright.sources import stage_files as files
+from shelfwright.sources import storage, versions
 
 FEED_COLUMNS = ["id", "name", "price", "source_url", "original_image_url", "category"]
 PLAIN_CSV = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
@@ -130,6 +131,24 @@ def a7(v: Inputs):
     return files.read_table(v.spark, path, ["id", "name"])
 
 
+@register("a7_overwrite_what_is_read", """
+SELECT row_number() OVER (ORDER BY ord) - 1 AS ord, id, upper(name) || '!' AS name, category, 1 AS versions_kept FROM feed WHERE id <> ''
+""")
+def a7_overwrite(v: Inputs):
+    """A table by category replaced three times by what is computed from itself, then the same through CSV."""
+    path, columns = scratch_path(v.spark, "swapped"), ["id", "name", "category"]
+    files.write_stage(v.feed, path, columns, fmt="parquet", by_category=True, swap=True)
+    for change in (F.upper("name"), F.concat("name", F.lit("!"))):
+        rows = files.read_table(v.spark, path, columns)
+        files.write_stage(rows.withColumn("name", change), path, columns, fmt="parquet", by_category=True)
+    text = scratch_path(v.spark, "swapped-text")
+    files.write_stage(files.read_table(v.spark, path, columns), text, columns, swap=True)
+    files.write_stage(files.read_stage(v.spark, text, columns).filter("id <> ''"), text, columns, base=1)
+    versions.prune(v.spark, text, keep=1)
+    kept = len([n for n in storage.names(v.spark, text) if n.startswith("v")])
+    return files.read_stage(v.spark, text, columns).withColumn("versions_kept", F.lit(kept))
+
+
 @register("a8_category_layout", "SELECT ord, id, category FROM feed WHERE category = 'cat3'")
 def a8(v: Inputs):
     path = scratch_path(v.spark, "by_category")
@@ -150,15 +169,15 @@ UNION ALL
 SELECT category, name, price, brand, source, "sourceUrl", "originalImageUrl", "cloudinaryUrl", "cloudinaryPublicId", "createdAt" FROM ins
 """)
 def a13(v: Inputs):
+    """Two imports into a target table; the second one finds everything in place, and a part written again replaces itself."""
     from shelfwright.plans.final import import_documents
     from shelfwright.schemas import FINAL
     path = scratch_path(v.spark, "documents")
-    files.append_batch(v.target, path, FINAL, 0)
-    for batch in (1, 2):
-        stored = v.spark.read.parquet(path).filter(F.col("batch") < batch)
-        new, _ = import_documents(v.import_rows, stored)
-        files.append_batch(new, path, FINAL, batch)
-    return v.spark.read.parquet(path).select(*FINAL)
+    versions.add_part(v.target.select(*FINAL), path, "first")
+    for batch in ("a", "b", "b"):
+        new, _ = import_documents(v.import_rows, versions.read_version(v.spark, path))
+        versions.add_part(new.select(*FINAL), path, batch)
+    return versions.read_version(v.spark, path)
 
 
 @register("a14_mapping_preference", "SELECT 'curated-' || filename AS filename, secure_url, public_id, original_image_url FROM mapping")

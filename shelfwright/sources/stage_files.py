@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from shelfwright.functions.fields import filled, stripped
 from shelfwright.schemas import DATASET_MAPPING, string_schema
 from shelfwright.session import materialise
+from shelfwright.sources.versions import folders, latest, replace_table
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
 
@@ -33,7 +34,7 @@ def _import(spark: SparkSession, path: str, width: int, headers: bool, encoding:
     shape = string_schema([*[f"_p{i}" for i in range(width)], "_raw"])
     # A record with another number of cells than the schema leaves its text in `_raw`.
     options = {**CSV_OPTIONS, "encoding": encoding, "columnNameOfCorruptRecord": "_raw", "columnPruning": False}
-    scanned = spark.read.schema(shape).options(header=False, mode="PERMISSIVE", **options).csv(path)
+    scanned = spark.read.schema(shape).options(header=False, mode="PERMISSIVE", **options).csv(folders(spark, path) or path)
     cells = materialise(
         scanned.select(
             F.array(*[filled(f"_p{i}") for i in range(width)]).alias("_cells"), "_raw",
@@ -180,32 +181,41 @@ def projected(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def write_stage(
     df: DataFrame, path: str, columns: list[str], fmt: str = "csv", mode: str = "overwrite",
-    by_category: bool = False,
+    by_category: bool = False, swap: bool = False, base: int | None = None,
 ) -> None:
     """Write the fixed columns in row order; parquet keeps `ord`, CSV keeps it as file order.
 
     By category, each task writes a range of one or few categories: a large category is
-    split over tasks, and small ones do not leave a file per task. `path` must not be one
-    that `df` reads; see `snapshot`.
+    split over tasks, and small ones do not leave a file per task.
+
+    With `swap`, or where the table has versions already, a new version takes the old one's place in one step when it is complete: `df`
+    may read the table itself, and `base` may name the version it was computed from (see `sources/versions.py`). Without, `path` must
+    not be one that `df` reads.
     """
     out = projected(df, columns)
     if "ord" in out.columns:
         place = ["category", "ord"] if by_category else ["ord"]
         out = out.repartitionByRange(*place).sortWithinPartitions(*place)
-    writer_frame = out.drop("ord") if fmt == "csv" else out
-    writer = writer_frame.write.mode(mode)
-    if by_category:
-        writer = writer.partitionBy("category")
-    if fmt == "csv":
-        writer.options(header=True, quote='"', escape='"', emptyValue="", nullValue="").csv(path)
+
+    def save(rows: DataFrame, folder: str) -> None:
+        writer = (rows.drop("ord") if fmt == "csv" else rows).write.mode(mode)
+        if by_category:
+            writer = writer.partitionBy("category")
+        if fmt == "csv":
+            writer.options(header=True, quote='"', escape='"', emptyValue="", nullValue="").csv(folder)
+        else:
+            writer.parquet(folder)
+
+    if mode == "overwrite" and (swap or latest(df.sparkSession, path)):
+        replace_table(out, path, base, save=save)
     else:
-        writer.parquet(path)
+        save(out, path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str], category: str | None = None) -> DataFrame:
-    """Parquet stage table laid out by category; a category prunes to its folder."""
+    """Parquet stage table laid out by category, in its current version; a category prunes to its folder."""
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.parquet(*(folders(spark, path) or [path]))
     except AnalysisException as error:
         if not _missing(error):
             raise
