@@ -108,6 +108,22 @@ def j2(v: Inputs):
     return v.spark.read.parquet(out)
 
 
+@register("j2_first_by_key_indexed", f"""
+SELECT image_url, min(product) AS product FROM ({ASOS_LISTED}) t GROUP BY image_url
+""")
+def j2_indexed(v: Inputs):
+    """First product of each image over four batches, the keys seen in an index on storage."""
+    rows, out, progress = (scratch_path(v.spark, n) for n in ("images", "first", "progress"))
+    products = materialise(listing.listed_products(listing.visited_pages(v.asos_captures, "asos", ALL_PAGES)), "products")
+    place = F.shiftright("ord", listing.PLACE_BITS)
+    shown = products.select("image_url", F.regexp_extract("source_url", "([0-9]+)$", 1).cast("bigint").alias("product"), F.least(place / 20, F.lit(3)).cast("int").alias("part"))
+    for part in range(4):
+        shown.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(rows)
+        stream = v.spark.readStream.schema("image_url STRING, product BIGINT").parquet(rows)
+        ingest.ingest_first_by_key(stream, ["image_url"], out, progress).awaitTermination()
+    return v.spark.read.parquet(out).select("image_url", "product")
+
+
 TIKI_LISTED = """
 SELECT p_partkey AS ord, p_name AS name, CAST(p_retailprice AS STRING) AS price, p_brand AS brand,
   'https://tiki.vn/p' || CAST(p_partkey % 401 AS STRING) || '.html' AS source_url,

@@ -61,21 +61,22 @@ def latest_statuses(log: DataFrame) -> DataFrame:
     return log.groupBy("category", "keyword_idx", "page").agg(F.max_by("status", at).alias("status"))
 
 
-def visited_pages(
-    captures: DataFrame, source: str, max_pages: int | None = None, skip_pages: int = 0, earlier: DataFrame | None = None
-) -> DataFrame:
-    """Parsed pages that a run looks at: in range and before the end of results.
-
-    Payloads are parsed once; the products found are kept in a written table, because
-    the end of results and the duplicate scan read them again. `earlier` holds statuses of
-    pages captured before (category, keyword_idx, page, status, fetched_at); they take part in
-    finding the end.
-    """
+def parsed_pages(captures: DataFrame, source: str, max_pages: int | None = None, skip_pages: int = 0) -> DataFrame:
+    """The pages in range, parsed once: products are kept in a written table, because the end of results and the
+    duplicate scan read them again."""
     if source not in PAGES:
         raise ValueError(f"unknown source: {source}; choose one of {', '.join(sorted(PAGES))}")
     skip = skip_pages if source == "lazada" else 0
     ranged = page_range(captures.filter(F.col("source") == source), skip, max_pages, FIRST_PAGE[source])
-    pages = materialise(PAGES[source](latest_captures(ranged)), "pages")
+    return materialise(PAGES[source](latest_captures(ranged)), "pages")
+
+
+def before_the_end(pages: DataFrame, source: str, earlier: DataFrame | None = None) -> DataFrame:
+    """Pages before the end of results.
+
+    `earlier` holds statuses of pages captured before (category, keyword_idx, page, status,
+    fetched_at); they take part in finding the end.
+    """
     keys, log = ["category", "keyword_idx"], None
     if earlier is not None:
         columns = ["category", "keyword_idx", "page", "status", "fetched_at"]
@@ -83,6 +84,11 @@ def visited_pages(
     return until_empty_streak(pages, keys, log=log) if source == "lazada" else until_empty_page(pages, keys, log)
 
 
+def visited_pages(captures: DataFrame, source: str, max_pages: int | None = None, skip_pages: int = 0) -> DataFrame:
+    """Parsed pages that a run looks at: in range and before the end of results."""
+    return before_the_end(parsed_pages(captures, source, max_pages, skip_pages), source)
+
+
 def listed_products(pages: DataFrame) -> DataFrame:
     """One row per product, or per product image, in crawl order."""
     return (
@@ -111,9 +117,11 @@ def seen_urls(existing: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
 
 def unseen(products: DataFrame, existing: DataFrame | None, source: str) -> DataFrame:
     """Products none of whose compared URLs is stored already."""
-    if existing is None:
-        return products
-    urls, images = seen_urls(existing, source)
+    return products if existing is None else without_urls(products, *seen_urls(existing, source), source)
+
+
+def without_urls(products: DataFrame, urls: DataFrame, images: DataFrame, source: str) -> DataFrame:
+    """Products whose URLs are not among the stored ones; of some sources only images are compared."""
     if source != "asos":
         products = without(products, urls, [("category", "category"), ("source_url", "source_url")])
     return without(products, images, [("category", "category"), ("image_url", "image_url")])
@@ -129,12 +137,16 @@ def new_products(products: DataFrame, existing: DataFrame | None, source: str) -
     )
 
 
-def numbered(kept: DataFrame, existing: DataFrame | None, target: int | None, run_ts: str) -> DataFrame:
-    """The raw table rows: first `target` per category, ids after the stored ones."""
+def last_ids(existing: DataFrame) -> DataFrame:
+    """The largest id by category."""
+    return scoped(existing, ["category"]).groupBy("category").agg(F.max(parse_id("id")).alias("_last"))
+
+
+def numbered(kept: DataFrame, ids: DataFrame | None, target: int | None, run_ts: str) -> DataFrame:
+    """The raw table rows: first `target` per category, ids after the stored ones (`last_ids`)."""
     placed = with_position(kept, "ord", ["category"], position="_n", limit=target, shifts=PAGE_CHUNKS)
     last = F.lit(0).cast("bigint")
-    if existing is not None:
-        ids = scoped(existing, ["category"]).groupBy("category").agg(F.max(parse_id("id")).alias("_last"))
+    if ids is not None:
         placed = placed.join(materialise(ids, "last_ids"), "category", "left")
         last = F.coalesce(F.greatest(F.col("_last"), F.lit(0)), F.lit(0))
     values = {
@@ -156,7 +168,7 @@ def extract_listings(
     check_limits(target, max_pages, skip_pages)
     pages = visited_pages(captures, source, max_pages, skip_pages)
     kept = materialise(new_products(listed_products(pages), existing, source), "kept")
-    return numbered(kept, existing, target, run_ts)
+    return numbered(kept, None if existing is None else last_ids(existing), target, run_ts)
 
 
 def crawl_stats(
