@@ -1,6 +1,8 @@
 """Extraction from captured pages, incremental ingest, images."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.registry import ORACLES, register
 from checks.relations import INSERTED_SQL, KEEP_STEPS, OUTCOME_SQL
@@ -8,7 +10,7 @@ from checks.views import Inputs
 from shelfwright.functions.hashes import hash_text
 from shelfwright.functions.images import with_features
 from shelfwright.plans import listing
-from shelfwright.plans.everything import run_all
+from shelfwright.plans.everything import StageTables, run_all, run_stages
 from shelfwright.schemas import FINAL
 from shelfwright.session import materialise, scratch_path
 from shelfwright.sources import captures
@@ -331,7 +333,7 @@ def _places(sql: str) -> str:
     return sql
 
 
-@register("i12_run_all", OUTCOME_SQL + f""",
+RUN_SQL = OUTCOME_SQL + f""",
 newmap AS (SELECT category, new_name AS filename, max_by(out_url, ord) AS secure_url, max_by(out_id, ord) AS public_id FROM settled WHERE mapped AND new_name <> '' GROUP BY 1, 2),
 final_rows AS (
   SELECT s.ord, coalesce(nullif(s.final_category, ''), s.category) AS category, s.name, s.price, s.brand, s.source, s.source_url AS "sourceUrl",
@@ -339,10 +341,56 @@ final_rows AS (
     coalesce(nullif(out_id, ''), m.public_id, '') AS "cloudinaryPublicId", out_at AS "createdAt"
   FROM settled s LEFT JOIN newmap m ON s.category = m.category AND CASE WHEN mapped THEN new_name ELSE s.filename END = m.filename
   WHERE coalesce(nullif(out_url, ''), m.secure_url, '') <> '' AND coalesce(nullif(out_id, ''), m.public_id, '') <> ''),
-""" + _places(INSERTED_SQL).strip().removeprefix("WITH ") + f"SELECT ord, {RECORD} FROM ins")
+""" + _places(INSERTED_SQL).strip().removeprefix("WITH ")
+
+
+@register("i12_run_all", RUN_SQL + f"SELECT ord, {RECORD} FROM ins")
 def i12(v: Inputs):
     """All stages; publishing and import cover every category of the shelf."""
     run = run_all(
         v.tiki_captures, "tiki", None, v.clean, v.reviewed.filter("false"), v.shelf_mapping, v.results, v.target, RUN_TS, auto_pass=True
     )
     return run.inserted.select("ord", *FINAL)
+
+
+def _as_text(*columns: str) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+
+
+PRODUCT = ["id", "name", "price", "brand", "source", "source_url", "original_image_url", "category", "final_category"]
+SHOWN = {
+    "raw": [*PRODUCT, "image_url", "crawl_status", "crawled_at"], "validated": [*PRODUCT, "auto_status", "auto_reason", "validated_at"],
+    "clean": [*PRODUCT, "cloudinary_url", "cloudinary_public_id", "uploaded_at", "filename"],
+    "mapping": ["category", "filename", "secure_url", "public_id", "original_image_url"], "final": list(FINAL), "target": list(FINAL),
+}
+STAGES_SQL = "WITH RECURSIVE " + TIKI_URLS.strip() + f""", steps AS ({KEEP_STEPS}),
+raw AS (SELECT format('{{:06d}}', row_number() OVER (ORDER BY l.ord)) AS id, name, price, brand, 'tiki' AS source, source_url, original_image_url, image_url,
+  'vay' AS category, 'vay' AS final_category, 'raw' AS crawl_status, '{RUN_TS}' AS crawled_at FROM steps st JOIN listed l ON st.ord = l.ord WHERE kept),
+""" + RUN_SQL.strip().removeprefix("WITH ") + """
+SELECT 'raw' AS stage, """ + _as_text(*SHOWN["raw"]) + """ AS shown FROM raw
+UNION ALL SELECT 'validated', """ + _as_text(*PRODUCT, "'pass'", "'auto_pass_all'", f"'{RUN_TS}'") + """ FROM raw
+UNION ALL SELECT 'clean', """ + _as_text(
+    "id", "name", "price", "brand", "source", "source_url", "CASE WHEN mapped THEN image ELSE original_image_url END", "category", "final_category",
+    "out_url", "out_id", "out_at", "CASE WHEN mapped THEN new_name ELSE filename END") + """ FROM settled
+UNION ALL SELECT 'mapping', """ + _as_text("category", "new_name", "out_url", "out_id", "image") + """ FROM settled WHERE mapped
+UNION ALL SELECT 'final', """ + _as_text(*[f'"{c}"' for c in FINAL]) + """ FROM final_rows
+UNION ALL SELECT 'target', """ + _as_text(*[f'"{c}"' for c in FINAL]) + """ FROM target
+UNION ALL SELECT 'target', """ + _as_text(*[f'"{c}"' for c in FINAL]) + """ FROM ins
+"""
+
+
+@register("i12_stage_tables", STAGES_SQL)
+def i12_tables(v: Inputs):
+    """Every stored stage table after a run over stored ones that was started twice."""
+    root = scratch_path(v.spark, "stages")
+    seed = StageTables(v.spark, root, "seed")
+    for name, rows in (("clean", v.clean), ("mapping", v.shelf_mapping), ("target", v.target)):
+        seed.commit(name, lambda rows=rows: rows)
+    for _ in range(2):
+        tables = StageTables(v.spark, root, "run")
+        run_stages(tables, v.tiki_captures, "tiki", None, v.results, RUN_TS, auto_pass=True)
+    shown = [
+        tables.read(name).select(F.lit(name).alias("stage"), F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in columns]).alias("shown"))
+        for name, columns in SHOWN.items()
+    ]
+    return reduce(DataFrame.unionByName, shown)

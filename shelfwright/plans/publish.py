@@ -97,10 +97,8 @@ def _last_attempt(rows: DataFrame, scope: list[str], columns: list[str], tie: li
     return picked.select(*scope, "ord", "_last.*")
 
 
-def apply_upload_results(
-    plan: DataFrame, results: DataFrame, run_ts: str, scope: list[str] = SCOPE
-) -> tuple[DataFrame, DataFrame]:
-    """(clean table, mapping table) after the uploads, both read from one written table.
+def settled_uploads(plan: DataFrame, results: DataFrame, run_ts: str, scope: list[str] = SCOPE) -> DataFrame:
+    """The clean table after the uploads, with `_mapped`: whether the row's image is published.
 
     `results` has the scope columns, `ord`, `secure_url, public_id`, `failed BOOLEAN` and, where
     uploads were tried again, `attempt`; the last attempt counts, and without one a success.
@@ -127,7 +125,11 @@ def apply_upload_results(
         "original_image_url": F.when(F.col("_mapped"), F.col("image_url")).otherwise(F.col("old_image_url")),
         "filename": F.when(F.col("_mapped"), F.col("filename")).otherwise(F.col("old_filename")),
     })
-    settled = materialise(settled.select(*[filled(c).alias(c) for c in PUBLISHED], "ord", "_mapped"), "settled")
+    return settled.select(*[filled(c).alias(c) for c in PUBLISHED], "ord", "_mapped")
+
+
+def published_tables(settled: DataFrame, scope: list[str] = SCOPE) -> tuple[DataFrame, DataFrame]:
+    """(clean table, mapping table) of rows settled by a run."""
     clean = settled.select(*PUBLISHED, "ord")
     mapping = settled.filter("_mapped").select(
         *scope, "filename", F.col("cloudinary_url").alias("secure_url"),
@@ -136,6 +138,13 @@ def apply_upload_results(
     return clean, mapping
 
 
+def apply_upload_results(
+    plan: DataFrame, results: DataFrame, run_ts: str, scope: list[str] = SCOPE
+) -> tuple[DataFrame, DataFrame]:
+    """(clean table, mapping table) after the uploads, both read from one written table; see `settled_uploads`."""
+    return published_tables(materialise(settled_uploads(plan, results, run_ts, scope), "settled"), scope)
+
+
 def failed_uploads(plan: DataFrame, failures: DataFrame, scope: list[str] = SCOPE) -> DataFrame:
     """Classified failures: `failures` has the scope columns, `ord, error_class, error_message, first_try_local`."""
     joined = scoped(plan, scope).select(*scope, "ord", "image_url").join(scoped(failures, scope), [*scope, "ord"])

@@ -51,12 +51,29 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     found = manifest(spark, path, version)
     if found is None:
         return None
-    return spark.read.schema(T.StructType.fromJson(found["schema"])).parquet(*[f"{path}/{f}" for f in found["parts"].values()])
+    return _read(spark, path, found, list(found["parts"].values()))
 
 
-def _commit(spark: SparkSession, path: str, number: int, parts: dict[str, str], schema: T.StructType) -> None:
+def read_part(spark: SparkSession, path: str, part: str) -> DataFrame | None:
+    """One part of the current version."""
+    found = manifest(spark, path)
+    return None if found is None or part not in found["parts"] else _read(spark, path, found, [found["parts"][part]])
+
+
+def _read(spark: SparkSession, path: str, found: dict, names: list[str]) -> DataFrame:
+    shape = T.StructType.fromJson(found["schema"])
+    reader = spark.read.schema(T.StructType([*shape.fields, T.StructField("v", T.StringType())]))
+    return reader.option("basePath", path).parquet(*[f"{path}/{f}" for f in names]).select(*shape.fieldNames())
+
+
+def version_of(spark: SparkSession, path: str, note: str) -> int | None:
+    """The newest kept version that was written with a note."""
+    return next((n for n in reversed(_numbers(spark, path)) if manifest(spark, path, n).get("note") == note), None)
+
+
+def _commit(spark: SparkSession, path: str, number: int, parts: dict[str, str], schema: T.StructType, note: str | None) -> None:
     draft = f"{path}/{MANIFESTS}/.draft-{uuid.uuid4().hex}"
-    storage.write_text(spark, draft, json.dumps({"parts": parts, "schema": schema.jsonValue()}))
+    storage.write_text(spark, draft, json.dumps({"parts": parts, "schema": schema.jsonValue(), "note": note}))
     if not storage.move_new(spark, draft, f"{path}/{MANIFESTS}/{number:012}"):
         storage.delete(spark, draft)
         raise Conflict(f"{path} has a version {number} already")
@@ -72,36 +89,38 @@ def prune(spark: SparkSession, path: str, keep: int) -> None:
     kept = numbers[-keep:]
     named = {f for n in kept for f in manifest(spark, path, n)["parts"].values()}
     for name in storage.names(spark, path):
-        number = re.fullmatch(r"v(\d{12})-[0-9a-f]+", name)
+        number = re.fullmatch(r"v=(\d{12})-[0-9a-f]+", name)
         if number and name not in named and int(number.group(1)) <= numbers[-1]:
             storage.delete(spark, f"{path}/{name}")
     for number in numbers[:-keep]:
         storage.delete(spark, f"{path}/{MANIFESTS}/{number:012}")
 
 
-def _write(df: DataFrame, path: str, part: str, alone: bool, base: int | None, keep: int, save) -> int:
+def _write(df: DataFrame, path: str, part: str, alone: bool, base: int | None, keep: int, save, note: str | None = None) -> int:
     spark = df.sparkSession
     current = latest(spark, path)
     if base is not None and base != current:
         raise Conflict(f"{path} is at version {current}, not {base}")
     number = current + 1
-    folder = f"v{number:012}-{uuid.uuid4().hex}"
+    folder = f"v={number:012}-{uuid.uuid4().hex}"
     save(df, f"{path}/{folder}")
     before = {} if alone or not current else manifest(spark, path, current)["parts"]
-    _commit(spark, path, number, {**before, part: folder}, df.schema)
+    _commit(spark, path, number, {**before, part: folder}, df.schema, note)
     prune(spark, path, keep)
     return number
 
 
-def replace_table(df: DataFrame, path: str, base: int | None = None, keep: int = 2, save=None) -> int:
+def replace_table(df: DataFrame, path: str, base: int | None = None, keep: int = 2, save=None, note: str | None = None) -> int:
     """Make `df` the whole table; `df` may read the table itself. Gives the new version's number.
 
     `base` is the version that `df` was computed from: the write fails if there is a newer one. Older versions
-    stay readable until `keep` newer ones exist.
+    stay readable until `keep` newer ones exist. A `note` is stored with the version, in the same step.
     """
-    return _write(df, path, WHOLE, True, base, keep, save or (lambda d, p: d.write.parquet(p)))
+    return _write(df, path, WHOLE, True, base, keep, save or (lambda d, p: d.write.parquet(p)), note)
 
 
-def add_part(df: DataFrame, path: str, part: str, base: int | None = None, keep: int = 2) -> int:
+def add_part(
+    df: DataFrame, path: str, part: str, base: int | None = None, keep: int = 2, save=None, note: str | None = None
+) -> int:
     """Add rows as a named part; a part that is written again replaces what it held."""
-    return _write(df, path, part, False, base, keep, lambda d, p: d.write.parquet(p))
+    return _write(df, path, part, False, base, keep, save or (lambda d, p: d.write.parquet(p)), note)
