@@ -33,13 +33,13 @@ def default_category(saved: Column) -> Column:
 
 
 def decided(
-    validated: DataFrame, reviewed: DataFrame, decisions: DataFrame, run_ts: str, scope: list[str] = SCOPE
+    validated: DataFrame, reviewed: DataFrame, decisions: DataFrame, run_ts: str, scope: list[str] = SCOPE, latest: DataFrame | None = None
 ) -> DataFrame:
     """Reviewed-table rows for the validated rows that have a decision.
 
     `decisions` has the scope columns and `id, reject, final_category, reviewed_at`; of several
     for a row the last one counts. A blank category keeps the default: the saved one, then
-    the row's own.
+    the row's own. `latest` are the latest reviews, where they are written already.
     """
     named = decisions.select(
         *scope, "id", F.col("reject").alias("_reject"), filled("final_category").alias("_choice"),
@@ -47,7 +47,8 @@ def decided(
     )
     # Decisions of the same time: one of them, the same in every run.
     chosen = last_wins(named, ["id"], F.struct("_at", "_reject", "_choice"), ["_reject", "_choice"], scope)
-    saved = latest_reviews(reviewed, scope).select(*scope, "id", F.col("final_category").alias("_saved"))
+    latest = latest_reviews(reviewed, scope) if latest is None else latest
+    saved = latest.select(*scope, "id", F.col("final_category").alias("_saved"))
     known = set(validated.columns)
     asked = scoped(validated, scope).filter(present("id"))
     rows = lookup(asked, chosen, _on(scope), F.lit(True), "ord", "_d")
@@ -66,9 +67,9 @@ def decided(
     return rows.select(*columns, "ord")
 
 
-def upserted(reviewed: DataFrame, new: DataFrame, scope: list[str] = SCOPE) -> DataFrame:
+def upserted(reviewed: DataFrame, new: DataFrame, scope: list[str] = SCOPE, latest: DataFrame | None = None) -> DataFrame:
     """Reviewed table after new reviews: replaced in place, unknown ids at the end."""
-    existing = latest_reviews(reviewed, scope)
+    existing = latest_reviews(reviewed, scope) if latest is None else latest
     both = existing.withColumn("_new", F.lit(0)).unionByName(
         scoped(new, scope).filter(present("id")).select(*REVIEWED, "ord").withColumn("_new", F.lit(1))
     )
@@ -122,5 +123,8 @@ def apply_reviews(
     validated: DataFrame, reviewed: DataFrame, decisions: DataFrame, run_ts: str, scope: list[str] = SCOPE
 ) -> tuple[DataFrame, DataFrame]:
     """(reviewed table, clean table) after a set of decisions, settled once."""
-    merged = materialise(upserted(reviewed, decided(validated, reviewed, decisions, run_ts, scope), scope), "reviewed")
+    # Read three times: for saved categories, for the merge and for its last place.
+    latest = materialise(latest_reviews(reviewed, scope), "latest")
+    new = decided(validated, reviewed, decisions, run_ts, scope, latest)
+    merged = materialise(upserted(reviewed, new, scope, latest), "reviewed")
     return merged, approved(merged)
