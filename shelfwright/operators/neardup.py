@@ -10,8 +10,11 @@ pair is met in exactly one bucket: the one of its lowest agreeing units.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.functions.hashes import distance, equal_units
@@ -153,26 +156,152 @@ def near_pairs(
     return pairs.select(*scope, F.explode(ways).alias("_w")).select(*scope, "_w.*")
 
 
+# Queries of one bucket that a task holds; larger buckets are dealt out.
+HELD = 65_536
+# Of a bucket that is too large, as many hashes are looked at before it is split: a dense one is settled by then.
+LOOKED_AT = 1_024
+# Distances computed at a time.
+TILE = 1 << 21
+
+
+def _earliest(distance_limit: int, looked_at: int):
+    """For each hash of a bucket (kind 0) the place of the first earlier near one among those streaming past (kind 1), by place.
+
+    A hash leaves the comparison with its first hit, and those that arrive before it end it, so a dense bucket takes
+    few steps. Of a `large` bucket only the first `looked_at` hashes are met; `open` says that more would have to be.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            names = batch.schema.names
+            bucket, part = (batch.column(names.index(n)).to_numpy() for n in ("bucket", "part"))
+            starts = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1]))))
+            for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+                if (bucket[begin], part[begin]) != current:
+                    if held is not None:
+                        yield held.result()
+                    current, held = (bucket[begin], part[begin]), _Held(distance_limit, looked_at)
+                held.add(batch.slice(begin, end - begin))
+        if held is not None:
+            yield held.result()
+
+    return work
+
+
+class _Held:
+    def __init__(self, limit: int, looked_at: int) -> None:
+        self.limit, self.looked_at, self.met = limit, looked_at, 0
+        self.parts: list[pa.RecordBatch] = []
+        self.h: np.ndarray | None = None
+
+    def add(self, part: pa.RecordBatch) -> None:
+        column = lambda name: part.column(part.schema.names.index(name))
+        split = int(np.searchsorted(column("kind").to_numpy(), 1))
+        if split:
+            self.parts.append(part.slice(0, split))
+        if split == part.num_rows:
+            return
+        if self.h is None:
+            self._start()
+        self.meet(column("h").to_numpy()[split:].view(np.uint64), column("place").to_numpy()[split:])
+
+    def _start(self) -> None:
+        self.rows = pa.Table.from_batches(self.parts).combine_chunks().to_batches()[0]
+        column = lambda name: self.rows.column(self.rows.schema.names.index(name))
+        self.h, self.place = column("h").to_numpy().view(np.uint64), column("place").to_numpy()
+        self.large = bool(column("large")[0].as_py())
+        self.near = np.full(len(self.h), -1)
+        self.open = np.arange(len(self.h))
+
+    def meet(self, h: np.ndarray, place: np.ndarray) -> None:
+        if self.large:
+            h, place = h[: max(0, self.looked_at - self.met)], place[: max(0, self.looked_at - self.met)]
+            self.met += len(h)
+        begin = 0
+        while begin < len(h) and len(self.open):
+            step = max(1, min(len(h) - begin, TILE // len(self.open), 256))
+            other, at = h[begin : begin + step], place[begin : begin + step]
+            hit = np.bitwise_count(self.h[self.open, None] ^ other[None, :]) <= self.limit
+            hit &= at[None, :] < self.place[self.open, None]
+            first = hit.argmax(axis=1)
+            found = hit[np.arange(len(first)), first]
+            self.near[self.open[found]] = at[first[found]]
+            # Places ascend: what comes before the next place has met all that could be earlier.
+            self.open = self.open[~found & (self.place[self.open] > at[-1])]
+            begin += step
+
+    def result(self) -> pa.RecordBatch:
+        if self.h is None:
+            self._start()
+        more = np.zeros(len(self.h), dtype=bool)
+        if self.large and self.met >= self.looked_at:
+            more[self.open] = True
+        columns = [self.rows.column(self.rows.schema.names.index(n)) for n in ("bucket", "item")]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(self.near, mask=self.near < 0), pa.array(more)], names=["bucket", "item", "near", "open"])
+
+
 def first_near(
     df: DataFrame, order: str = "ord", h: str = "h", scope: list[str] | None = None,
     max_distance: int = HASH_DISTANCE, bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Rows with an earlier near row, and the order of the first such row (`near_ord`).
 
-    Copies of one hash are collapsed before hashes are compared, so a hash shared by
-    any share of the rows costs no more than a rare one.
+    Copies of one hash are collapsed before hashes are compared, so a hash shared by any share of the rows costs
+    no more than a rare one. Distinct hashes meet in buckets of one agreeing byte, in order, and a hash stops at its first
+    hit: no pairs are made, and a dense cluster is settled by its first members, also where it arrives last. Hashes of large
+    buckets that are still open after those go on to buckets of two and three agreeing bytes.
     """
+    if not 0 <= max_distance <= LARGEST_DISTANCE:
+        raise ValueError(f"distance must be between 0 and {LARGEST_DISTANCE}")
     scope = scope or []
-    firsts = df.groupBy(*scope, F.col(h).alias("h")).agg(F.min(order).alias("_first"))
-    pairs = near_pairs(firsts, None, scope, max_distance, bucket_rows)
-    others = firsts.withColumnsRenamed({"h": "other", "_first": "_other_first"})
-    around = (
-        pairs.join(others, ["other", *scope])
-        .groupBy(*scope, "h").agg(F.min("_other_first").alias("_around"))
-    )
-    best = (
-        firsts.join(around, ["h", *scope], "left")
-        .select(*scope, F.col("h").alias(h), F.least("_first", "_around").alias("near_ord"))
+    firsts = materialise(
+        df.groupBy(*scope, F.col(h).alias("h")).agg(F.min(order).alias("place")).withColumn("item", F.monotonically_increasing_id()), "hashes"
     )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Where even average buckets of one byte are beyond what a task holds, two bytes come first.
+    skipped = int(firsts.count() > 256 * HELD)
+    root = firsts.filter("h IS NOT NULL").select(*scope, "h", "place", "item", F.lit(-1).alias("last"), F.lit(0).cast("bigint").alias("path"), F.lit(True).alias("open"))
+    met, current = [], root
+    for level in range(BYTE_LEVELS):
+        at = F.col("at")
+        byte = F.call_function("shiftright", F.col("h"), at * BYTE).bitwiseAND(F.lit(255).cast("bigint"))
+        # The path lists positions and values of the agreeing bytes, twelve bits each.
+        split = current.select("*", F.explode(F.sequence(F.col("last") + 1, F.lit(8 - BYTE_LEVELS + level))).alias("at")).select(
+            *scope, "h", "place", "item", "open", at.alias("last"), (F.col("path") * 4096 + (at + 1) * 256 + byte).alias("path")
+        )
+        if level < skipped:
+            current = split
+            continue
+        split = materialise(split, "buckets")
+        keys = ["path", *scope]
+        sizes = split.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if("open").alias("_open")).filter("_open > 0 AND _n > 1")
+        sizes = materialise(
+            sizes.select(
+                *keys, F.monotonically_increasing_id().alias("bucket"), F.ceil(F.col("_open") / HELD).cast("int").alias("parts"),
+                ((F.col("_n") > bucket_rows) & F.lit(level < BYTE_LEVELS - 1)).alias("large"),
+            ),
+            "sizes",
+        )
+        placed = split.join(sizes, keys)
+        columns = ["bucket", "part", "kind", "h", "place", "item", "large"]
+        asking = placed.filter("open").withColumns({"part": F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"), "kind": F.lit(0)}).select(columns)
+        asked = placed.withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "kind": F.lit(1)}).select(columns)
+        dealt = asking.unionByName(asked).repartition(partitions, "bucket", "part").sortWithinPartitions("bucket", "part", "kind", "place")
+        found = materialise(dealt.mapInArrow(_earliest(max_distance, LOOKED_AT), "bucket long, item long, near long, open boolean"), "met")
+        met.append(found.filter(F.col("near").isNotNull()).select("item", "near"))
+        if level == BYTE_LEVELS - 1 or found.filter("open").isEmpty():
+            break
+        # Whole buckets go on: their hashes are what the open ones are compared with.
+        still = found.filter("open").select("bucket", "item", F.lit(True).alias("_still"))
+        going = still.select("bucket").distinct()
+        kept = placed.filter("large").join(going, "bucket", "left_semi")
+        current = kept.join(still, ["bucket", "item"], "left").select(
+            *scope, "h", "place", "item", "last", "path", F.coalesce("_still", F.lit(False)).alias("open")
+        )
+    around = reduce(DataFrame.unionByName, met).groupBy("item").agg(F.min("near").alias("_around"))
+    best = firsts.join(around, "item", "left").select(*scope, F.col("h").alias(h), F.least("place", "_around").alias("near_ord"))
     found = lookup(df, best, [*[(c, c) for c in scope], (h, h)], F.lit(True), order, "_best")
     return found.withColumn("near_ord", F.col("_best.near_ord")).drop("_best").filter(F.col("near_ord") < F.col(order))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +184,48 @@ def test_near_pairs_where_five_bytes_are_constant(spark):
     df = spark.createDataFrame([(h,) for h in hashes], "h long")
     got = sorted((r.h, r.other) for r in neardup.near_pairs(df, bucket_rows=4).collect())
     assert got == sorted((a, b) for a in hashes for b in hashes if a != b and apart(a, b) <= 5)
+
+
+def first_near_of(rows):
+    """(place, place of the first earlier near hash), by brute force."""
+    rows = sorted(rows)
+    h, place = np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64), [r[0] for r in rows]
+    hits = ((i, np.flatnonzero(np.bitwise_count(h[:i] ^ h[i]) <= 5)) for i in range(len(h)))
+    return sorted((place[i], place[found[0]]) for i, found in hits if len(found))
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def around(rng, center, n):
+    """Different hashes within three bits of one."""
+    found = set()
+    while len(found) < n:
+        h = center
+        for bit in rng.sample(range(64), rng.randint(0, 3)):
+            h ^= 1 << bit
+        found.add(h)
+    return list(found)
+
+
+def test_first_near_equals_brute_force_where_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "HELD", 200)  # buckets dealt out to several tasks
+    rng = random.Random(31)
+    hashes = [rng.getrandbits(64) for _ in range(800)]
+    hashes += [h ^ (1 << rng.randrange(64)) for h in hashes[:100]] + [(0xABCDEF << 40) | rng.getrandbits(40) for _ in range(700)]
+    hashes += around(rng, rng.getrandbits(64), 900) + hashes[:40]
+    rows = [(n, signed(h)) for n, h in enumerate(hashes)]
+    df = spark.createDataFrame([*rows, (9999, None)], "ord long, h long").repartition(4)
+    got = sorted((r.ord, r.near_ord) for r in neardup.first_near(df, bucket_rows=64).collect())
+    assert got == first_near_of(rows)
+
+
+def test_a_dense_cluster_that_arrives_last_makes_no_pairs(spark, monkeypatch):
+    rng, written, write = random.Random(32), [], neardup.materialise
+    monkeypatch.setattr(neardup, "materialise", lambda df, label: written.append(write(df, label)) or written[-1])
+    hashes = [rng.getrandbits(64) for _ in range(3000)] + around(rng, rng.getrandbits(64), 40_000)
+    rows = [(n, signed(h)) for n, h in enumerate(hashes)]
+    got = sorted((r.ord, r.near_ord) for r in neardup.first_near(spark.createDataFrame(rows, "ord long, h long")).collect())
+    assert got == first_near_of(rows)
+    assert sum(df.count() for df in written) < 60 * len(rows)
