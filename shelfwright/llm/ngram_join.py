@@ -110,10 +110,10 @@ def _describe(width: int, bands: int, rows: int):
                 offsets = pa.array(np.arange(len(signs) + 1) * bands, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(begin, end - begin), pa.array(sets.sizes), pa.array(low), pa.array(high),
+                        batch.column(0).slice(begin, end - begin), batch.column(3).slice(begin, end - begin), pa.array(sets.sizes), pa.array(low), pa.array(high),
                         pa.ListArray.from_arrays(offsets, flat), pa.array([r.tobytes() for r in sketch], pa.binary()),
                     ],
-                    names=["doc_id", "size", "low", "high", "bands", "sketch"],
+                    names=["doc_id", "mark", "size", "low", "high", "bands", "sketch"],
                 )
 
     return describe
@@ -233,7 +233,7 @@ def _verify(width: int, threshold: float):
         return found.filter(pa.array(keep))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held, block = None, [], None
+        current, held, block, last = None, [], None, None
 
         def inside() -> Iterator[pa.RecordBatch]:
             """A group of one block is compared with itself."""
@@ -245,7 +245,8 @@ def _verify(width: int, threshold: float):
         for key, piece in grouped(batches, ["group", "block", "part"]):
             if key != current:
                 yield from inside()
-                current, held, block = key, [], None
+                current, held, block, last = key, [], None, None
+            piece, last = _once_each(piece, last)
             split = int(np.searchsorted(get(piece, "kind").to_numpy(), 1))
             if split:
                 held.append(piece.slice(0, split))
@@ -260,6 +261,15 @@ def _verify(width: int, threshold: float):
     return verify
 
 
+def _once_each(piece: pa.RecordBatch, last: tuple | None) -> tuple[pa.RecordBatch, tuple]:
+    """Rows in order of kind and class without those that repeat the one before: equal rows of the table."""
+    kind, cid = (piece.column(piece.schema.get_field_index(n)).to_numpy() for n in ("kind", "cid"))
+    keep = np.ones(len(cid), dtype=bool)
+    keep[1:] = (cid[1:] != cid[:-1]) | (kind[1:] != kind[:-1])
+    keep[0] = (kind[0], cid[0]) != last
+    return piece.filter(pa.array(keep)), (kind[-1], cid[-1])
+
+
 class _Part:
     def __init__(self, values: np.ndarray, first: np.ndarray) -> None:
         self.values, self.first = values, first
@@ -277,16 +287,24 @@ def near_documents(
 ) -> DataFrame:
     """One row per document: doc_id, n_links (other documents linked directly), class_id (smallest id reachable by
     links, itself included), equal_id (smallest id with an equal set)."""
+    return _near_rows(docs, threshold, width, recall, id_col, text_col).select("doc_id", "n_links", "class_id", "equal_id")
+
+
+def _near_rows(docs: DataFrame, threshold: float, width: int, recall: float, id_col: str, text_col: str) -> DataFrame:
+    """near_documents with `mark`, a hash of the text, and `first`: whether (doc_id, mark) is the one that stays of its group.
+
+    A row is known by its id and the hash of its text, so that null ids and ids with several texts are kept apart.
+    """
     bands, rows = choose_bands(threshold, recall)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    described = texts.withColumn("bytes", F.octet_length("text")).mapInArrow(tidy(_describe(width, bands, rows)), "doc_id long, size long, low long, high long, bands array<long>, sketch binary"
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("mark", F.xxhash64("text"))
+    described = texts.select("doc_id", "text", F.octet_length("text"), "mark").mapInArrow(tidy(_describe(width, bands, rows)), "doc_id long, mark long, size long, low long, high long, bands array<long>, sketch binary"
     )
     table = materialise(described, "sets")
     content = ["size", "low", "high"]
     merged = table.filter("size > 0").groupBy(*content).agg(
-        F.min("doc_id").alias("equal_id"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark")).alias("rep"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
-    classes = materialise(merged.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    classes = materialise(merged.withColumn("cid", F.monotonically_increasing_id()).withColumn("equal_id", F.col("rep.doc_id")), "classes")
     banded = classes.select("cid", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count("*").alias("m")).filter("m > 1").select("band", "key")
     met = materialise(banded.join(shared, ["band", "key"]), "shared").join(classes.select("cid", "sketch"), "cid")
@@ -295,10 +313,9 @@ def near_documents(
     groups = components(ties, "ties").select(F.col("node").alias("cid"), F.col("component").alias("group"))
     many = [F.ceil(F.count("*") / F.lit(n)).cast("int").alias(c) for n, c in ((BLOCK_ROWS, "blocks"), (PART_ROWS, "parts"))]
     sized = groups.join(groups.groupBy("group").agg(*many), "group")
-    wanted = classes.filter("equal_id IS NOT NULL").join(sized, "cid").select(
-        F.col("equal_id").alias("doc_id"), "cid", "n", "low", "high", "group", "blocks", "parts"
-    )
-    members = texts.filter(F.octet_length("text") > 0).join(wanted, "doc_id").drop("doc_id")
+    wanted = classes.join(sized, "cid").select("rep", "cid", "n", "low", "high", "group", "blocks", "parts")
+    same = texts["doc_id"].eqNullSafe(wanted["rep.doc_id"]) & (texts["mark"] == wanted["rep.mark"])
+    members = texts.filter(F.octet_length("text") > 0).join(wanted, same).drop("doc_id", "mark", "rep")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     part = F.pmod(F.xxhash64(F.lit("part"), "cid"), F.col("parts")).cast("int")
 
@@ -309,24 +326,25 @@ def near_documents(
     probes = members.filter("blocks > 1").withColumn("part", part).withColumn("block", each("blocks")).withColumn("kind", F.lit(1))
     keys = ["group", "block", "part"]
     order = [*keys, "kind", "blocks", "cid", "n", "low", "high", "text"]
-    blocked = homes.select(order).union(probes.select(order)).repartition(*keys).sortWithinPartitions(*keys, "kind")
+    blocked = homes.select(order).union(probes.select(order)).repartition(*keys).sortWithinPartitions(*keys, "kind", "cid")
     found = materialise(blocked.mapInArrow(tidy(_verify(width, threshold)), "a long, b long, n long"), "pairs")
     links = found.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("links"))
     joined = components(found.select("a", "b"), "near").withColumnRenamed("node", "cid")
-    named = joined.join(classes.select("cid", "equal_id"), "cid")
-    names = named.groupBy("component").agg(F.min("equal_id").alias("class_id"))
-    known = classes.join(links, "cid", "left").join(named.join(names, "component").select("cid", "class_id"), "cid", "left").select(
-        *content, "equal_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "equal_id").alias("class_id")
+    named = joined.join(classes.select("cid", "rep"), "cid")
+    names = named.groupBy("component").agg(F.min("rep").alias("chosen"))
+    known = classes.join(links, "cid", "left").join(named.join(names, "component").select("cid", "chosen"), "cid", "left").select(
+        *content, "equal_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("chosen", "rep").alias("chosen")
     )
     # One row per distinct set on the right: a text of very many copies is split.
-    linked = table.filter("size > 0").join(known, content).select("doc_id", "n_links", "class_id", "equal_id")
-    alone = table.filter("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("equal_id"))
-    return linked.union(alone)
+    first = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("mark") == F.col("chosen.mark"))
+    linked = table.filter("size > 0").join(known, content).select("doc_id", "n_links", F.col("chosen.doc_id").alias("class_id"), "equal_id", "mark", first.alias("first"))
+    itself = [F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("equal_id"), "mark", F.lit(True).alias("first")]
+    return linked.union(table.filter("size = 0").select("doc_id", *itself))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that have the smallest id of their group; equal rows once. Rows without id stay if they are alone."""
-    found = near_documents(docs)
-    keep = found.filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(docs.columns).union(docs.filter("doc_id IS NULL").dropDuplicates(["text"]).select(docs.columns))
+    """One document of each group: that with the smallest id, null ids last, then by a hash of its text; equal rows once."""
+    found = _near_rows(docs, THRESHOLD, WIDTH, RECALL, "doc_id", "text")
+    keep = found.filter("first").select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(keep["kept_id"]) & (F.xxhash64(docs["text"]) == keep["kept_mark"])
+    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -298,6 +298,16 @@ def test_near_documents(docs, no_docs):
     assert sorted(key(r["doc_id"]) for r in kept.collect()) == sorted(key(i) for i in (None, 0, 2, 3, 4, 5, 6, 6, 7, 8, 9))
 
 
+def test_null_and_repeated_ids_are_told_apart(spark):
+    a, b, c, d = (" ".join(f"{x}{n}" for n in range(60)) for x in "abcd")
+    rows = [(1, a), (None, a), (None, a + " more"), (5, a + " again"), (5, c), (9, c + " x"), (None, b), (None, b + " y"), (None, b), (7, d), (7, d + " z"), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.one_of_each(docs).collect()]
+    assert sorted((k[0] or 0, k[1][:1]) for k in kept) == [(0, ""), (0, "b"), (1, "a"), (5, "c"), (7, "d")]
+    links = sorted((r["doc_id"] or 0, r["n_links"], r["class_id"] or 0) for r in ngram_join.near_documents(docs).collect())
+    assert links == [(0, 0, 0), (0, 0, 0), (0, 2, 0), (0, 2, 0), (0, 2, 0), (0, 3, 1), (0, 3, 1), (1, 3, 1), (5, 1, 5), (5, 3, 1), (7, 1, 7), (7, 1, 7), (9, 1, 5)]
+
+
 def test_near_documents_against_all_pairs(spark, monkeypatch):
     """A large group of different near copies over several blocks, small groups, a passage that many share."""
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 16)
@@ -324,6 +334,9 @@ def test_near_documents_against_all_pairs(spark, monkeypatch):
             break
         group = following
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    repeated = docs.union(docs.filter("doc_id = 7")).union(docs.filter("doc_id = 7"))
+    more = {r["doc_id"]: r["n_links"] for r in ngram_join.near_documents(repeated).collect()}
+    assert [more[i] for i in range(len(texts))] == (links.sum(axis=1) + 2 * (links[:, 7] | (np.arange(len(texts)) == 7))).tolist()
     got = {r["doc_id"]: r for r in ngram_join.near_documents(docs).collect()}
     assert [got[i]["class_id"] for i in range(len(texts))] == group.tolist()
     assert [got[i]["n_links"] for i in range(len(texts))] == links.sum(axis=1).tolist()
