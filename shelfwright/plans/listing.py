@@ -37,11 +37,11 @@ def page_order(keyword_idx: Column, page: Column, place: Column) -> Column:
 
 def check_limits(target: int | None, max_pages: int | None, skip_pages: int = 0) -> None:
     if target is not None and target <= 0:
-        raise ValueError("target must be greater than 0")
+        raise ValueError(f"no listing can hold {target} rows: give a positive target")
     if max_pages is not None and max_pages <= 0:
-        raise ValueError("max_pages must be greater than 0")
+        raise ValueError(f"no run can read {max_pages} pages: give a positive limit")
     if skip_pages < 0:
-        raise ValueError("skip_pages must not be negative")
+        raise ValueError(f"cannot skip {skip_pages} pages")
 
 
 PAGE_KEYS = ["category", "source", "keyword_idx", "page"]

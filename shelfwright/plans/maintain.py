@@ -30,7 +30,7 @@ def renumber(
     if strict:
         n, m = products.count(), mapping.count()
         if n != m:
-            raise ValueError(f"mapping row count does not match product row count: {m} != {n}")
+            raise ValueError(f"{n} products cannot be paired with {m} mapping rows ({m} != {n})")
     placed = with_position(mapping, "ord", scope, position="_pos").select(
         *scope, "_pos", F.col("ord").alias("_m_ord"),
         F.struct(*[filled(c).alias(c) if c in mapping.columns else F.lit("").alias(c) for c in MAPPING]).alias("_m"),

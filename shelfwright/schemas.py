@@ -34,8 +34,6 @@ MIN_WIDTH = 300
 MIN_HEIGHT = 300
 BLUR_THRESHOLD = 40.0
 HASH_DISTANCE = 5
-TARGET_PER_CATEGORY = 300
-MAX_PAGES = 100
 EMPTY_STREAK = 3
 FIRST_FILE_NUMBER = 10000
 
