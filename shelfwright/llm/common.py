@@ -195,6 +195,19 @@ def usable_vector(c: Column) -> Column:
     return F.coalesce(c.isNotNull() & finite & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
+def hashed_sample(rows: DataFrame, key: str, total: int, most: int) -> DataFrame:
+    """The `most` rows of smallest hash of a key, out of `total`.
+
+    Rows are first narrowed to about twice as many by the hash alone, so that no task sees more, however many
+    partitions there are.
+    """
+    hashed = F.xxhash64(key)
+    low = -(1 << 63)
+    if total > 2 * most:
+        rows = rows.filter(hashed < low + (1 << 64) * 2 * most // total)
+    return rows.orderBy(hashed, key).limit(most)
+
+
 def scaled(matrix: np.ndarray) -> np.ndarray:
     """Rows divided by a power of two near their largest component: exact, and squares stay in range."""
     _, exponent = np.frexp(np.abs(matrix).max(axis=1, keepdims=True))
@@ -211,7 +224,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
 
     Alternates large and small stars: each round every node sends its neighbours to its
     smallest one. Minima are aggregates combined before the shuffle, and go back to the edges by
-    a join with one row per node on the other side, so a node with very many edges is split.
+    a join with one row per node on the other side. The edges of a node with very many of them are two
+    numbers each and stay in one task until they reach the size at which Spark splits a join.
     Nothing but two numbers a round comes to the driver. Self loops keep lone nodes.
     """
     current = materialise(

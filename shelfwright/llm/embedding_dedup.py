@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwright.llm.common import (
-    components, grouped, local_components, materialise, tidy, unit_rows, usable_vector, vectors,
+    components, grouped, hashed_sample, local_components, materialise, tidy, unit_rows, usable_vector, vectors,
 )
 
 THRESHOLD = 0.93
@@ -59,7 +59,7 @@ def spherical_kmeans(unit: np.ndarray, k: int, rounds: int = ROUNDS, seed: int =
 
 def fit_cells(distinct: DataFrame, rows: int) -> dict[int, np.ndarray]:
     """Centroids by vector length, from a sample of at most SAMPLE_ROWS vectors in hash order."""
-    sample = distinct.orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE_ROWS).select("embedding").toArrow().column(0)
+    sample = hashed_sample(distinct, "gid", rows, SAMPLE_ROWS).select("embedding").toArrow().column(0)
     by_length: dict[int, list] = {}
     for value in sample.to_pylist():
         by_length.setdefault(len(value), []).append(value)

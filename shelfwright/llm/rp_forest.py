@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwright.llm.common import grouped, materialise, scaled, tidy, unit_rows, usable_vector, vectors
+from shelfwright.llm.common import grouped, hashed_sample, materialise, scaled, tidy, unit_rows, usable_vector, vectors
 
 SAMPLE_ROWS = 20_000  # bound on the vectors that planes and budget are fitted on
 TUNE_QUERIES = 400
@@ -162,7 +162,7 @@ def nearest(
         rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("dim", F.size("embedding")), "index"
     )
     counts = {r["dim"]: r["n"] for r in base.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    sample = base.orderBy(F.xxhash64("uid"), "uid").limit(SAMPLE_ROWS).select("embedding").toArrow().column(0).to_pylist()
+    sample = hashed_sample(base, "uid", sum(counts.values()), SAMPLE_ROWS).select("embedding").toArrow().column(0).to_pylist()
     forests, shares = {}, {}
     for dim in {len(v) for v in sample}:
         unit = unit_rows(np.array([v for v in sample if len(v) == dim], dtype=np.float64))

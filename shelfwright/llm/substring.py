@@ -10,7 +10,8 @@ Super-k-mers that occur again within a batch stay there: only the first travels,
 marked at once. A first pass counts minimisers; windows of those with more than HOT_SHARE of all
 super-k-mers (and more than HOT_ROWS of them) travel one by one, spread by their own hash, so a phrase
 that is very common in different surroundings does not gather in one bucket. At most 2 / HOT_SHARE such
-hashes exist, which bounds what the driver passes on. Buckets hold about BUCKET_BYTES of text whatever the size of the corpus.
+hashes exist, which bounds what the driver passes on. There are as many buckets as make about BUCKET_BYTES of text each on
+average; the bucket of a minimiser just below that share grows with the corpus.
 
 Documents are ordered by id, null last; rows that repeat an id by a hash of their text. Rows equal in id and
 text are one document: they get the same result and do not repeat each other. A null or blank text has
