@@ -218,6 +218,12 @@ def write_shards(
 MANIFEST = {"file": pa.string(), "part": pa.int64(), "seq": pa.int64(), "n_docs": pa.int64(), "n_tokens": pa.int64()}
 
 
+def slices(data: memoryview, at: np.ndarray) -> pa.Array:
+    """The bytes between consecutive positions, not copied. (`pa.array` never lets go of memoryviews that it is given.)"""
+    places = pa.py_buffer((at - at[0]).astype("<i4"))
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, places, pa.py_buffer(data[at[0] : at[-1]])])
+
+
 def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document from the files: doc_id, start, n_tokens, ids (packed 32-bit), in parallel over files."""
 
@@ -236,7 +242,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
                             pa.array(shard.doc_ids[begin:end], pa.int64(), mask=~shard.known[begin:end]),
                             pa.array(at[:-1] + row["start"], pa.int64()),
                             pa.array(np.diff(at), pa.int64()),
-                            pa.array([packed[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)], pa.binary()),
+                            slices(packed, 4 * at),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )

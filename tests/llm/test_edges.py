@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and columns with clashing names, for every operator."""
 
+import gc
 import hashlib
 import math
+import weakref
 import zlib
 
 import numpy as np
@@ -258,6 +260,17 @@ def test_language(spark, docs, no_docs):
     assert language.of_known_language(docs).columns == docs.columns
 
 
+def test_shards_are_let_go_of():
+    data = np.arange(1 << 20, dtype="<u4").tobytes()
+    held = weakref.ref(owner := np.frombuffer(data, np.uint8).copy())
+    at = np.array([400, 404, 404, 4000, len(data)])
+    found = wavelet.slices(memoryview(owner), at)
+    assert found.to_pylist() == [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+    del owner, found
+    gc.collect()
+    assert held() is None
+
+
 def test_lexicon(docs, no_docs, encode):
     want = sorted((i, t or "") for i, t in TEXTS if i is not None)
     got = sorted(tuple(r) for r in bpe_lexicon.token_digests(docs).collect() if r["doc_id"] is not None)
