@@ -45,6 +45,10 @@ OTHER_SPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 )
 RUNS = ("  ", "\n\n", " \n", "\n ")
+ALONE = "\r"  # before what has no space before it; texts that hold it are cut by the pattern
+EDGES = (ALONE, "\n")
+# White space but a space before a word.
+SPACED = re.compile(r"[^\S ]|(?<!\A) |\A ?\Z")
 
 LEXICON_WORDS = 65_536
 STEPS = 32  # of the histogram per doubling of a count
@@ -71,6 +75,7 @@ class Vocabulary:
             self.merges[ids[left], ids[right]] = rank, ids[left + right]
         self.added = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         self.bytes_of |= {i: text.encode() for text, i in self.added.items()}
+        self.names = {i: str(i) for i in self.bytes_of}
         names = sorted(self.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self._pattern = regex.compile(PATTERN)
@@ -111,10 +116,40 @@ class Vocabulary:
             return [self.added[word]]
         if self._fast is None or not word:
             return [i for token in self._pattern.findall(word) for i in self.merge(token.encode())]
-        if max(word) < "\u0250" or all(map(settled, set(word))):
+        if self._settled(word):
             return self._fast.encode_ordinary(word)
         return [i for token in self._pattern.findall(word) for i in self._whole.encode_ordinary(token)]
 
+    @staticmethod
+    def _settled(word: str) -> bool:
+        return word.isascii() or max(word) < "\u0250" or all(map(settled, set(word)))
+
+    def write(self, ids: list[int]) -> tuple[str, bytes]:
+        """Ids as text, and the bytes that they decode to."""
+        return ",".join([self.names[i] for i in ids]), b"".join([self.bytes_of[i] for i in ids])
+
+    def written(self, words: list[str], apart: list[bool]) -> tuple[list[str], list[bytes]]:
+        """Of each word: its ids as text, and the bytes that these decode to.
+
+        Words that a line feed between them keeps apart (no white space in them but a space before them, no added
+        token) are encoded as one text; ids of the line feeds part the result.
+        """
+        names, parts = [""] * len(words), [b""] * len(words)
+        joined = []
+        for i, (word, x) in enumerate(zip(words, apart, strict=True)):
+            if x and self._fast is not None and self._settled(word):
+                joined.append(i)
+            else:
+                names[i], parts[i] = self.write(self.encode_word(word))
+        if joined:
+            ids = self._fast.encode_ordinary("\n".join([words[i] for i in joined]))
+            name_of, bytes_of = self.names.__getitem__, self.bytes_of.__getitem__
+            some_names = ",".join(map(name_of, ids)).split(f",{name_of(self.single[10])},")
+            some_parts = b"".join(map(bytes_of, ids)).split(b"\n")
+            for i, name, part in zip(joined, some_names, some_parts, strict=True):
+                names[i], parts[i] = name, part
+        return names, parts
+
     def has_added(self, text: str) -> bool:
         return any(name in text for name in self.added)
 
@@ -127,19 +162,18 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def words_in(text: str, vocabulary: Vocabulary) -> tuple[list[str], list[str]]:
-    """(words with a space before them, other words) of a text, each list in order; see `spell` for their joint order."""
-    inner: list[str] = []
-    outer: list[str] = []
+def units(text: str, vocabulary: Vocabulary) -> list[str]:
+    """A text cut at its spaces, each unit with what its first character says of its words; see `words_of`."""
     if any(c in text for c in OTHER_SPACE) or any(r in text for r in RUNS) or vocabulary.has_added(text):
-        return inner, vocabulary.tokens(text)
-    for i, line in enumerate(text.split("\n")):
-        if i:
-            outer.append("\n")
-        words = line.split(" ")
-        outer.append(words[0])
-        inner += words[1:]
-    return inner, outer
+        return [ALONE + token for token in vocabulary.tokens(text)]
+    return (ALONE + text).replace("\n", " \n").split(" ")
+
+
+def words_of(unit: str) -> tuple[str, ...]:
+    """The words of a unit: itself with a space before it, or a line feed and what follows, or what stands alone."""
+    if unit[:1] == ALONE:
+        return (unit[1:],)
+    return ("\n", unit[1:]) if unit[:1] == "\n" else (" " + unit,)
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> list[bytes]:
@@ -216,6 +250,7 @@ class Lexicon:
             sections.append(data[at : at + n].view(kind))
             at += n + -n % 8
         self.keys, self.targets, self.skips, self.accepts, self.begin, self.ids = sections
+        self._ids, self._begin = np.asarray(self.ids), np.asarray(self.begin)  # plain views, quicker to slice
         self.root, self.words = head["root"], head["words"]
 
     def find(self, words: list[bytes]) -> np.ndarray:
@@ -251,59 +286,71 @@ class Lexicon:
         return place
 
     def ids_at(self, place: int) -> list[int]:
-        return self.ids[self.begin[place] : self.begin[place + 1]].tolist()
+        return self._ids[self._begin[place] : self._begin[place + 1]].tolist()
 
 
 class Speller:
-    """Encodes batches of texts with a lexicon; merged words are remembered up to a bound."""
+    """Encodes batches of texts with a lexicon; units of lexicon words and, up to a bound, merged ones are remembered.
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
-        self.vocabulary, self.lexicon, self._merged = vocabulary, lexicon, {}
+    `names` has the ids of a unit as text, `parts` the bytes that they decode to.
+    """
 
-    def ids_of(self, words: list[str]) -> list[list[int]]:
-        places = self.lexicon.find([w.encode() for w in words])
-        out = []
-        for word, place in zip(words, places.tolist(), strict=True):
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
+        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.names: dict[str, str] = {}
+        self.parts: dict[str, bytes] = {}
+        self._merged = 0  # remembered units that are not in the lexicon
+        self._passing: list[str] = []
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Fill the tables with all units of the texts; what the last call left beyond the bound goes."""
+        for unit in self._passing:
+            del self.names[unit], self.parts[unit]
+        self._passing = []
+        fresh = set().union(*texts).difference(self.names)
+        inner = [u for u in fresh if u[:1] not in EDGES]
+        self._enter(inner, [" " + u for u in inner], [u != "" for u in inner])
+        outer = [u for u in fresh if u[:1] in EDGES]
+        words = list({w for u in outer for w in words_of(u)})
+        added, known = self.vocabulary.added, {}
+        for word, *found in self._look_up(words, [w not in added and not SPACED.search(w) for w in words]):
+            known[word] = found
+        for unit in outer:
+            found = [known[w] for w in words_of(unit)]
+            self.names[unit] = ",".join([x[0] for x in found if x[0]])
+            self.parts[unit] = b"".join([x[1] for x in found])
+            self._keep(unit, all(x[2] for x in found))
+
+    def _enter(self, some: list[str], words: list[str], apart: list[bool]) -> None:
+        numbered = dict(zip(words, some, strict=True))
+        for word, name, part, in_lexicon in self._look_up(words, apart):
+            unit = numbered[word]
+            self.names[unit], self.parts[unit] = name, part
+            self._keep(unit, in_lexicon)
+
+    def _look_up(self, words: list[str], apart: list[bool]) -> Iterator[tuple[str, str, bytes, bool]]:
+        """Word, its ids as text, their bytes, whether the lexicon has it; in any order."""
+        places = self.lexicon.find([w.encode() for w in words]).tolist()
+        merged = [i for i, place in enumerate(places) if place < 0 or words[i] in self.vocabulary.added]
+        for word, place in zip(words, places, strict=True):
             if place >= 0 and word not in self.vocabulary.added:
-                out.append(self.lexicon.ids_at(place))
-                continue
-            ids = self._merged.get(word)
-            if ids is None:
-                ids = self.vocabulary.encode_word(word)
-                if len(self._merged) < KEPT_WORDS and len(word) <= LONGEST_WORD:
-                    self._merged[word] = ids
-            out.append(ids)
-        return out
-
-    def tables(self, texts: list[str]) -> tuple[dict, dict]:
-        """Ids of all distinct words of the texts: behind a space, and others."""
-        inner: set[str] = set()
-        outer: set[str] = set()
-        for text in texts:
-            a, b = words_in(text, self.vocabulary)
-            inner.update(a)
-            outer.update(b)
-        first, second = list(inner), list(outer)
-        return (
-            dict(zip(first, self.ids_of([" " + w for w in first]), strict=True)),
-            dict(zip(second, self.ids_of(second), strict=True)),
-        )
-
-    def spell(self, text: str, inner: dict, outer: dict) -> list:
-        """Entries of the words of a text in order, from tables that hold them."""
-        if any(c in text for c in OTHER_SPACE) or any(r in text for r in RUNS) or self.vocabulary.has_added(text):
-            return [outer[t] for t in self.vocabulary.tokens(text)]
-        out, line_feed, get = [], outer.get("\n"), inner.__getitem__
-        for i, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if i:
-                out.append(line_feed)
-            out.append(outer[words[0]])
-            out.extend(map(get, words[1:]))
-        return out
-
-    def encode(self, text: str) -> list[int]:
-        return [i for ids in self.spell(text, *self.tables([text])) for i in ids]
+                yield word, *self.vocabulary.write(self.lexicon.ids_at(place)), True
+        others = [words[i] for i in merged]
+        names, parts = self.vocabulary.written(others, [apart[i] for i in merged])
+        for word, name, part in zip(others, names, parts, strict=True):
+            yield word, name, part, False
+
+    def _keep(self, unit: str, in_lexicon: bool) -> None:
+        if in_lexicon:
+            return
+        if self._merged < KEPT_WORDS and len(unit) <= LONGEST_WORD:
+            self._merged += 1
+        else:
+            self._passing.append(unit)
+
+    def spell(self, text: list[str]) -> tuple[str, bytes]:
+        """Ids of a learnt text as text, and the bytes that they decode to."""
+        return ",".join(filter(None, map(self.names.__getitem__, text))), b"".join(map(self.parts.__getitem__, text))
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -336,14 +383,17 @@ def word_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str = "
         vocabulary = vocabulary_of(path)
         for batch in batches:
             for _, _, texts in _parts(batch, 0, 1):
-                inner, outer = Counter(), Counter()
+                found, counts = Counter(), Counter()
                 for text in texts:
-                    a, b = words_in(text, vocabulary)
-                    inner.update(a)
-                    outer.update(b)
-                for prefix, found in ((" ", inner), ("", outer)):
-                    words = [prefix + w for w in found]
-                    yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+                    found.update(units(text, vocabulary))
+                for unit in [u for u in found if u[:1] in EDGES]:
+                    n = found.pop(unit)
+                    for word in words_of(unit):
+                        counts[word] += n
+                counts.update({" " + u: n for u, n in found.items()})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+                )
 
     source = docs.select(F.col(text_col).alias("text"), F.octet_length(text_col).alias("size"))
     return source.mapInArrow(tidy(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -385,8 +435,10 @@ def encode_documents(
         speller = _speller(path, SparkFiles.get(lexicon))
         for batch in batches:
             for begin, end, texts in _parts(batch, 1, 2):
-                tables = speller.tables(texts)
-                ids = [[i for found in speller.spell(t, *tables) for i in found] for t in texts]
+                cut = [units(t, speller.vocabulary) for t in texts]
+                speller.learn(cut)
+                names = [speller.spell(x)[0] for x in cut]
+                ids = [[int(i) for i in x.split(",")] if x else [] for x in names]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.octet_length(text_col).alias("size"))
@@ -413,17 +465,14 @@ def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = _speller(path, SparkFiles.get(lexicon))
-        bytes_of = speller.vocabulary.bytes_of
-        # Per distinct word: its ids as text, and the bytes that those ids decode to.
-        written = lambda ids: (",".join(map(str, ids)), b"".join([bytes_of[i] for i in ids]))
         for batch in batches:
             for begin, end, texts in _parts(batch, 1, 2):
-                inner, outer = ({w: written(ids) for w, ids in t.items()} for t in speller.tables(texts))
+                cut = [units(t, speller.vocabulary) for t in texts]
+                speller.learn(cut)
                 counts, ids_of, texts_of = [], [], []
-                for text in texts:
-                    found = [x for x in speller.spell(text, inner, outer) if x[0]]
-                    ids = ",".join([x[0] for x in found])
-                    back = b"".join([x[1] for x in found]).decode("utf-8", "replace")
+                for text in cut:
+                    ids, decoded = speller.spell(text)
+                    back = decoded.decode("utf-8", "replace")
                     counts.append(ids.count(",") + 1 if ids else 0)
                     ids_of.append(hashlib.sha256(ids.encode()).hexdigest())
                     texts_of.append(hashlib.sha256(back.encode()).hexdigest())

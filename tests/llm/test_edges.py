@@ -5,6 +5,7 @@ import hashlib
 import math
 import weakref
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ import corpus_pipeline
 from shelfwright.llm import (
     bpe_lexicon, cotraining, embedding_dedup, language, ngram_join, packing, rp_forest, substring, warc, wavelet,
 )
+from shelfwright.llm.tokens import default_tokenizer
 
 WORDS = [f"w{i}" for i in range(3000)]
 LONG = " ".join(WORDS)
@@ -284,6 +286,27 @@ def test_lexicon(docs, no_docs, encode):
     assert sorted((key(r["doc_id"]), r["text"]) for r in back) == sorted((key(i), t or "") for i, t in TEXTS)
 
 
+def test_merged_words_of_a_batch_are_encoded_together(tmp_path, monkeypatch):
+    vocabulary = bpe_lexicon.Vocabulary(default_tokenizer())
+    (tmp_path / "x").write_bytes(b"".join(bpe_lexicon.compile_lexicon({b" known": vocabulary.encode_word(" known")})))
+    texts = [t or "" for _, t in TEXTS] + ["it's x\nknown known,\n", "\n", " ", "\r\n a\tb", "новое 漢字 \u0378x known", "tail "]
+    texts += [" ".join(f"{a}{n}ness" for a in ("un", "re")) for n in range(500)]
+    calls, encode = [], vocabulary._fast.encode_ordinary
+    monkeypatch.setattr(vocabulary, "_fast", SimpleNamespace(encode_ordinary=lambda text: calls.append(text) or encode(text)))
+    monkeypatch.setattr(bpe_lexicon, "KEPT_WORDS", 100)
+    speller = bpe_lexicon.Speller(vocabulary, bpe_lexicon.Lexicon(str(tmp_path / "x")))
+    cut = [bpe_lexicon.units(t, vocabulary) for t in texts]
+    for _ in range(2):  # words beyond the bound are learnt again
+        speller.learn(cut)
+    assert len(calls) < 100
+    for text, found in zip(texts, cut, strict=True):
+        ids = [i for token in vocabulary.tokens(text) for i in vocabulary.encode_word(token)]
+        assert speller.spell(found) == vocabulary.write(ids)
+        assert speller.spell(found)[1].decode() == text
+    speller.learn([])
+    assert len(speller.names) < 200
+
+
 def test_lexicon_automaton(tmp_path):
     words = {w.encode(): [n] * (n % 4) for n, w in enumerate(["", "a", "ab", "abc", "xbc", "bc", "c", "tions", "nations", "é"])}
     (tmp_path / "x").write_bytes(b"".join(bpe_lexicon.compile_lexicon(words)))
