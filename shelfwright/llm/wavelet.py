@@ -45,7 +45,7 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, known: np.ndarray, lengths: np.n
         counts = np.bitwise_count(words).reshape(-1, BLOCK_WORDS).sum(axis=1, dtype=np.uint64)
         sections[f"rank{level}"] = np.cumsum(counts).astype("<u4").tobytes()
         following, low = np.empty_like(current), len(current) - int(counts.sum())
-        following[:low], following[low:] = current[~ones], current[ones]
+        following[:low], following[low:] = current[np.flatnonzero(~ones)], current[np.flatnonzero(ones)]
         zeros.append(low)
         current = following
     packer = zstandard.ZstdCompressor(level=1, write_checksum=True)
@@ -156,8 +156,8 @@ class Shard:
         for plane in range(self.bits - 1, -1, -1):
             ones = np.unpackbits(self.planes[plane].view(np.uint8), count=self.n, bitorder="little").view(bool)
             before, zeros = np.empty_like(values), self.zeros[plane]
-            before[~ones] = values[:zeros]
-            before[ones] = values[zeros:] | kind(1 << (self.bits - 1 - plane))
+            before[np.flatnonzero(~ones)] = values[:zeros]
+            before[np.flatnonzero(ones)] = values[zeros:] | kind(1 << (self.bits - 1 - plane))
             values = before
         return values
 
