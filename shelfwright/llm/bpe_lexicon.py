@@ -18,6 +18,8 @@ columns are not read. An empty table gives an empty lexicon and result.
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import heapq
 import json
@@ -309,44 +311,38 @@ class Speller:
         self._passing = []
         fresh = set().union(*texts).difference(self.names)
         inner = [u for u in fresh if u[:1] not in EDGES]
-        self._enter(inner, [" " + u for u in inner], [u != "" for u in inner])
+        words = [" " + u for u in inner]
+        places = self.lexicon.find([w.encode() for w in words])
+        for i in np.flatnonzero(places >= 0).tolist():
+            self.names[inner[i]], self.parts[inner[i]] = self.vocabulary.write(self.lexicon.ids_at(places[i]))
+        others = np.flatnonzero(places < 0).tolist()
+        merged = [inner[i] for i in others]
+        names, parts = self.vocabulary.written([words[i] for i in others], [u != "" for u in merged])
+        self.names.update(zip(merged, names, strict=True))
+        self.parts.update(zip(merged, parts, strict=True))
+        self._keep(merged)
         outer = [u for u in fresh if u[:1] in EDGES]
         words = list({w for u in outer for w in words_of(u)})
-        added, known = self.vocabulary.added, {}
-        for word, *found in self._look_up(words, [w not in added and not SPACED.search(w) for w in words]):
-            known[word] = found
+        known, merged = {}, []
+        for word, place in zip(words, self.lexicon.find([w.encode() for w in words]).tolist(), strict=True):
+            if place >= 0 and word not in self.vocabulary.added:
+                known[word] = self.vocabulary.write(self.lexicon.ids_at(place))
+            else:
+                merged.append(word)
+        apart = [w not in self.vocabulary.added and not SPACED.search(w) for w in merged]
+        known |= zip(merged, zip(*self.vocabulary.written(merged, apart), strict=True), strict=True)
         for unit in outer:
             found = [known[w] for w in words_of(unit)]
             self.names[unit] = ",".join([x[0] for x in found if x[0]])
             self.parts[unit] = b"".join([x[1] for x in found])
-            self._keep(unit, all(x[2] for x in found))
-
-    def _enter(self, some: list[str], words: list[str], apart: list[bool]) -> None:
-        numbered = dict(zip(words, some, strict=True))
-        for word, name, part, in_lexicon in self._look_up(words, apart):
-            unit = numbered[word]
-            self.names[unit], self.parts[unit] = name, part
-            self._keep(unit, in_lexicon)
-
-    def _look_up(self, words: list[str], apart: list[bool]) -> Iterator[tuple[str, str, bytes, bool]]:
-        """Word, its ids as text, their bytes, whether the lexicon has it; in any order."""
-        places = self.lexicon.find([w.encode() for w in words]).tolist()
-        merged = [i for i, place in enumerate(places) if place < 0 or words[i] in self.vocabulary.added]
-        for word, place in zip(words, places, strict=True):
-            if place >= 0 and word not in self.vocabulary.added:
-                yield word, *self.vocabulary.write(self.lexicon.ids_at(place)), True
-        others = [words[i] for i in merged]
-        names, parts = self.vocabulary.written(others, [apart[i] for i in merged])
-        for word, name, part in zip(others, names, parts, strict=True):
-            yield word, name, part, False
-
-    def _keep(self, unit: str, in_lexicon: bool) -> None:
-        if in_lexicon:
-            return
-        if self._merged < KEPT_WORDS and len(unit) <= LONGEST_WORD:
-            self._merged += 1
-        else:
-            self._passing.append(unit)
+        rare = set(merged)
+        self._keep([u for u in outer if not rare.isdisjoint(words_of(u))])
+
+    def _keep(self, merged: list[str]) -> None:
+        """Remember units that are not in the lexicon while there is room; the others pass."""
+        short = [u for u in merged if len(u) <= LONGEST_WORD][: max(0, KEPT_WORDS - self._merged)]
+        self._merged += len(short)
+        self._passing += set(merged).difference(short)
 
     def spell(self, text: list[str]) -> tuple[str, bytes]:
         """Ids of a learnt text as text, and the bytes that they decode to."""
@@ -357,6 +353,18 @@ _vocabularies: dict[str, Vocabulary] = {}
 _spellers: dict[tuple[str, str], Speller] = {}
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """No garbage collection: batches of words make no cycles, but their many strings would be visited again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def vocabulary_of(path: str) -> Vocabulary:
     if path not in _vocabularies:
         _vocabularies[path] = Vocabulary(path)
@@ -383,14 +391,15 @@ def word_counts(docs: DataFrame, tokenizer: str | None = None, text_col: str = "
         vocabulary = vocabulary_of(path)
         for batch in batches:
             for _, _, texts in _parts(batch, 0, 1):
-                found, counts = Counter(), Counter()
-                for text in texts:
-                    found.update(units(text, vocabulary))
-                for unit in [u for u in found if u[:1] in EDGES]:
-                    n = found.pop(unit)
-                    for word in words_of(unit):
-                        counts[word] += n
-                counts.update({" " + u: n for u, n in found.items()})
+                with uncollected():
+                    found, counts = Counter(), Counter()
+                    for text in texts:
+                        found.update(units(text, vocabulary))
+                    for unit in [u for u in found if u[:1] in EDGES]:
+                        n = found.pop(unit)
+                        for word in words_of(unit):
+                            counts[word] += n
+                    counts.update({" " + u: n for u, n in found.items()})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
                 )
@@ -467,15 +476,16 @@ def token_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         speller = _speller(path, SparkFiles.get(lexicon))
         for batch in batches:
             for begin, end, texts in _parts(batch, 1, 2):
-                cut = [units(t, speller.vocabulary) for t in texts]
-                speller.learn(cut)
-                counts, ids_of, texts_of = [], [], []
-                for text in cut:
-                    ids, decoded = speller.spell(text)
-                    back = decoded.decode("utf-8", "replace")
-                    counts.append(ids.count(",") + 1 if ids else 0)
-                    ids_of.append(hashlib.sha256(ids.encode()).hexdigest())
-                    texts_of.append(hashlib.sha256(back.encode()).hexdigest())
+                with uncollected():
+                    cut = [units(t, speller.vocabulary) for t in texts]
+                    speller.learn(cut)
+                    counts, ids_of, texts_of = [], [], []
+                    for text in cut:
+                        ids, decoded = speller.spell(text)
+                        back = decoded.decode("utf-8", "replace")
+                        counts.append(ids.count(",") + 1 if ids else 0)
+                        ids_of.append(hashlib.sha256(ids.encode()).hexdigest())
+                        texts_of.append(hashlib.sha256(back.encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, end - begin), pa.array(counts, pa.int64()), pa.array(ids_of, pa.string()), pa.array(texts_of, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
